@@ -45,33 +45,36 @@ def compare_relations(
     in_a, in_b = F.col("copies_a"), F.col("copies_b")
     if bag:
         shared = F.least(in_a, in_b)
-        parts = F.array(
-            *[
-                F.struct(
-                    F.lit(left).alias("in_a"), F.lit(right).alias("in_b"), n.alias("n")
-                )
-                for left, right, n in (
-                    (True, True, shared),
-                    (True, False, in_a - shared),
-                    (False, True, in_b - shared),
-                )
-            ]
-        )
-        counted = (
-            sides.select(F.explode(parts).alias("p")).select("p.*").filter("n > 0")
-        )
-        grouped = counted.groupBy("in_a", "in_b").agg(F.sum("n").alias("count"))
+        measures = (shared, in_a - shared, in_b - shared)
     else:
-        grouped = sides.groupBy(
-            (in_a > 0).alias("in_a"), (in_b > 0).alias("in_b")
-        ).agg(F.count(F.lit(1)).alias("count"))
-    # At most three rows are left here.
-    whole = grouped.agg(F.sum("count").alias("_all"))
-    percent = F.round(F.lit(100.0) * F.col("count") / F.col("_all"), 2)
+        measures = (
+            ((in_a > 0) & (in_b > 0)).cast("bigint"),
+            (in_b == 0).cast("bigint"),
+            (in_a == 0).cast("bigint"),
+        )
+    # One row with the three counts, then one row per count.
+    sums = sides.agg(*[F.sum(m).alias(f"n{at}") for at, m in enumerate(measures)])
+    where = ((True, True), (True, False), (False, True))
+    parts = F.array(
+        *[
+            F.struct(
+                F.lit(left).alias("in_a"),
+                F.lit(right).alias("in_b"),
+                F.col(f"n{at}").alias("count"),
+            )
+            for at, (left, right) in enumerate(where)
+        ]
+    )
+    whole = F.col("n0") + F.col("n1") + F.col("n2")
     return (
-        grouped.crossJoin(F.broadcast(whole))
-        .withColumn("percent_of_total", percent)
-        .drop("_all")
+        sums.select(whole.alias("whole"), F.explode(parts).alias("part"))
+        .select("part.*", "whole")
+        .filter(F.col("count") > 0)
+        .withColumn(
+            "percent_of_total",
+            F.round(F.lit(100.0) * F.col("count") / F.col("whole"), 2),
+        )
+        .drop("whole")
     )
 
 

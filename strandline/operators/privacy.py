@@ -7,14 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.functions.expressions import digest_mod, has_text, padded
+from strandline.functions.expressions import digest_mod, has_text
 
 # The marker, and per kind of name the hash prefix and the label.
 MARKER = "DEMO "
 COMPANY = ("ftg:", "AB")
 ENTITY = ("ent:", "ENTITY")
 PERSON = ("co:", "PERSON")
-POOL = 10_000
+POOL = 10_000  # numbers of four digits
 
 NameKinds = Mapping[str, tuple[str, str]]
 
@@ -28,21 +28,25 @@ def _has_key(key: str) -> Column:
     return F.coalesce(F.col(key).cast("string") != "", F.lit(False))
 
 
-def pseudonymise(df: DataFrame, key: str, names: NameKinds) -> DataFrame:
+def pseudonymise(
+    df: DataFrame, key: str, names: NameKinds, where: Column | None = None
+) -> DataFrame:
     """Replace every non-empty name by a pseudonym that depends on the key only.
 
-    Empty names stay as they are, and so do rows without a key.
+    Empty names stay as they are, and so do rows without a key, or those that
+    ``where`` leaves out.
     """
     lacking = missing_columns(df, key, names)
     if lacking:
         raise ValueError(f"missing columns: {', '.join(lacking)}")
     text = F.col(key).cast("string")
+    wanted = _has_key(key) if where is None else _has_key(key) & where
     # The digest gets a column of its own, else it is computed once per digit.
     hashed = df.select(
         "*",
         *[
             F.when(
-                has_text(name) & _has_key(key), F.sha2(F.concat(F.lit(p), text), 256)
+                has_text(name) & wanted, F.sha2(F.concat(F.lit(p), text), 256)
             ).alias(f"_sha_{name}")
             for name, (p, _) in names.items()
         ],
@@ -50,7 +54,7 @@ def pseudonymise(df: DataFrame, key: str, names: NameKinds) -> DataFrame:
 
     def pseudonym(name: str) -> Column:
         digest = F.col(f"_sha_{name}")
-        number = padded(digest_mod(digest, POOL))
+        number = F.lpad(digest_mod(digest, POOL).cast("string"), 4, "0")
         label = F.lit(f"{MARKER}{names[name][1]} ")
         return F.when(digest.isNotNull(), F.concat(label, number)).otherwise(
             F.col(name)
@@ -100,10 +104,9 @@ def pseudonymise_open_files(
     The report has one row per file; Spark decides by its size whether it is
     broadcast, and splits a file that owns most rows if it is not.
     """
-    report = pseudonymisation_report(df, file, key, names)
-    done = report.filter("already_anonymised").select(F.col(file).alias("_done"))
-    same = F.col(file).eqNullSafe(F.col("_done"))
-    columns = df.columns
-    untouched = df.join(done, same, "left_semi")
-    rewritten = pseudonymise(df.join(done, same, "left_anti"), key, names)
-    return rewritten.select(*columns).unionByName(untouched.select(*columns))
+    report = pseudonymisation_report(df, file, key, names).select(
+        F.col(file).alias("_file"), F.col("already_anonymised").alias("_done")
+    )
+    known = df.join(report, F.col(file).eqNullSafe(F.col("_file")), "left")
+    rewritten = pseudonymise(known, key, names, where=~F.col("_done"))
+    return rewritten.select(*df.columns)

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.expressions import version_id
+from strandline.functions.expressions import MICROS, epoch_us, version_id, whole_div
 from strandline.operators.dedup import latest_per_key
 
 FROM, TO = "dbt_valid_from", "dbt_valid_to"
@@ -175,26 +175,48 @@ def point_in_time(
     key: str,
     moment: str,
     columns: Sequence[str],
-    how: str = "left",
+    slot_days: int = 30,
 ) -> DataFrame:
     """Each fact with the version that was valid at its own moment.
 
-    A key has one version per moment, so facts are not multiplied; the equality
-    on the key leaves Spark free to split a busy key (skew join).
+    A key has one version per moment, so facts are not multiplied.  Versions are
+    laid over slots of time and met by key and slot: a fact is compared with the
+    versions of its own slot only, and a busy key is spread over its slots.
     """
-    wanted = history.select(
-        F.col(key).alias("_pit_key"),
-        F.col(FROM).alias("_pit_from"),
-        F.col(TO).alias("_pit_to"),
-        *columns,
-    )
     at = F.col(moment).cast("timestamp_ntz")
+    first, last = facts.agg(F.min(at), F.max(at)).first()
+    if first is None:
+        first = last = datetime(1970, 1, 1)
+    starts = F.greatest(F.col(FROM), _moment(first))
+    ends = F.least(F.coalesce(F.col(TO), _moment(last)), _moment(last))
+
+    def slot(ts: Column) -> Column:
+        return whole_div(epoch_us(ts), slot_days * 86_400 * MICROS)
+
+    wanted = (
+        history.filter(starts <= ends)
+        .select(
+            F.col(key).alias("_pit_key"),
+            F.col(FROM).alias("_pit_from"),
+            F.col(TO).alias("_pit_to"),
+            *columns,
+            F.explode(F.sequence(slot(starts), slot(ends))).alias("_pit_slot"),
+        )
+    )
     inside = (F.col("_pit_from") <= at) & (
         F.col("_pit_to").isNull() | (F.col("_pit_to") > at)
     )
-    return facts.join(
-        wanted, (F.col(fact_key) == F.col("_pit_key")) & inside, how
-    ).drop("_pit_key", "_pit_from", "_pit_to")
+    return (
+        facts.withColumn("_slot", slot(at))
+        .join(
+            wanted,
+            (F.col(fact_key) == F.col("_pit_key"))
+            & (F.col("_slot") == F.col("_pit_slot"))
+            & inside,
+            "left",
+        )
+        .drop("_slot", "_pit_key", "_pit_from", "_pit_to", "_pit_slot")
+    )
 
 
 def totals(history: DataFrame) -> DataFrame:

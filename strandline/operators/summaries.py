@@ -1,4 +1,4 @@
-"""Sums over a pruned, hive-partitioned table, named from a small lookup."""
+"""Sums per key over a pruned, hive-partitioned table, named from a small lookup."""
 
 from __future__ import annotations
 
@@ -8,22 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pruned_sum(
-    df: DataFrame,
-    partition: Column,
-    known: Column,
-    keys: Sequence[str],
-    measure: str,
-    name: str,
+def sum_of_known(
+    df: DataFrame, known: Column, keys: Sequence[str], measure: str, name: str
 ) -> DataFrame:
-    """Sum of a measure per key within some partitions.
+    """Sum of a measure per key, without placeholder keys.
 
-    ``partition`` should compare the bare partition column with a literal, so
-    that other partitions are not even listed; ``known`` drops placeholder keys.
+    Filter ``df`` by bare partition columns first: then other partitions are not
+    even listed.
     """
-    return df.filter(partition).filter(known).groupBy(*keys).agg(
-        F.sum(measure).alias(name)
-    )
+    return df.filter(known).groupBy(*keys).agg(F.sum(measure).alias(name))
 
 
 def with_lookup(

@@ -127,12 +127,11 @@ def hopping_counts(
     )
     lowest = whole_div(F.col("offset") + F.lit(pane - size + hop - 1), hop)
     highest = whole_div(F.col("offset"), hop)
-    spread = (
-        panes.withColumn("lo", F.greatest(lowest, F.lit(0).cast("bigint")))
-        .withColumn("hi", F.least(highest, F.lit(last_index).cast("bigint")))
-        .filter(F.col("lo") <= F.col("hi"))
-        .select(F.explode(F.sequence("lo", "hi")).alias("k"), "n")
-    )
+    lo = F.greatest(lowest, F.lit(0).cast("bigint"))
+    hi = F.least(highest, F.lit(last_index).cast("bigint"))
+    if hop > size:  # else every pane lies in a window
+        panes = panes.filter(lo <= hi)
+    spread = panes.select(F.explode(F.sequence(lo, hi)).alias("k"), "n")
     begin = F.lit(first) + F.col("k") * F.lit(hop)
     like = _type_of(df, ts)
     return (

@@ -661,20 +661,25 @@ def delivery_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pruned_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order value per nation in one year; sums come first, names are joined after."""
-    customers = table(spark, sf_dir, "customer")
+    """Order value per nation in one year.
+
+    Sums per customer come before the join with customers, sums per nation
+    before the join with names.
+    """
+    orders = table(spark, sf_dir, "orders")
+    per_customer = (
+        windows.in_year(orders, "o_orderdate", 1998)
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amount"))
+    )
     place = F.when(F.col("c_mktsegment") == "MACHINERY", "unknown").otherwise(
         F.col("c_nationkey").cast("string")
     )
-    rides = windows.in_year(table(spark, sf_dir, "orders"), "o_orderdate", 1998).join(
-        customers.select(
-            F.col("c_custkey").alias("o_custkey"), place.alias("province_sk")
-        ),
-        "o_custkey",
+    places = table(spark, sf_dir, "customer").select(
+        "c_custkey", place.alias("province_sk")
     )
-    summed = summaries.pruned_sum(
-        rides.withColumn("amount", F.col("o_totalprice").cast("decimal(18,2)")),
-        F.lit(True),
+    summed = summaries.sum_of_known(
+        per_customer.join(places, "c_custkey"),
         F.col("province_sk") != "unknown",
         ["province_sk"],
         "amount",
@@ -710,9 +715,8 @@ def hive_pruned_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dynamic",
     )
     stored = read_hive(spark, root).withColumn("rides", F.lit(1).cast("bigint"))
-    return summaries.pruned_sum(
-        stored,
-        F.col("service_year").isin(1997, 1998),
+    return summaries.sum_of_known(
+        stored.filter(F.col("service_year").isin(1997, 1998)),
         F.col("province_sk") != "unknown",
         ["service_year", "province_sk"],
         "rides",

@@ -19,9 +19,14 @@ class RunLog:
     run_id: str
 
     def add(self, step: str, status: str, rows: int | None, seconds: float) -> None:
-        line = [(self.run_id, step, status, rows, float(seconds))]
-        frame = self.spark.createDataFrame(line, SCHEMA).coalesce(1)
-        frame.write.mode("append").parquet(self.path)
+        line = self.spark.range(1, numPartitions=1).select(
+            F.lit(self.run_id).alias("run_id"),
+            F.lit(step).alias("step"),
+            F.lit(status).alias("status"),
+            F.lit(rows).cast("bigint").alias("rows"),
+            F.lit(float(seconds)).alias("seconds"),
+        )
+        line.write.mode("append").parquet(self.path)
 
     def write(
         self, step: str, df: DataFrame, action: Callable[[DataFrame], None]

@@ -45,32 +45,39 @@ class VersionedTable:
                 raise
             return self.spark.createDataFrame([], f"{LOAD} bigint, {_LOADS_SCHEMA}")
 
+    def entries(self) -> list[tuple[int, str, datetime]]:
+        """The finished loads in order; one small row per load."""
+        return sorted(tuple(row) for row in self.loads().collect())
+
     def latest_load(self) -> int | None:
-        return self.loads().agg(F.max(LOAD)).first()[0]
+        done = self.entries()
+        return done[-1][0] if done else None
 
     def load_of(self, token: str) -> int | None:
         """The number of the load that was made for ``token``, if it was."""
-        return self.loads().filter(F.col("token") == token).agg(F.max(LOAD)).first()[0]
+        return next((n for n, known, _ in self.entries() if known == token), None)
 
     def write_load(
         self, df: DataFrame, load_id: int, token: str, loaded_at: datetime
     ) -> bool:
         """Write one load; False (and nothing done) if it is there already."""
-        if not self.loads().filter(F.col(LOAD) == load_id).isEmpty():
+        if any(load_id == n for n, _, _ in self.entries()):
             return False
         writer = df.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.data_path}/{LOAD}={load_id}")
-        entry = self.spark.createDataFrame([(token, loaded_at)], _LOADS_SCHEMA)
-        entry.coalesce(1).write.mode("overwrite").parquet(
-            f"{self.loads_path}/{LOAD}={load_id}"
+        text = loaded_at.strftime("%Y-%m-%d %H:%M:%S.%f")
+        entry = self.spark.range(1, numPartitions=1).select(
+            F.lit(token).alias("token"),
+            F.lit(text).cast("timestamp_ntz").alias("loaded_at"),
         )
+        entry.write.mode("overwrite").parquet(f"{self.loads_path}/{LOAD}={load_id}")
         return True
 
     def all_loads(self, evolved: bool = False) -> DataFrame:
         """The rows of all finished loads, with ``load_id``."""
-        done = [r[0] for r in self.loads().select(LOAD).collect()]
+        done = [n for n, _, _ in self.entries()]
         rows = (
             self.spark.read.option("basePath", self.data_path)
             .option("mergeSchema", str(evolved).lower())
@@ -81,7 +88,7 @@ class VersionedTable:
 
     def read_version(self, load_id: int) -> DataFrame:
         """The table as one load left it."""
-        if self.loads().filter(F.col(LOAD) == load_id).isEmpty():
+        if all(load_id != n for n, _, _ in self.entries()):
             raise LookupError(f"{self.root} has no load {load_id}")
         return self.spark.read.parquet(f"{self.data_path}/{LOAD}={load_id}")
 
@@ -93,12 +100,7 @@ class VersionedTable:
 
     def read_as_of(self, moment: datetime) -> DataFrame:
         """The table as it stood at a time."""
-        text = moment.strftime("%Y-%m-%d %H:%M:%S.%f")
-        known = self.loads().filter(
-            F.col("loaded_at") <= F.lit(text).cast("timestamp_ntz")
-        )
-        row = known.agg(F.max(F.struct("loaded_at", LOAD)).alias("last")).first()
-        if row.last is None:
-            raise LookupError(f"{self.root} has no load before {text}")
-        return self.read_version(row.last[LOAD])
-
+        known = [(at, n) for n, _, at in self.entries() if at <= moment]
+        if not known:
+            raise LookupError(f"{self.root} has no load before {moment}")
+        return self.read_version(max(known)[1])
