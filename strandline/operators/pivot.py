@@ -24,18 +24,17 @@ def pivot_attributes(
 ) -> DataFrame:
     """One row per entity and context; ``columns`` maps attribute -> (name, type).
 
-    The attributes are given, so no extra pass looks for them, and each value is
-    a partial aggregate.  The largest value wins if an attribute is repeated.
+    The attributes are given, so no extra pass looks for them, and one
+    aggregation (partial before its shuffle) fills all columns.  The largest
+    value wins if an attribute is repeated.
     """
-    wide = (
-        df.groupBy(entity, context)
-        .pivot(attribute, list(columns))
-        .agg(F.max(value))
-    )
-    return wide.select(
-        entity,
-        context,
-        *[F.col(f"`{a}`").cast(kind).alias(name) for a, (name, kind) in columns.items()],
+    return df.groupBy(entity, context).agg(
+        *[
+            F.max(F.when(F.col(attribute) == wanted, F.col(value)))
+            .cast(kind)
+            .alias(name)
+            for wanted, (name, kind) in columns.items()
+        ]
     )
 
 

@@ -175,7 +175,7 @@ def point_in_time(
     key: str,
     moment: str,
     columns: Sequence[str],
-    slot_days: int = 30,
+    slot_days: int = 365,
 ) -> DataFrame:
     """Each fact with the version that was valid at its own moment.
 
@@ -235,17 +235,17 @@ def interval_problems(history: DataFrame, key: str) -> DataFrame:
     """
     folded = history.groupBy(key, FROM).agg(
         F.count(F.lit(1)).alias("copies"),
-        # The latest end, where an open version has none.
-        F.max(F.struct(F.col(TO).isNull().alias("open"), F.col(TO).alias("to"))).alias(
-            "last"
-        ),
+        F.count(TO).alias("closed"),
+        F.max(TO).alias("last_to"),
     )
+    # An open version among several that start together has the latest end.
+    is_open = F.col("copies") > F.col("closed")
     line = Window.partitionBy(key).orderBy(FROM)
-    end, following = F.col("last.to"), F.col("next_from")
+    end, following = F.col("last_to"), F.col("next_from")
     problem = (
         F.when(F.col("copies") > 1, "several versions start together")
-        .when(~F.col("last.open") & (F.col(FROM) >= end), "empty interval")
-        .when(following.isNotNull() & F.col("last.open"), "overlap")
+        .when(~is_open & (F.col(FROM) >= end), "empty interval")
+        .when(following.isNotNull() & is_open, "overlap")
         .when(following < end, "overlap")
         .when(following > end, "gap")
     )
@@ -254,6 +254,11 @@ def interval_problems(history: DataFrame, key: str) -> DataFrame:
         .withColumn("problem", problem)
         .filter(F.col("problem").isNotNull())
         .select(
-            "problem", key, FROM, F.col("last.to").alias(TO), "next_from", "copies"
+            "problem",
+            key,
+            FROM,
+            F.when(~is_open, end).alias(TO),
+            "next_from",
+            "copies",
         )
     )

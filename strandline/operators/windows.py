@@ -159,7 +159,8 @@ def sliding_by_instant(
     """Per distinct instant: events in the ``minutes`` before it, both ends in.
 
     Columns ``us`` (microseconds), ``events`` (rows at that instant) and
-    ``number_of_services``.
+    ``number_of_services``.  An instant with very many rows comes in several
+    pieces, so that no task has to write all of them out.
 
     The count is put together from whole seconds and the two cut seconds at the
     ends.  A second has at most a million instants and a block of seconds at
@@ -168,6 +169,7 @@ def sliding_by_instant(
     require_utc(df)
     span = minutes * 60
     second = whole_div(F.col("us"), MICROS)
+    none = F.lit(0).cast("bigint")
     instants = (
         df.groupBy(epoch_us(ts).alias("us"))
         .agg(F.count(F.lit(1)).alias("events"), F.count(ident).alias("n"))
@@ -177,39 +179,35 @@ def sliding_by_instant(
 
     # Running counts inside the own second (up to and with this instant) and
     # inside the second the window begins in (strictly before its edge).
-    marks = instants.select(
-        "us",
-        "sub",
-        "events",
-        F.explode(
-            F.array(
-                F.struct(
-                    F.col("sec").alias("at"),
-                    F.lit(1).alias("kind"),
-                    F.col("n").alias("n"),
-                ),
-                F.struct(
-                    (F.col("sec") - F.lit(span)).alias("at"),
-                    F.lit(0).alias("kind"),
-                    F.lit(0).cast("bigint").alias("n"),
-                ),
-            )
-        ).alias("m"),
-    ).select("us", "sub", "events", "m.*")
+    pieces = F.sequence(none, whole_div(F.col("events") - 1, EXPAND_CHUNK))
+    dealt = instants.withColumn("piece", F.explode(pieces))
+    own_n = F.when(F.col("piece") == 0, F.col("n")).otherwise(none)
+    sides = F.array(
+        F.struct(F.col("sec").alias("at"), F.lit(1).alias("kind"), own_n.alias("add")),
+        F.struct(
+            (F.col("sec") - F.lit(span)).alias("at"),
+            F.lit(0).alias("kind"),
+            none.alias("add"),
+        ),
+    )
+    marks = dealt.withColumn("side", F.explode(sides)).select(
+        "us", "sub", "piece", "events", "sec", "side.*"
+    )
     upto = (
         Window.partitionBy("at")
-        .orderBy("sub", "kind")
+        .orderBy("sub", "kind", "piece")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = marks.withColumn("run", F.sum("n").over(upto))
+    running = marks.withColumn("run", F.sum("add").over(upto))
+    # By second, which serves the aggregation and the join after it.
     cut = (
-        running.groupBy("us")
+        running.repartition("sec")
+        .groupBy("sec", "us", "piece")
         .agg(
             F.max("events").alias("events"),
             F.max(F.when(F.col("kind") == 1, F.col("run"))).alias("own"),
             F.max(F.when(F.col("kind") == 0, F.col("run"))).alias("before"),
         )
-        .withColumn("sec", second)
     )
 
     # Whole seconds: each block also holds the seconds of the block before it.
@@ -234,13 +232,20 @@ def sliding_by_instant(
     )
 
     count = F.col("own") - F.col("before") + F.coalesce("whole", F.lit(0))
+    left = F.col("events") - F.col("piece") * F.lit(EXPAND_CHUNK)
     return cut.join(seconds, "sec", "left").select(
-        "us", "events", count.cast("bigint").alias("number_of_services")
+        "us",
+        F.least(left, F.lit(EXPAND_CHUNK)).alias("events"),
+        count.cast("bigint").alias("number_of_services"),
     )
 
 
-def _sliding_rows(instants: DataFrame, like: str, minutes: int) -> DataFrame:
-    return instants.select(
+def _sliding_rows(
+    instants: DataFrame, like: str, minutes: int, most: int = EXPAND_CHUNK
+) -> DataFrame:
+    """One row per event, at most ``most`` per piece."""
+    copies = F.sequence(F.lit(1), F.least(F.col("events"), F.lit(most)).cast("int"))
+    return instants.withColumn("copy", F.explode(copies)).select(
         from_us(F.col("us") - F.lit(minutes * MINUTE_US), like).alias("window_start"),
         from_us("us", like).alias("window_end"),
         "number_of_services",
@@ -253,20 +258,10 @@ def sliding_counts(
     """One row per event with the count of its trailing window.
 
     Events at one instant share their row, so it is repeated instead of joining
-    the events back; very many copies are first dealt out in chunks.
+    the events back.
     """
     instants = sliding_by_instant(df, ts, ident, minutes)
-    chunks = F.sequence(
-        F.lit(0).cast("bigint"), whole_div(F.col("events") - 1, EXPAND_CHUNK)
-    )
-    dealt = instants.withColumn("chunk", F.explode(chunks)).repartition("us", "chunk")
-    left = F.least(
-        F.col("events") - F.col("chunk") * F.lit(EXPAND_CHUNK), F.lit(EXPAND_CHUNK)
-    )
-    rows = dealt.withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), left.cast("int")))
-    )
-    return _sliding_rows(rows, _type_of(df, ts), minutes)
+    return _sliding_rows(instants, _type_of(df, ts), minutes)
 
 
 def sliding_top(
@@ -279,14 +274,8 @@ def sliding_top(
     instants = busiest(
         sliding_by_instant(df, ts, ident, minutes), "number_of_services", "us", n
     )
-    copies = F.sequence(F.lit(1), F.least(F.col("events"), F.lit(n)).cast("int"))
-    rows = instants.withColumn("copy", F.explode(copies))
-    return busiest(
-        _sliding_rows(rows, _type_of(df, ts), minutes),
-        "number_of_services",
-        "window_start",
-        n,
-    )
+    rows = _sliding_rows(instants, _type_of(df, ts), minutes, most=n)
+    return busiest(rows, "number_of_services", "window_start", n)
 
 
 # --- sessions --------------------------------------------------------------

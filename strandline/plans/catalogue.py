@@ -326,16 +326,14 @@ def session_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = order_history(spark, sf_dir)
     return verify.layer_counts(
-        {
-            "raw": table(spark, sf_dir, "orders"),
-            "bronze": order_deliveries(spark, sf_dir),
-            "landing": order_landing(spark, sf_dir),
-            "rejects": order_rejects(spark, sf_dir),
-            "scd2 total": history,
-            "scd2 current only": scd2.current_versions(history),
-        }
+        [
+            verify.whole_layer(table(spark, sf_dir, "orders"), "raw"),
+            verify.whole_layer(order_deliveries(spark, sf_dir), "bronze"),
+            verify.whole_layer(order_landing(spark, sf_dir), "landing"),
+            verify.whole_layer(order_rejects(spark, sf_dir), "rejects"),
+            verify.counted_history(order_history(spark, sf_dir), "scd2"),
+        ]
     )
 
 

@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.functions.expressions import checked_date, file_date, file_date_part
+from strandline.functions.expressions import checked_date, file_date, file_date_text
 
 # The format of a delivery.
 DELIMITER = "\t"
 ENCODING = "ISO-8859-1"
 
 SOURCE_FILE = "source_file"
+DAY_PARTS = ("year", "month", "day")
 FIRST_BYTES = 1 << 20  # a header line is shorter than this
 
 
@@ -139,21 +140,24 @@ def _unnamed(column: str) -> bool:
 
 def with_layout(files: DataFrame, name: str = "name") -> DataFrame:
     """Day of delivery from each file name, and whether the file is accepted."""
-    accepted = file_date(name).isNotNull()
-
-    def part(at: int) -> Column:
-        return F.when(accepted, file_date_part(name, at))
-
-    return files.withColumns(
-        {
-            "year": part(1),
-            "month": part(2),
-            "day": part(3),
-            "accepted": accepted,
-        }
+    found = files.withColumn("_digits", file_date_text(name))
+    accepted = F.col("accepted")
+    return found.withColumn("accepted", file_date("_digits").isNotNull()).select(
+        *files.columns,
+        *[F.when(accepted, part).alias(p) for p, part in day_texts("_digits").items()],
+        "accepted",
     )
 
 
+def day_texts(digits: str) -> dict[str, Column]:
+    """Year, month and day of eight digits, zeros kept."""
+    cuts = ((1, 4), (5, 2), (7, 2))
+    return {
+        part: F.substring(digits, start, length)
+        for part, (start, length) in zip(DAY_PARTS, cuts)
+    }
+
+
 def layout_totals(laid_out: DataFrame) -> DataFrame:
     """One row: files taken and files left out."""
     return laid_out.agg(
@@ -181,10 +185,11 @@ def land_deliveries(
     if not taken.isEmpty():
         rows = read_deliveries(spark, inbox, glob, encoding, delimiter, files=taken)
         file = F.element_at(F.split(SOURCE_FILE, "/"), -1)
-        parts = {p: file_date_part(file, at) for at, p in enumerate(DAY_PARTS, 1)}
         (
             rows.withColumn(SOURCE_FILE, file)
-            .withColumns(parts)
+            .withColumn("_digits", file_date_text(SOURCE_FILE))
+            .withColumns(day_texts("_digits"))
+            .drop("_digits")
             # Even files, however large one day is.
             .hint("rebalance", *DAY_PARTS)
             .write.mode("overwrite")
@@ -197,9 +202,6 @@ def land_deliveries(
     return laid_out
 
 
-DAY_PARTS = ("year", "month", "day")
-
-
 # --- staging ---------------------------------------------------------------
 
 

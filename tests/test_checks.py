@@ -114,8 +114,16 @@ def test_reports_on_sound_and_broken_layers(spark):
     end = F.when(F.col("d") == 1, F.when(F.col("k") == "a", stamp))
     history = bronze.withColumn("dbt_valid_from", stamp).withColumn("dbt_valid_to", end)
 
-    counted = verify.layer_counts({"2 landing": landing, "1 bronze": bronze})
-    assert [tuple(r) for r in counted.collect()] == [("1 bronze", 3), ("2 landing", 2)]
+    counted = verify.layer_counts(
+        [
+            verify.whole_layer(landing, "landing"),
+            verify.counted_history(history, "scd2"),
+            verify.whole_layer(bronze, "bronze"),
+        ]
+    )
+    assert [tuple(r) for r in counted.collect()] == [
+        ("bronze", 3), ("landing", 2), ("scd2 current only", 2), ("scd2 total", 3),
+    ]
 
     key = verify.interesting_key(history, "k")
     assert key == "a"
