@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandline.operators.ordering import repeat_rows
+
 
 def _comparable(
     a: DataFrame, b: DataFrame, exclude: Sequence[str]
@@ -159,10 +161,18 @@ def _same(name: str) -> Column:
 
 def common_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows found on both sides, each once."""
-    return a.intersect(b.select(*a.columns))
+    sides = row_counts_by_side(a, b)
+    return sides.filter("copies_a > 0 AND copies_b > 0").select(*a.columns)
 
 
 def rows_missing_from(a: DataFrame, b: DataFrame, bag: bool = False) -> DataFrame:
-    """Rows of ``a`` that ``b`` lacks, as a set or counting copies."""
-    other = b.select(*a.columns)
-    return a.exceptAll(other) if bag else a.subtract(other)
+    """Rows of ``a`` that ``b`` lacks, as a set or counting copies.
+
+    Copies are counted before the shuffle and, as a bag, dealt out again in
+    pieces, so that very many copies of one row burden no single task.
+    """
+    sides = row_counts_by_side(a, b)
+    if not bag:
+        return sides.filter("copies_a > 0 AND copies_b = 0").select(*a.columns)
+    surplus = sides.withColumn("_n", F.col("copies_a") - F.col("copies_b"))
+    return repeat_rows(surplus.filter("_n > 0"), "_n").select(*a.columns)

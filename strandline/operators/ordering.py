@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandline.functions.expressions import whole_div
 from strandline.session import cut_lineage
 
 # Rows of one key that a single task may sort.
@@ -23,6 +24,8 @@ HOT_ROWS = 5_000_000
 # The n-th largest key holds at most 1/n of all rows, so what lies beyond this
 # many hot keys is small enough for a plain window; nothing is left out.
 MAX_HOT_KEYS = 10_000
+# Copies of one row that one task writes out.
+EXPAND_CHUNK = 100_000
 
 _POSITION_BITS = 33  # monotonically_increasing_id: task number above, row below
 
@@ -143,3 +146,14 @@ def rank_within(
     )
     ranked_cold = cold_rows.withColumn(name, plain.cast("bigint"))
     return ranked_cold.unionByName(ranked_hot)
+
+
+def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its ``times`` says (at least once)."""
+    last = whole_div(F.col(times) - 1, EXPAND_CHUNK)
+    pieces = F.sequence(F.lit(0).cast("bigint"), last)
+    dealt = df.withColumn("_piece", F.explode(pieces))
+    dealt = dealt.repartition(*dealt.columns)
+    left = F.col(times) - F.col("_piece") * F.lit(EXPAND_CHUNK)
+    copies = F.sequence(F.lit(1), F.least(left, F.lit(EXPAND_CHUNK)).cast("int"))
+    return dealt.withColumn("_copy", F.explode(copies)).drop("_piece", "_copy")

@@ -1,6 +1,10 @@
 """The company register flow: one configuration of the operators.
 
 raw text -> staging -> bronze -> landing + rejects -> history
+
+Bronze is kept twice, as hive-partitioned Parquet and as a table with versions.
+Both copies feed a landing and a history of their own, and the two paths are
+compared with each other.
 """
 
 from __future__ import annotations
@@ -11,14 +15,17 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.operators import dedup, privacy, quality
+from strandline.operators import dedup, diff, privacy, quality
+from strandline.plans import verify
 from strandline.plans.history import HistoryStore
 from strandline.sources.delimited import (
     DAY_PARTS,
+    SOURCE_FILE,
     land_deliveries,
     read_deliveries,
     stage,
     with_day_parts,
+    write_deliveries,
 )
 from strandline.sources.parquet import read_hive, write_hive
 from strandline.sources.runlog import RunLog
@@ -54,6 +61,8 @@ NAMES = {
     "coadress": privacy.PERSON,
 }
 
+PARQUET, LAKE = "parquet", "lake"  # the two ways from bronze to history
+RUN_COLUMNS = ("last_updated_dt", "invocation_id", "source_file")
 
 
 def winner_order() -> list[Column]:
@@ -65,43 +74,34 @@ def winner_order() -> list[Column]:
 class Layers:
     """Where the layers of one register live."""
 
+    spark: SparkSession
     root: str
 
-    @property
-    def raw(self) -> str:
-        return f"{self.root}/raw"
-
-    @property
-    def bronze(self) -> str:
-        return f"{self.root}/bronze"
+    def path(self, layer: str) -> str:
+        return f"{self.root}/{layer}"
 
-    @property
-    def bronze_versions(self) -> str:
-        return f"{self.root}/bronze-versions"
-
-    @property
-    def landing(self) -> str:
-        return f"{self.root}/landing"
+    def raw(self) -> DataFrame:
+        return read_deliveries(self.spark, self.path("raw"), glob="*.csv")
 
-    @property
-    def rejects(self) -> str:
-        return f"{self.root}/rejects"
+    def bronze(self) -> DataFrame:
+        return read_hive(self.spark, self.path("bronze")).select(*COLUMNS)
 
     @property
-    def history(self) -> str:
-        return f"{self.root}/history"
+    def bronze_lake(self) -> VersionedTable:
+        return VersionedTable(self.spark, self.path("bronze-lake"))
 
-    @property
-    def audit(self) -> str:
-        return f"{self.root}/audit"
+    def landing(self, path: str = PARQUET) -> DataFrame:
+        return self.spark.read.parquet(self.path(f"landing-{path}"))
 
-    @property
-    def runs(self) -> str:
-        return f"{self.root}/runs"
+    def rejects(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("rejects"))
 
+    def history(self, path: str = PARQUET) -> HistoryStore:
+        root = self.path(f"history-{path}")
+        return HistoryStore(self.spark, root, (KEY,), TRACKED)
 
-def history_store(spark: SparkSession, layers: Layers) -> HistoryStore:
-    return HistoryStore(spark, layers.history, (KEY,), TRACKED)
+    def log(self, run_id: str) -> RunLog:
+        return RunLog(self.spark, self.path("runs"), run_id)
 
 
 def bronze_checks(bronze: DataFrame) -> list[quality.Check]:
@@ -124,60 +124,173 @@ def bronze_checks(bronze: DataFrame) -> list[quality.Check]:
 
 
 def run(
-    spark: SparkSession,
-    inbox: str,
-    layers: Layers,
-    run_id: str,
-    snapshot_ts: datetime,
+    layers: Layers, inbox: str, run_id: str, snapshot_ts: datetime
 ) -> list[quality.Outcome]:
-    """One full run.  Each layer is written and then read back by the next one."""
-    log = RunLog(spark, layers.runs, run_id)
-    stamp = F.lit(snapshot_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    """One full run.  Each layer is written and then read back by the next one.
 
-    land_deliveries(spark, inbox, layers.raw)
-    staged = stage(
-        read_deliveries(spark, layers.raw, glob="*.csv"), BUSINESS, run_id, stamp
+    A check that fails stops the run before the landings are touched.
+    """
+    log = layers.log(run_id)
+    _write_bronze(layers, inbox, run_id, snapshot_ts)
+
+    bronze = layers.bronze()
+    outcomes = quality.run_checks(
+        layers.spark, bronze_checks(bronze), layers.path("audit")
     )
+    for outcome in outcomes:
+        log.add(outcome.name, outcome.status, outcome.failures, 0.0)
+    if any(o.status == quality.FAILED for o in outcomes):
+        return outcomes
+
+    for path, rows in ((PARQUET, bronze), (LAKE, layers.bronze_lake.read_latest())):
+        _overwrite(
+            log,
+            f"landing-{path}",
+            dedup.latest_per_key(rows, [KEY], winner_order()),
+            layers.path(f"landing-{path}"),
+        )
+    lost = dedup.rejects(bronze, [KEY], winner_order())
+    _overwrite(log, "rejects", lost, layers.path("rejects"))
+
+    wrong = dedup.reconciliation_failures(reconciliation(layers)).count()
+    status = quality.FAILED if wrong else quality.PASSED
+    outcomes.append(quality.Outcome("dedup_reconciliation", status, wrong))
+    log.add("dedup_reconciliation", status, wrong, 0.0)
+    if wrong:
+        return outcomes
+
+    for path in (PARQUET, LAKE):
+        layers.history(path).apply(layers.landing(path), snapshot_ts, run_id)
+        log.add(f"history-{path}", "success", None, 0.0)
+    return outcomes
+
+
+def _write_bronze(
+    layers: Layers, inbox: str, run_id: str, snapshot_ts: datetime
+) -> None:
+    log = layers.log(run_id)
+    land_deliveries(layers.spark, inbox, layers.path("raw"))
+    stamp = F.lit(snapshot_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    staged = stage(layers.raw(), BUSINESS, run_id, stamp)
     log.write(
-        "bronze",
+        "bronze-parquet",
         with_day_parts(staged),
-        lambda df: write_hive(df, layers.bronze, DAY_PARTS),
+        lambda df: write_hive(df, layers.path("bronze"), DAY_PARTS),
     )
-    bronze = read_hive(spark, layers.bronze).select(*COLUMNS)
-    versions = VersionedTable(spark, layers.bronze_versions)
-    if versions.load_of(run_id) is None:
-        load = (versions.latest_load() or 0) + 1
+    lake = layers.bronze_lake
+    if lake.load_of(run_id) is None:
+        load = (lake.latest_load() or 0) + 1
         log.write(
-            "bronze_versions",
-            bronze,
-            lambda df: versions.write_load(df, load, run_id, snapshot_ts),
+            "bronze-lake",
+            staged,
+            lambda df: lake.write_load(df, load, run_id, snapshot_ts),
         )
 
-    outcomes = quality.run_checks(spark, bronze_checks(bronze), layers.audit)
-    for outcome in outcomes:
-        log.add(outcome.name, outcome.status, outcome.failures, 0.0)
-    if any(o.status == quality.FAILED for o in outcomes):
-        return outcomes
 
-    log.write(
-        "landing",
-        dedup.latest_per_key(bronze, [KEY], winner_order()),
-        lambda df: df.write.mode("overwrite").parquet(layers.landing),
+def _overwrite(log: RunLog, step: str, rows: DataFrame, path: str) -> None:
+    log.write(step, rows, lambda df: df.write.mode("overwrite").parquet(path))
+
+
+# --- reports ---------------------------------------------------------------
+
+
+def reconciliation(layers: Layers) -> DataFrame:
+    return dedup.reconcile_counts(
+        layers.bronze(), layers.landing(), layers.rejects()
     )
-    log.write(
-        "rejects",
-        dedup.rejects(bronze, [KEY], winner_order()),
-        lambda df: df.write.mode("overwrite").parquet(layers.rejects),
+
+
+def summary(layers: Layers) -> DataFrame:
+    """Rows per layer."""
+    return verify.layer_counts(
+        [
+            verify.whole_layer(layers.raw(), "raw"),
+            verify.whole_layer(layers.bronze(), "bronze parquet"),
+            verify.whole_layer(layers.bronze_lake.read_latest(), "bronze lake"),
+            verify.whole_layer(layers.landing(PARQUET), "landing (from parquet)"),
+            verify.whole_layer(layers.landing(LAKE), "landing (from lake)"),
+            verify.whole_layer(layers.rejects(), "rejects"),
+            verify.counted_history(
+                layers.history(PARQUET).history(), "scd2 (parquet path)"
+            ),
+            verify.counted_history(layers.history(LAKE).history(), "scd2 (lake path)"),
+        ]
     )
-    landing = spark.read.parquet(layers.landing)
-    recon = dedup.reconcile_counts(bronze, landing, spark.read.parquet(layers.rejects))
-    lost = dedup.reconciliation_failures(recon).count()
-    status = quality.FAILED if lost else quality.PASSED
-    outcomes.append(quality.Outcome("dedup_reconciliation", status, lost))
-    log.add("dedup_reconciliation", status, lost, 0.0)
-    if lost:
-        return outcomes
 
-    history_store(spark, layers).apply(landing, snapshot_ts, run_id)
-    log.add("history", "success", None, 0.0)
-    return outcomes
+
+def lineage(layers: Layers, key: str | None = None) -> DataFrame | None:
+    """One company in every layer; without a key an interesting one is taken."""
+    parquet = layers.history(PARQUET).history()
+    wanted = verify.interesting_key(parquet, KEY) if key is None else key
+    if wanted is None:
+        return None
+    staged = stage(layers.raw(), BUSINESS, "")
+    return verify.entity_lineage(
+        [
+            verify.plain_layer(staged, "raw"),
+            verify.plain_layer(layers.bronze(), "bronze parquet"),
+            verify.plain_layer(layers.bronze_lake.read_latest(), "bronze lake"),
+            verify.plain_layer(layers.landing(PARQUET), "landing (from parquet)"),
+            verify.plain_layer(layers.landing(LAKE), "landing (from lake)"),
+            verify.rejects_layer(layers.rejects()),
+            verify.history_layer(parquet, "scd2 parquet"),
+            verify.history_layer(layers.history(LAKE).history(), "scd2 lake"),
+        ],
+        KEY,
+        "namn",
+        "effective_date",
+        wanted,
+    )
+
+
+def integrity(layers: Layers) -> DataFrame:
+    """Empty if the layers are sound."""
+    return verify.integrity_problems(
+        KEY,
+        {
+            "landing-from-parquet": layers.landing(PARQUET),
+            "landing-from-lake": layers.landing(LAKE),
+        },
+        {
+            "scd2 parquet": layers.history(PARQUET).history(),
+            "scd2 lake": layers.history(LAKE).history(),
+        },
+        reconciliation(layers),
+    )
+
+
+def compare_landings(layers: Layers) -> DataFrame:
+    """Both bronze paths must give the same landing."""
+    return diff.compare_relations(
+        layers.landing(PARQUET), layers.landing(LAKE), exclude=RUN_COLUMNS
+    )
+
+
+def compare_histories(layers: Layers) -> DataFrame:
+    """Both histories, intervals included: the two are taken at one given time."""
+    return diff.compare_relations(
+        layers.history(PARQUET).history(),
+        layers.history(LAKE).history(),
+        exclude=RUN_COLUMNS,
+        bag=True,
+    )
+
+
+# --- pseudonyms ------------------------------------------------------------
+
+
+def pseudonymise_deliveries(
+    spark: SparkSession, source: str, target: str, glob: str, dry_run: bool = False
+) -> DataFrame:
+    """Deliveries with pseudonyms for names, written to ``target``; one line per
+    file says what was (or would be) rewritten.  The source is left alone.
+    """
+    rows = read_deliveries(spark, source, glob)
+    have = {c.lower(): c for c in rows.columns}
+    names = {have.get(name, name): kind for name, kind in NAMES.items()}
+    key = have.get(KEY, KEY)
+    report = privacy.pseudonymisation_report(rows, SOURCE_FILE, key, names)
+    if not dry_run:
+        done = privacy.pseudonymise_open_files(rows, SOURCE_FILE, key, names)
+        write_deliveries(done, target)
+    return report

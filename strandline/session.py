@@ -19,6 +19,10 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # Checkpoints go when the frames that use them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Sessions of a busy key are merged before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

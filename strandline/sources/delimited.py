@@ -185,23 +185,34 @@ def land_deliveries(
     if not taken.isEmpty():
         rows = read_deliveries(spark, inbox, glob, encoding, delimiter, files=taken)
         file = F.element_at(F.split(SOURCE_FILE, "/"), -1)
-        (
-            rows.withColumn(SOURCE_FILE, file)
-            .withColumn("_digits", file_date_text(SOURCE_FILE))
-            .withColumns(day_texts("_digits"))
-            .drop("_digits")
-            # Even files, however large one day is.
-            .hint("rebalance", *DAY_PARTS)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .options(**_csv_options(delimiter, encoding))
-            .partitionBy(*DAY_PARTS)
-            .format("csv")
-            .save(raw_root)
+        dated = rows.withColumn(SOURCE_FILE, file).withColumn(
+            "_digits", file_date_text(SOURCE_FILE)
         )
+        laid = dated.withColumns(day_texts("_digits")).drop("_digits")
+        write_deliveries(laid, raw_root, encoding, delimiter)
     return laid_out
 
 
+def write_deliveries(
+    rows: DataFrame,
+    root: str,
+    encoding: str = ENCODING,
+    delimiter: str = DELIMITER,
+) -> None:
+    """Delimited text by day; the days that come in replace the same days.
+
+    Files are evened out, however large one day is.
+    """
+    (
+        rows.hint("rebalance", *DAY_PARTS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .options(**_csv_options(delimiter, encoding))
+        .partitionBy(*DAY_PARTS)
+        .csv(root)
+    )
+
+
 # --- staging ---------------------------------------------------------------
 
 

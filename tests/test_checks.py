@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import expressions as ex
-from strandline.operators import diff, dedup, keys, pivot, privacy, quality, summaries
+from strandline.operators import dedup, diff, keys, ordering, pivot, privacy, quality, summaries
 from strandline.plans import verify
 from tests.conftest import plan_of, rows
 
@@ -45,6 +45,14 @@ def test_sets_and_bags(spark):
     assert rows(diff.common_rows(a, b)) == [(1, "x"), (2, None)]
 
 
+def test_many_copies_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "EXPAND_CHUNK", 7)
+    a = spark.range(50).select(F.lit("x").alias("v"))
+    b = spark.createDataFrame([("x",)] * 3 + [("y",)], "v string")
+    assert rows(diff.rows_missing_from(a, b, bag=True)) == [("x",)] * 47
+    assert rows(diff.rows_missing_from(b, a, bag=True)) == [("y",)]
+
+
 def test_excluded_columns_and_differing_schemas(spark):
     a, b = ab(spark)
     only = diff.compare_relations(a.withColumn("at", F.rand()), b, exclude=["at", "v"])

@@ -1,18 +1,19 @@
 from __future__ import annotations
 
 import random
+import shutil
 from collections import Counter
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from strandline import __main__ as command_line
 from strandline.operators import dedup, diff, quality, scd2
 from strandline.plans import register
 from strandline.plans.register import BUSINESS, COLUMNS, KEY, Layers
+from strandline.sources.delimited import read_deliveries
 from strandline.sources.parquet import read_hive
-from strandline.sources.runlog import RunLog
-from strandline.sources.versions import VersionedTable
 from strandline.streaming import windows as stream_windows
 from strandline.streaming.ingest import DeliveryIngest
 from tests.conftest import rows
@@ -31,7 +32,7 @@ def flow(spark, tmp_path_factory):
     """Two runs of the whole flow over growing deliveries."""
     root = tmp_path_factory.mktemp("register")
     inbox = root / "inbox"
-    layers = Layers(str(root / "lake"))
+    layers = Layers(spark, str(root / "lake"))
     write_delivery(
         inbox / "reg_20240301T120000_1.txt",
         HEADER,
@@ -45,7 +46,7 @@ def flow(spark, tmp_path_factory):
         ],
     )
     write_delivery(inbox / "nodate.txt", HEADER, [line("9")])
-    first = register.run(spark, str(inbox), layers, "run-1", datetime(2024, 3, 1))
+    first = register.run(layers, str(inbox), "run-1", datetime(2024, 3, 1))
     write_delivery(
         inbox / "reg_20240308T120000_1.txt",
         list(reversed(HEADER)),
@@ -55,14 +56,18 @@ def flow(spark, tmp_path_factory):
             list(reversed(line("5"))),
         ],
     )
-    second = register.run(spark, str(inbox), layers, "run-2", datetime(2024, 3, 8))
+    second = register.run(layers, str(inbox), "run-2", datetime(2024, 3, 8))
     return layers, first, second
 
 
 def test_outcomes_warn_about_repeated_keys(flow):
     _, first, second = flow
-    expected = [("not_null_peorgnr", "pass"), ("unique_peorgnr", "warn"),
-                ("not_null_effective_date", "pass"), ("dedup_reconciliation", "pass")]
+    expected = [
+        ("not_null_peorgnr", "pass"),
+        ("unique_peorgnr", "warn"),
+        ("not_null_effective_date", "pass"),
+        ("dedup_reconciliation", "pass"),
+    ]
     assert [(o.name, o.status) for o in first] == expected
     assert [(o.name, o.status) for o in second] == expected
     assert second[1].failures == 3
@@ -70,10 +75,9 @@ def test_outcomes_warn_about_repeated_keys(flow):
 
 def test_layers_hold_what_they_should(spark, flow):
     layers, _, _ = flow
-    bronze = read_hive(spark, layers.bronze)
-    assert bronze.columns == [*COLUMNS, "year", "month", "day"]
-    landing = spark.read.parquet(layers.landing)
-    lost = spark.read.parquet(layers.rejects)
+    stored = read_hive(spark, layers.path("bronze"))
+    assert stored.columns == [*COLUMNS, "year", "month", "day"]
+    landing, lost = layers.landing(), layers.rejects()
     assert landing.columns == list(COLUMNS)
     assert lost.columns == [*COLUMNS, dedup.RANK]
     assert rows(landing.select(KEY, "postort", "gatuadress", "effective_date")) == [
@@ -85,14 +89,14 @@ def test_layers_hold_what_they_should(spark, flow):
     ]
     assert rows(lost.select(KEY, dedup.RANK)) == [("1", 2), ("2", 2), ("2", 3), ("3", 2)]
     together = landing.union(lost.drop(dedup.RANK))
-    assert diff.surplus_rows(together, bronze.select(*COLUMNS)).isEmpty()
+    assert diff.surplus_rows(together, layers.bronze()).isEmpty()
 
 
-def test_history_and_versions(spark, flow):
+@pytest.mark.parametrize("path", [register.PARQUET, register.LAKE])
+def test_history(flow, path):
     layers, _, _ = flow
-    store = register.history_store(spark, layers)
-    history = store.history()
-    seen = history.select(KEY, "postort", "effective_date", scd2.FROM, scd2.TO)
+    history = layers.history(path)
+    seen = history.history().select(KEY, "postort", "effective_date", scd2.FROM, scd2.TO)
     one, two = datetime(2024, 3, 1), datetime(2024, 3, 8)
     assert rows(seen) == [
         ("1", "LUND", date(2024, 3, 8), two, None),
@@ -102,41 +106,99 @@ def test_history_and_versions(spark, flow):
         ("4", "MALMÖ", date(2024, 3, 1), one, None),
         ("5", "MALMÖ", date(2024, 3, 8), two, None),
     ]
-    assert store.history(1).count() == 4
-    versions = VersionedTable(spark, layers.bronze_versions)
-    assert versions.read_as_of(datetime(2024, 3, 5)).count() == 6
-    assert versions.read_latest().count() == 9
+    assert history.history(1).count() == 4
 
 
-def test_both_bronze_paths_agree(spark, flow):
+def test_bronze_can_be_read_as_of_a_time(flow):
     layers, _, _ = flow
-    lake = VersionedTable(spark, layers.bronze_versions).read_latest()
-    again = dedup.latest_per_key(lake, [KEY], register.winner_order())
-    compared = diff.compare_relations(spark.read.parquet(layers.landing), again)
-    assert rows(compared) == [(True, True, 5, 100.0)]
+    assert layers.bronze_lake.read_as_of(datetime(2024, 3, 5)).count() == 6
+    assert layers.bronze_lake.read_latest().count() == 9
+
+
+def test_reports(flow):
+    layers, _, _ = flow
+    assert rows(register.summary(layers)) == [
+        ("bronze lake", 9),
+        ("bronze parquet", 9),
+        ("landing (from lake)", 5),
+        ("landing (from parquet)", 5),
+        ("raw", 9),
+        ("rejects", 4),
+        ("scd2 (lake path) current only", 5),
+        ("scd2 (lake path) total", 6),
+        ("scd2 (parquet path) current only", 5),
+        ("scd2 (parquet path) total", 6),
+    ]
+    found = register.lineage(layers)
+    assert {r[KEY] for r in found.collect()} == {"1"}
+    assert found.count() == 2 + 2 + 2 + 1 + 1 + 1 + 2 + 2
+    assert register.lineage(layers, "5").count() == 7
+    assert register.integrity(layers).isEmpty()
+    assert rows(register.compare_landings(layers)) == [(True, True, 5, 100.0)]
+    assert rows(register.compare_histories(layers)) == [(True, True, 6, 100.0)]
 
 
 def test_runs_are_logged_and_failures_kept(spark, flow):
     layers, _, _ = flow
-    lines = RunLog(spark, layers.runs, "").lines()
+    lines = layers.log("").lines()
     counted = lines.filter("run_id = 'run-2'").select("step", "status", "rows")
     assert set(rows(counted)) >= {
-        ("bronze", "success", 9),
-        ("landing", "success", 5),
+        ("bronze-parquet", "success", 9),
+        ("bronze-lake", "success", 9),
+        ("landing-parquet", "success", 5),
+        ("landing-lake", "success", 5),
         ("rejects", "success", 4),
         ("unique_peorgnr", "warn", 3),
         ("dedup_reconciliation", "pass", 0),
     }
-    kept = spark.read.parquet(f"{layers.audit}/unique_peorgnr")
+    kept = spark.read.parquet(layers.path("audit/unique_peorgnr"))
     assert rows(kept) == [("1", 2), ("2", 3), ("3", 2)]
 
 
 def test_unknown_keys_stop_the_run(spark, tmp_path):
     write_delivery(tmp_path / "in/reg_20240301T120000_1.txt", HEADER, [line("")])
-    layers = Layers(str(tmp_path / "lake"))
-    outcomes = register.run(spark, str(tmp_path / "in"), layers, "r", datetime(2024, 3, 1))
+    layers = Layers(spark, str(tmp_path / "lake"))
+    outcomes = register.run(layers, str(tmp_path / "in"), "r", datetime(2024, 3, 1))
     assert outcomes[0] == quality.Outcome("not_null_peorgnr", quality.FAILED, 1)
-    assert not (tmp_path / "lake/landing").exists()
+    assert not (tmp_path / "lake/landing-parquet").exists()
+
+
+def test_pseudonyms_in_deliveries(spark, tmp_path):
+    source, target = tmp_path / "raw", str(tmp_path / "masked")
+    day = source / "year=2024/month=03/day=01"
+    open_rows = [line("169999999901", namn="Eva"), line("169999999902")]
+    write_delivery(day / "open_20240301.txt", HEADER, open_rows)
+    done_rows = [line("169999999903", foretagsnamn="DEMO AB 9999")]
+    write_delivery(day / "done_20240301.txt", HEADER, done_rows)
+    glob = "*.txt"
+    dry = register.pseudonymise_deliveries(spark, str(source), target, glob, dry_run=True)
+    counts = dry.select("rows_seen", "rows_rewritten", "already_anonymised")
+    assert rows(counts) == [(1, 0, True), (2, 2, False)]
+    assert not (tmp_path / "masked").exists()
+    register.pseudonymise_deliveries(spark, str(source), target, glob)
+    masked = read_deliveries(spark, target, "*.csv")
+    assert rows(masked.select("Peorgnr", "Foretagsnamn", "Postort")) == [
+        ("169999999901", "DEMO AB 2649", "MALMÖ"),
+        ("169999999902", "DEMO AB 2193", "MALMÖ"),
+        ("169999999903", "DEMO AB 9999", "MALMÖ"),
+    ]
+
+
+def test_command_line(flow, spark, tmp_path, capsys, monkeypatch):
+    layers, _, _ = flow
+    monkeypatch.setattr(command_line, "build_session", lambda: spark)
+    assert command_line.main(["verify", "--root", layers.root]) == 0
+    shown = capsys.readouterr().out
+    assert "scd2 (lake path) total" in shown and "no issues detected" in shown
+    assert command_line.main(["verify", "--root", layers.root, "--key", "5"]) == 0
+    assert "landing (from lake)" in capsys.readouterr().out
+    assert command_line.main(["verify", "--root", str(tmp_path)]) == 2
+    broken = layers.landing().limit(3)
+    copy = str(tmp_path / "broken")
+    shutil.copytree(layers.root, copy)
+    broken.write.mode("overwrite").parquet(f"{copy}/landing-parquet")
+    assert command_line.main(["verify", "--root", copy, "--integrity"]) == 1
+    assert "bronze_n=9 winners_n=3 rejects_n=4" in capsys.readouterr().out
 
 
 # --- streams ---------------------------------------------------------------
