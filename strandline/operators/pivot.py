@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 
 def entity_id(df: DataFrame, row_id: str, name: str) -> DataFrame:
-    """The digits that end a technical row id such as ``householdID_1919``."""
-    digits = F.regexp_extract(F.col(row_id), r"(\d+)$", 1)
-    return df.withColumn(name, F.when(digits != "", digits))
+    """The digits that end a technical row id such as ``householdID_1919``.
+
+    An id without such digits gives an empty text.
+    """
+    return df.withColumn(name, F.regexp_extract(F.col(row_id), r"(\d+)$", 1))
 
 
 def pivot_attributes(

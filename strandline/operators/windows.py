@@ -145,6 +145,29 @@ def hopping_counts(
     )
 
 
+def window_starts(
+    df: DataFrame, ts: str, hop_minutes: int = 5
+) -> DataFrame:
+    """The starts of all hopping windows from the first to the last day of ``df``.
+
+    The end of the last day is not a start any more.  The two days come from a
+    one-row aggregate; days are spread out before they are cut into starts.
+    """
+    if 24 * 60 % hop_minutes:
+        raise ValueError("hop_minutes must divide a day")
+    day = F.to_date(F.col(ts))
+    days = df.agg(F.min(day).alias("first"), F.max(day).alias("last")).select(
+        F.explode(F.sequence("first", "last")).alias("day")
+    )
+    midnight = F.col("day").cast("timestamp_ntz")
+    hop = F.make_dt_interval(mins=F.lit(hop_minutes))
+    until = midnight + F.make_dt_interval(days=F.lit(1)) - F.make_dt_interval(
+        secs=F.lit(1)
+    )
+    starts = F.explode(F.sequence(midnight, until, hop))
+    return days.repartition("day").select(starts.alias("window_start"))
+
+
 def busiest(df: DataFrame, count: str, start: str, n: int = 5) -> DataFrame:
     """The n highest counts, earliest first among equals."""
     return df.orderBy(F.col(count).desc(), F.col(start).asc_nulls_last()).limit(n)

@@ -62,6 +62,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return stream_windows.file_stream(spark, sf_dir, "events.parquet")
+
+
 # --- shared inputs ---------------------------------------------------------
 
 
@@ -292,6 +297,10 @@ def hopping_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hopping_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.window_starts(table(spark, sf_dir, "events"), "ts")
+
+
 def hopping_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.busiest(
         hopping_all(spark, sf_dir), "number_of_services", "window_start"
@@ -849,7 +858,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_windows.run_to_end(
         stream_windows.tumbling_counts(
-            stream_windows.file_stream(spark, sf_dir, "events.parquet"), "ts", "1 hour"
+            event_stream(spark, sf_dir), "ts", "1 hour"
         ),
         scratch_path(spark, "stream"),
     )
@@ -858,7 +867,7 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_hopping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_windows.run_to_end(
         stream_windows.hopping_counts(
-            stream_windows.file_stream(spark, sf_dir, "events.parquet"), "ts"
+            event_stream(spark, sf_dir), "ts"
         ),
         scratch_path(spark, "stream"),
     )
@@ -867,7 +876,7 @@ def stream_hopping(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_windows.run_to_end(
         stream_windows.session_counts(
-            stream_windows.file_stream(spark, sf_dir, "events.parquet"),
+            event_stream(spark, sf_dir),
             "ts",
             "user_id",
         ),
@@ -898,6 +907,7 @@ QUERIES: dict[str, Query] = {
         tumbling_quarter_profile,
         tumbling_offset_profile,
         hopping_all,
+        hopping_starts,
         hopping_top5,
         sliding_count,
         sliding_top5,

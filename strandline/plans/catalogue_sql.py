@@ -334,6 +334,11 @@ SELECT strftime(time_bucket(INTERVAL 25 MINUTE, ts, INTERVAL 5 MINUTE), '%H:%M')
        count(*) / 30 AS number_of_services
 FROM events WHERE year(ts) = 2024 GROUP BY ALL""",
     "hopping_all": HOPPING,
+    "hopping_starts": """
+SELECT unnest(range(
+    (SELECT date_trunc('day', min(ts))::TIMESTAMP FROM events),
+    (SELECT date_trunc('day', max(ts))::TIMESTAMP + INTERVAL 1 DAY FROM events),
+    INTERVAL 5 MINUTE)) AS window_start""",
     "hopping_top5": f"{HOPPING} ORDER BY number_of_services DESC, window_start LIMIT 5",
     "sliding_count": SLIDING,
     "sliding_top5": f"{SLIDING} ORDER BY number_of_services DESC, window_start LIMIT 5",

@@ -35,11 +35,11 @@ class HistoryStore:
     def apply(self, landing: DataFrame, snapshot_ts: datetime, token: str) -> int:
         """Merge a landing into the history; a known ``token`` changes nothing."""
         table = self.table
-        done = table.entries()
-        known = [load for load, seen, _ in done if seen == token]
+        done = table.finished()
+        known = [load.number for load in done if load.token == token]
         if known:
             return known[0]
-        last = done[-1][0] if done else None
+        last = done[-1].number if done else None
         if last is None:
             load, rows = 1, first_snapshot(landing, self.keys, snapshot_ts)
         else:

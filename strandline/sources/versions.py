@@ -7,15 +7,31 @@ cut short is simply written again.  One writer at a time.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOAD = "load_id"
-_LOADS_SCHEMA = "token string, loaded_at timestamp_ntz"
+_ENTRY = "token string, loaded_at timestamp_ntz, columns string"
+
+
+@dataclass(frozen=True)
+class Load:
+    """One finished load; ``columns`` is its schema as JSON."""
+
+    number: int
+    token: str
+    loaded_at: datetime
+    columns: str
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.columns))
 
 
 @dataclass(frozen=True)
@@ -34,34 +50,39 @@ class VersionedTable:
 
     def loads(self) -> DataFrame:
         """``load_id``, ``token`` and ``loaded_at`` of every finished load."""
+        return self._entries().drop("columns")
+
+    def _entries(self) -> DataFrame:
         try:
             return (
-                self.spark.read.schema(f"{_LOADS_SCHEMA}, {LOAD} bigint")
+                self.spark.read.schema(f"{_ENTRY}, {LOAD} bigint")
                 .parquet(self.loads_path)
-                .select(LOAD, "token", "loaded_at")
+                .select(LOAD, "token", "loaded_at", "columns")
             )
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], f"{LOAD} bigint, {_LOADS_SCHEMA}")
+            return self.spark.createDataFrame([], f"{LOAD} bigint, {_ENTRY}")
 
-    def entries(self) -> list[tuple[int, str, datetime]]:
+    def finished(self) -> list[Load]:
         """The finished loads in order; one small row per load."""
-        return sorted(tuple(row) for row in self.loads().collect())
+        found = [Load(*row) for row in self._entries().collect()]
+        return sorted(found, key=lambda load: load.number)
 
     def latest_load(self) -> int | None:
-        done = self.entries()
-        return done[-1][0] if done else None
+        done = self.finished()
+        return done[-1].number if done else None
 
     def load_of(self, token: str) -> int | None:
         """The number of the load that was made for ``token``, if it was."""
-        return next((n for n, known, _ in self.entries() if known == token), None)
+        numbers = (load.number for load in self.finished() if load.token == token)
+        return next(numbers, None)
 
     def write_load(
         self, df: DataFrame, load_id: int, token: str, loaded_at: datetime
     ) -> bool:
         """Write one load; False (and nothing done) if it is there already."""
-        if any(load_id == n for n, _, _ in self.entries()):
+        if any(load_id == load.number for load in self.finished()):
             return False
         writer = df.write.mode("overwrite")
         if self.partition_by:
@@ -71,36 +92,52 @@ class VersionedTable:
         entry = self.spark.range(1, numPartitions=1).select(
             F.lit(token).alias("token"),
             F.lit(text).cast("timestamp_ntz").alias("loaded_at"),
+            F.lit(df.schema.json()).alias("columns"),
         )
         entry.write.mode("overwrite").parquet(f"{self.loads_path}/{LOAD}={load_id}")
         return True
 
-    def all_loads(self, evolved: bool = False) -> DataFrame:
-        """The rows of all finished loads, with ``load_id``."""
-        done = [n for n, _, _ in self.entries()]
+    def all_loads(self) -> DataFrame:
+        """The rows of all finished loads, with ``load_id``.
+
+        Loads may differ in their columns: each row has the columns of all loads,
+        unknown where its own load had none.
+        """
+        done = self.finished()
+        if not done:
+            raise LookupError(f"{self.root} has no load yet")
+        fields = {}
+        for load in done:
+            fields.update({field.name: field for field in load.schema.fields})
+        schema = T.StructType([*fields.values(), T.StructField(LOAD, T.LongType())])
         rows = (
             self.spark.read.option("basePath", self.data_path)
-            .option("mergeSchema", str(evolved).lower())
+            .schema(schema)
             .parquet(self.data_path)
         )
         # A list of numbers prunes the folders of unfinished loads.
-        return rows.filter(F.col(LOAD).isin(done))
+        return rows.filter(F.col(LOAD).isin([load.number for load in done]))
+
+    def _read(self, load: Load) -> DataFrame:
+        path = f"{self.data_path}/{LOAD}={load.number}"
+        return self.spark.read.schema(load.schema).parquet(path)
 
     def read_version(self, load_id: int) -> DataFrame:
         """The table as one load left it."""
-        if all(load_id != n for n, _, _ in self.entries()):
-            raise LookupError(f"{self.root} has no load {load_id}")
-        return self.spark.read.parquet(f"{self.data_path}/{LOAD}={load_id}")
+        for load in self.finished():
+            if load.number == load_id:
+                return self._read(load)
+        raise LookupError(f"{self.root} has no load {load_id}")
 
     def read_latest(self) -> DataFrame:
-        latest = self.latest_load()
-        if latest is None:
+        done = self.finished()
+        if not done:
             raise LookupError(f"{self.root} has no load yet")
-        return self.read_version(latest)
+        return self._read(done[-1])
 
     def read_as_of(self, moment: datetime) -> DataFrame:
         """The table as it stood at a time."""
-        known = [(at, n) for n, _, at in self.entries() if at <= moment]
+        known = [load for load in self.finished() if load.loaded_at <= moment]
         if not known:
             raise LookupError(f"{self.root} has no load before {moment}")
-        return self.read_version(max(known)[1])
+        return self._read(max(known, key=lambda load: (load.loaded_at, load.number)))

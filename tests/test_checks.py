@@ -276,7 +276,7 @@ def test_attributes_become_columns(spark):
     }
     found = [(r[0], r[1], r[2] and float(r[2]), r[3]) for r in wide.collect()]
     assert sorted(found, key=str) == sorted(
-        [("1919", "f1", 10.25, 2), ("1919", "f2", None, None), (None, "f2", 1.0, None)],
+        [("1919", "f1", 10.25, 2), ("1919", "f2", None, None), ("", "f2", 1.0, None)],
         key=str,
     )
     reports = [tuple(r) for r in pivot.rows_per_report(long).collect()]

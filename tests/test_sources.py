@@ -216,6 +216,19 @@ def test_versions_by_number_and_time(spark, tmp_path):
             missing()
 
 
+def test_loads_may_differ_in_columns_or_be_empty(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "v"), partition_by=("p",))
+    none = spark.createDataFrame([], "v int, p string")
+    more = spark.createDataFrame([(2, "x", "new")], "v int, p string, extra string")
+    table.write_load(none, 1, "a", datetime(2024, 1, 1))
+    assert table.read_latest().isEmpty()
+    table.write_load(none.union(spark.createDataFrame([(1, "x")], none.schema)), 2, "b", datetime(2024, 1, 2))
+    table.write_load(more, 3, "c", datetime(2024, 1, 3))
+    found = table.all_loads().select("load_id", "v", "p", "extra")
+    assert rows(found) == [(2, 1, "x", None), (3, 2, "x", "new")]
+    assert rows(table.loads().select("load_id", "token")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
 def test_run_log_counts_rows_as_they_pass(spark, tmp_path):
     log = RunLog(spark, str(tmp_path / "runs"), "run-1")
     out = str(tmp_path / "out")
