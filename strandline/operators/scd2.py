@@ -69,6 +69,8 @@ def merge_snapshot(
     check: Sequence[str],
     snapshot_ts: datetime,
     close_missing: bool = False,
+    changes_only: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Compare the open versions with a landing and say what becomes of each row.
 
@@ -76,18 +78,23 @@ def merge_snapshot(
     and inserted ones apart.  A version is replaced when any ``check`` column
     differs (NULL equals NULL only); unchanged versions keep all their columns.
     Keys that the landing lacks stay open unless ``close_missing``.
+
+    With ``changes_only`` kept versions are left out, and versions whose key the
+    landing lacks need not take part in the join.  ``carry`` names columns that
+    only ``current`` has; they are unknown in new versions.
     """
     columns = [c for c in landing.columns if c not in META]
     source = one_row_per_key(landing.select(*columns), keys)
     old = current.select(
         *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.struct(*columns, *META).alias("old"),
+        F.struct(*columns, *META, *carry).alias("old"),
     )
     new = source.select(*keys, F.struct(*columns).alias("new"))
     match = F.lit(True)
     for key in keys:
         match = match & (F.col(f"_key_{key}") == F.col(key))
-    joined = old.join(new, match, "full")
+    every_key = close_missing or not changes_only
+    joined = old.join(new, match, "full" if every_key else "right")
 
     has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
     differs = F.lit(False)
@@ -99,11 +106,16 @@ def merge_snapshot(
 
     now = _moment(snapshot_ts)
     none = F.lit(None).cast("timestamp_ntz")
+    carried = {c: current.schema[c].dataType for c in carry}
 
     def row(side: str, change: Column, *meta: Column) -> Column:
         return F.struct(
             *[F.col(f"{side}.{c}").alias(c) for c in columns],
             *[value.alias(name) for name, value in zip(META, meta, strict=True)],
+            *[
+                (F.col(f"old.{c}") if side == "old" else F.lit(None).cast(kind)).alias(c)
+                for c, kind in carried.items()
+            ],
             change.alias(CHANGE),
         )
 
@@ -120,7 +132,10 @@ def merge_snapshot(
     opened = row("new", F.lit(INSERT), fresh_id, now, now, none)
     inserts = (has_new & ~has_old) | changed
     rows = F.filter(
-        F.array(F.when(has_old, kept), F.when(inserts, opened)),
+        F.array(
+            F.when(closing if changes_only else has_old, kept),
+            F.when(inserts, opened),
+        ),
         lambda r: r.isNotNull(),
     )
     return joined.select(F.explode(rows).alias("row")).select("row.*")

@@ -1,9 +1,10 @@
 """A type 2 history on plain Parquet, published load by load.
 
-Spark cannot update Parquet in place, so every load writes its open versions
-anew and adds the versions it closed.  A state of the history is the open
-versions of one load and the closed ones of all loads up to it; both are whole
-folders, so reading a state prunes to just those.
+Spark cannot update Parquet in place.  A load therefore adds the versions it
+opened and those it closed, and leaves all others alone, however many there are;
+every now and then a load writes all open versions anew, so that readers have
+few changes to put together.  Loads are whole folders: reading a state prunes to
+the folders it needs.
 """
 
 from __future__ import annotations
@@ -14,47 +15,68 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.operators.scd2 import CHANGE, TO, first_snapshot, merge_snapshot
+from strandline.operators.scd2 import (
+    CHANGE,
+    CLOSE,
+    first_snapshot,
+    merge_snapshot,
+)
 from strandline.sources.versions import LOAD, VersionedTable
 
 STATE, OPEN, CLOSED = "state", "open", "closed"
+# The load that opened a version; with the key it tells versions apart.
+OPENED_BY = "opened_by_load"
 
 
 @dataclass(frozen=True)
 class HistoryStore:
+    """Every ``whole_every`` loads all open versions are written anew."""
+
     spark: SparkSession
     root: str
     keys: tuple[str, ...]
     check: tuple[str, ...]
     close_missing: bool = False
+    whole_every: int = 10
 
     @property
     def table(self) -> VersionedTable:
         return VersionedTable(self.spark, self.root, partition_by=(STATE,))
 
     def apply(self, landing: DataFrame, snapshot_ts: datetime, token: str) -> int:
-        """Merge a landing into the history; a known ``token`` changes nothing."""
+        """Merge a landing into the history; a known ``token`` changes nothing.
+
+        The landing may be a part of the keys only, unless missing keys are to
+        be closed.
+        """
         table = self.table
         done = table.finished()
         known = [load.number for load in done if load.token == token]
         if known:
             return known[0]
-        last = done[-1].number if done else None
-        if last is None:
-            load, rows = 1, first_snapshot(landing, self.keys, snapshot_ts)
+        last = done[-1].number if done else 0
+        load = last + 1
+        whole = not done or load - table.base_of(last) >= self.whole_every
+        if not done:
+            rows = first_snapshot(landing, self.keys, snapshot_ts)
+            opened_by = F.lit(load)
         else:
-            load = last + 1
             rows = merge_snapshot(
-                self.current(last),
+                self._open(last),
                 landing,
                 self.keys,
                 self.check,
                 snapshot_ts,
                 self.close_missing,
+                changes_only=not whole,
+                carry=[OPENED_BY],
             )
-        state = F.when(F.col(TO).isNull(), OPEN).otherwise(CLOSED)
-        marked = rows.drop(CHANGE).withColumn(STATE, state)
-        table.write_load(marked, load, token, snapshot_ts)
+            opened_by = F.coalesce(F.col(OPENED_BY), F.lit(load))
+        state = F.when(F.col(CHANGE) == CLOSE, CLOSED).otherwise(OPEN)
+        marked = rows.withColumns(
+            {OPENED_BY: opened_by.cast("bigint"), STATE: state}
+        ).drop(CHANGE)
+        table.write_load(marked, load, token, snapshot_ts, whole)
         return load
 
     def _state(self, load: int | None) -> int:
@@ -63,14 +85,26 @@ class HistoryStore:
             raise LookupError(f"{self.root} has no load yet")
         return load
 
+    def _open(self, load: int) -> DataFrame:
+        """Open versions: the last whole load, and what came and went since."""
+        table = self.table
+        base = table.base_of(load)
+        rows = table.all_loads().filter(F.col(LOAD).between(base, load))
+        opened = rows.filter(F.col(STATE) == OPEN).drop(LOAD, STATE)
+        if base == load:
+            return opened
+        gone = rows.filter((F.col(STATE) == CLOSED) & (F.col(LOAD) > base))
+        version = [*self.keys, OPENED_BY]
+        return opened.join(gone.select(*version), version, "left_anti")
+
     def current(self, load: int | None = None) -> DataFrame:
         """The open versions after a load (the latest if none is named)."""
-        rows = self.table.read_version(self._state(load))
-        return rows.filter(F.col(STATE) == OPEN).drop(STATE)
+        return self._open(self._state(load)).drop(OPENED_BY)
 
     def history(self, load: int | None = None) -> DataFrame:
         """All versions after a load (the latest if none is named)."""
         last = self._state(load)
-        opened = (F.col(STATE) == OPEN) & (F.col(LOAD) == last)
-        closed = (F.col(STATE) == CLOSED) & (F.col(LOAD) <= last)
-        return self.table.all_loads().filter(opened | closed).drop(STATE, LOAD)
+        closed = self.table.all_loads().filter(
+            (F.col(STATE) == CLOSED) & (F.col(LOAD) <= last)
+        )
+        return self.current(last).unionByName(closed.drop(LOAD, STATE, OPENED_BY))

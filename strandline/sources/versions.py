@@ -17,17 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOAD = "load_id"
-_ENTRY = "token string, loaded_at timestamp_ntz, columns string"
+_ENTRY = "token string, loaded_at timestamp_ntz, columns string, whole boolean"
 
 
 @dataclass(frozen=True)
 class Load:
-    """One finished load; ``columns`` is its schema as JSON."""
+    """One finished load; ``columns`` is its schema as JSON.
+
+    A load that is not ``whole`` only holds what changed since the one before.
+    """
 
     number: int
     token: str
     loaded_at: datetime
     columns: str
+    whole: bool
 
     @property
     def schema(self) -> T.StructType:
@@ -50,14 +54,14 @@ class VersionedTable:
 
     def loads(self) -> DataFrame:
         """``load_id``, ``token`` and ``loaded_at`` of every finished load."""
-        return self._entries().drop("columns")
+        return self._entries().select(LOAD, "token", "loaded_at")
 
     def _entries(self) -> DataFrame:
         try:
             return (
                 self.spark.read.schema(f"{_ENTRY}, {LOAD} bigint")
                 .parquet(self.loads_path)
-                .select(LOAD, "token", "loaded_at", "columns")
+                .select(LOAD, "token", "loaded_at", "columns", "whole")
             )
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
@@ -78,8 +82,21 @@ class VersionedTable:
         numbers = (load.number for load in self.finished() if load.token == token)
         return next(numbers, None)
 
+    def base_of(self, load_id: int) -> int:
+        """The last whole load up to ``load_id``."""
+        return max(
+            load.number
+            for load in self.finished()
+            if load.whole and load.number <= load_id
+        )
+
     def write_load(
-        self, df: DataFrame, load_id: int, token: str, loaded_at: datetime
+        self,
+        df: DataFrame,
+        load_id: int,
+        token: str,
+        loaded_at: datetime,
+        whole: bool = True,
     ) -> bool:
         """Write one load; False (and nothing done) if it is there already."""
         if any(load_id == load.number for load in self.finished()):
@@ -93,6 +110,7 @@ class VersionedTable:
             F.lit(token).alias("token"),
             F.lit(text).cast("timestamp_ntz").alias("loaded_at"),
             F.lit(df.schema.json()).alias("columns"),
+            F.lit(whole).alias("whole"),
         )
         entry.write.mode("overwrite").parquet(f"{self.loads_path}/{LOAD}={load_id}")
         return True

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.dedup import latest_per_key
 from strandline.plans.history import HistoryStore
-from strandline.sources.versions import VersionedTable
+from strandline.sources.versions import LOAD, VersionedTable
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,8 @@ class DeliveryIngest:
 
     A batch is stored first and everything else is derived from what was
     stored.  Each step is known by batch and day, so a batch that comes again
-    after a failure goes on where it stopped.
+    after a failure goes on where it stopped.  Landing and history take in what
+    changed; every ``whole_every`` deliveries they are written as a whole.
     """
 
     spark: SparkSession
@@ -32,18 +33,25 @@ class DeliveryIngest:
     date: str
     check: tuple[str, ...]
     ties: tuple[Column, ...] = ()
+    whole_every: int = 10
 
     @property
     def bronze(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/bronze")
 
     @property
-    def landing(self) -> VersionedTable:
+    def landing_log(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/landing")
 
     @property
     def history(self) -> HistoryStore:
-        return HistoryStore(self.spark, f"{self.root}/history", self.keys, self.check)
+        return HistoryStore(
+            self.spark,
+            f"{self.root}/history",
+            self.keys,
+            self.check,
+            whole_every=self.whole_every,
+        )
 
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Take in one batch; its deliveries are applied in the order of their dates."""
@@ -55,23 +63,38 @@ class DeliveryIngest:
             delivery = stored.filter(F.col(self.date) == F.lit(day))
             self._apply_delivery(delivery, day, f"batch-{batch_id}-{day}")
 
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, self.keys, [F.col(self.date).desc(), *self.ties])
+
+    def _landing_rows(self, load: int) -> DataFrame:
+        """The last whole landing and the winners of the deliveries since."""
+        since = F.col(LOAD).between(self.landing_log.base_of(load), load)
+        return self.landing_log.all_loads().filter(since).drop(LOAD)
+
+    def landing(self) -> DataFrame:
+        """One row per key, the newest of all deliveries so far."""
+        last = self.landing_log.latest_load()
+        if last is None:
+            raise LookupError(f"{self.root} has no landing yet")
+        return self._newest(self._landing_rows(last))
+
     def _apply_delivery(self, delivery: DataFrame, day: Date, token: str) -> None:
-        landing = self.landing
+        log = self.landing_log
         moment = datetime(day.year, day.month, day.day)
-        load = landing.load_of(token)
+        load = log.load_of(token)
         if load is None:
-            last = landing.latest_load()
+            last = log.latest_load() or 0
+            load = last + 1
+            whole = not last or load - log.base_of(last) >= self.whole_every
             rows = delivery
-            if last is not None:
-                rows = rows.unionByName(landing.read_version(last))
-            newest = [F.col(self.date).desc(), *self.ties]
-            load = (last or 0) + 1
-            landing.write_load(
-                latest_per_key(rows, self.keys, newest), load, token, moment
-            )
-        # Rows of older deliveries were merged when they came; a row that lost
-        # against a newer delivery is not in the landing any more.
-        fresh = landing.read_version(load).filter(F.col(self.date) == F.lit(day))
+            if whole and last:
+                rows = rows.unionByName(self._landing_rows(last))
+            log.write_load(self._newest(rows), load, token, moment, whole)
+        # Only keys of this delivery can change, and only where no newer delivery
+        # of theirs came before; a whole load may hold other keys as well.
+        keys = delivery.select(*self.keys).distinct()
+        touched = self._landing_rows(load).join(keys, list(self.keys), "left_semi")
+        fresh = self._newest(touched).filter(F.col(self.date) == F.lit(day))
         self.history.apply(fresh, moment, token)
 
     def start(self, deliveries: DataFrame):

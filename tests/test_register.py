@@ -206,11 +206,13 @@ def test_command_line(flow, spark, tmp_path, capsys, monkeypatch):
 DELIVERY = "k string, d date, v string, n int"
 
 
-def make_ingest(spark, root):
-    return DeliveryIngest(spark, str(root), ("k",), "d", ("v",), (F.col("n").desc(),))
+def make_ingest(spark, root, whole_every=10):
+    ties = (F.col("n").desc(),)
+    return DeliveryIngest(spark, str(root), ("k",), "d", ("v",), ties, whole_every)
 
 
-def test_stream_of_batches_equals_a_rebuild(spark, tmp_path):
+@pytest.mark.parametrize("whole_every", [2, 10])
+def test_stream_of_batches_equals_a_rebuild(spark, tmp_path, whole_every):
     rng = random.Random(7)
     data = [
         (f"k{rng.randrange(5)}", date(2024, 1, rng.randrange(1, 6)), rng.choice("abc"), n)
@@ -218,7 +220,7 @@ def test_stream_of_batches_equals_a_rebuild(spark, tmp_path):
     ]
     data.sort(key=lambda r: r[1])
     inbox = tmp_path / "inbox"
-    register_ = make_ingest(spark, tmp_path / "store")
+    register_ = make_ingest(spark, tmp_path / "store", whole_every)
     stream_schema = spark.createDataFrame([], DELIVERY).schema
     for day in sorted({r[1] for r in data}):
         part = [r for r in data if r[1] == day]
@@ -229,6 +231,8 @@ def test_stream_of_batches_equals_a_rebuild(spark, tmp_path):
     expected = scd2.history_from_deliveries(bronze, ["k"], "d", ["v"], [F.col("n").desc()])
     found = register_.history.history()
     assert rows(found.select(expected.columns)) == rows(expected)
+    newest = dedup.latest_per_key(bronze, ["k"], [F.col("d").desc(), F.col("n").desc()])
+    assert rows(register_.landing()) == rows(newest)
     stored = register_.bronze.all_loads().drop("load_id")
     assert Counter(tuple(r) for r in stored.collect()) == Counter(data)
 
@@ -243,7 +247,7 @@ def test_late_and_repeated_batches(spark, tmp_path):
     before = rows(store.history.history())
     store.apply_batch(batch(("x", date(2024, 1, 2), "late", 2)), 1)
     assert rows(store.history.history()) == before
-    assert rows(store.landing.read_latest()) == [("x", date(2024, 1, 3), "new", 1)]
+    assert rows(store.landing()) == [("x", date(2024, 1, 3), "new", 1)]
     store.apply_batch(batch(("x", date(2024, 1, 4), "newer", 3)), 2)
     after = rows(store.history.history())
     store.apply_batch(batch(("x", date(2024, 1, 4), "newer", 3)), 2)
@@ -254,10 +258,10 @@ def test_a_failure_between_landing_and_history_is_made_good(spark, tmp_path):
     store = make_ingest(spark, tmp_path)
     data = spark.createDataFrame([("x", date(2024, 1, 3), "v", 1)], DELIVERY)
     store.bronze.write_load(data, 1, "batch-0", datetime(1970, 1, 1))
-    store.landing.write_load(data, 1, "batch-0-2024-01-03", datetime(2024, 1, 3))
+    store.landing_log.write_load(data, 1, "batch-0-2024-01-03", datetime(2024, 1, 3))
     store.apply_batch(data, 0)
     assert store.history.history().count() == 1
-    assert store.landing.latest_load() == 1
+    assert store.landing_log.latest_load() == 1
 
 
 def test_append_mode_writes_windows_the_watermark_has_passed(spark, tmp_path):

@@ -201,6 +201,46 @@ def test_broken_intervals_are_found(spark):
     ]
 
 
+@pytest.mark.parametrize(
+    "whole_every, close_missing", [(1, False), (2, False), (2, True), (10, True)]
+)
+def test_store_equals_the_fold(spark, tmp_path, whole_every, close_missing):
+    deliveries = {
+        at(1): [("x", day(1), "a", 1, "f"), ("y", day(1), "a", 1, "f")],
+        at(2): [("x", day(2), "b", 1, "f"), ("y", day(2), "a", 1, "f")],
+        at(3): [("x", day(3), "c", 1, "f"), ("z", day(3), "n", None, "f")],
+        at(4): [("x", day(4), "c", 1, "f"), ("y", day(4), "b", 1, "f")],
+    }
+    folded = fold(spark, deliveries, close_missing)
+    store = HistoryStore(
+        spark, str(tmp_path / "h"), ("k",), CHECK, close_missing, whole_every
+    )
+    for moment, data in deliveries.items():
+        store.apply(spark.createDataFrame(data, SCHEMA), moment, str(moment))
+    columns = folded.columns
+    assert rows(store.history().select(columns)) == rows(folded)
+    assert rows(store.current().select(columns)) == rows(scd2.current_versions(folded))
+    early = fold(spark, {m: d for m, d in deliveries.items() if m <= at(2)}, close_missing)
+    assert rows(store.history(2).select(columns)) == rows(early)
+
+
+def test_two_merges_at_one_moment_keep_their_versions_apart(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path / "h"), ("k",), CHECK)
+    for n, value in enumerate("abc"):
+        store.apply(landing(spark, ("x", day(1), value, 1, "f")), at(1), f"run-{n}")
+    assert spans(store.current()) == [("x", "c", 1, at(1), None)]
+    assert store.history().count() == 3
+
+
+def test_a_load_of_changes_leaves_other_versions_alone(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path / "h"), ("k",), CHECK)
+    many = [(f"k{n}", day(1), "a", 1, "f") for n in range(50)]
+    store.apply(landing(spark, *many), at(1), "run-1")
+    store.apply(landing(spark, ("k7", day(2), "b", 1, "f")), at(2), "run-2")
+    assert store.table.read_version(2).count() == 2
+    assert store.current().count() == 50 and store.history().count() == 51
+
+
 def test_store_publishes_loads_and_ignores_repeats(spark, tmp_path):
     store = HistoryStore(spark, str(tmp_path / "h"), ("k",), CHECK)
     with pytest.raises(LookupError):
