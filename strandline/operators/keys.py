@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.expressions import surrogate_key
-from strandline.operators.ordering import global_positions, total_order
+from strandline.operators.ordering import deciding_columns, global_positions
 
 
 def with_surrogate_key(df: DataFrame, parts: Sequence[str], name: str) -> DataFrame:
@@ -19,12 +19,13 @@ def with_surrogate_key(df: DataFrame, parts: Sequence[str], name: str) -> DataFr
 def with_sequence_key(
     df: DataFrame,
     name: str,
-    order: Sequence[Column | str],
+    order: Sequence[str],
     start: int = 1,
     partitions: int | None = None,
 ) -> DataFrame:
     """Gapless numbers from ``start`` in the given order, without a single task."""
-    placed = global_positions(df, total_order(df, (), order), "_at", partitions)
+    ascending = [F.col(c).asc_nulls_last() for c in deciding_columns(df, (), order)]
+    placed = global_positions(df, ascending, "_at", partitions)
     return placed.withColumn(name, F.col("_at") + F.lit(start)).drop("_at")
 
 

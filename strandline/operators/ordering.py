@@ -30,21 +30,22 @@ EXPAND_CHUNK = 100_000
 _POSITION_BITS = 33  # monotonically_increasing_id: task number above, row below
 
 
-def total_order(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
-) -> list[Column]:
+def deciding_columns(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> list[str]:
     """``order`` made total: remaining ties are decided by every other column.
 
-    Rows that still tie are identical, so which of them comes first cannot be
-    told from the result.
+    Rows that still tie are identical in all columns that can be compared, so
+    which of them comes first makes no difference.
     """
-    given = [F.col(o) if isinstance(o, str) else o for o in order]
     rest = [
-        F.col(f"`{field.name}`").desc()
+        field.name
         for field in df.schema.fields
-        if field.name not in keys and not isinstance(field.dataType, T.MapType)
+        if field.name not in keys
+        and field.name not in order
+        and not isinstance(field.dataType, (T.MapType, T.VariantType))
     ]
-    return given + rest
+    return [*order, *rest]
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
@@ -118,12 +119,12 @@ def global_positions(
 def rank_within(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column | str],
+    order: Sequence[str],
     name: str,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """1-based rank of every row within its key, in a total order."""
-    full = total_order(df, keys, order)
+    """1-based rank of every row within its key, largest ``order`` columns first."""
+    full = [F.col(c).desc() for c in deciding_columns(df, keys, order)]
     plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*full))
     hot = heavy_keys(df, keys, hot_rows)
     if hot is None:

@@ -146,13 +146,13 @@ def history_from_deliveries(
     keys: Sequence[str],
     date: str,
     check: Sequence[str],
-    ties: Sequence[Column | str] = (),
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """The whole history in one pass over all deliveries.
 
     Equals merging the deliveries one by one in date order.  Within a delivery
-    the winner counts (``ties`` decides); the windows over a key then see one
-    row per delivery at most.
+    the winner counts (the largest ``ties``); the windows over a key then see
+    one row per delivery at most, so ``date`` must be a delivery date.
     """
     per_delivery = latest_per_key(bronze, [*keys, date], ties)
     line = Window.partitionBy(*keys).orderBy(date)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.expressions import surrogate_key
@@ -55,6 +55,8 @@ FIRST_CUT, SECOND_CUT = datetime(1999, 1, 1), datetime(2002, 1, 1)
 
 ORDER_CHECK = ("o_orderstatus", "o_orderpriority")
 EVENT_CHECK = ("event_type", "band")
+NEWEST_ORDER = ("o_orderdate", "o_orderkey")
+NEWEST_EVENT = ("effective_date", "event_id")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,10 +82,6 @@ def order_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def newest_order() -> list[Column]:
-    return [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
-
-
 def event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as deliveries; ``band`` is an attribute that is often unknown."""
     band = F.when(F.col("value") >= 20, F.floor(F.col("value") / 50).cast("bigint"))
@@ -96,17 +94,13 @@ def event_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def newest_event() -> list[Column]:
-    return [F.col("effective_date").desc(), F.col("event_id").desc()]
-
-
 def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.history_from_deliveries(
         order_deliveries(spark, sf_dir),
         ["o_custkey"],
         "o_orderdate",
         ORDER_CHECK,
-        [F.col("o_orderkey").desc()],
+        ["o_orderkey"],
     )
 
 
@@ -116,19 +110,19 @@ def event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["user_id"],
         "effective_date",
         EVENT_CHECK,
-        [F.col("event_id").desc()],
+        ["event_id"],
     )
 
 
 def order_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.latest_per_key(
-        order_deliveries(spark, sf_dir), ["o_custkey"], newest_order()
+        order_deliveries(spark, sf_dir), ["o_custkey"], NEWEST_ORDER
     )
 
 
 def order_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.rejects(
-        order_deliveries(spark, sf_dir), ["o_custkey"], newest_order()
+        order_deliveries(spark, sf_dir), ["o_custkey"], NEWEST_ORDER
     )
 
 
@@ -161,7 +155,7 @@ def dedup_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.reconcile_ranks(
-        dedup.ranked(order_deliveries(spark, sf_dir), ["o_custkey"], newest_order())
+        dedup.ranked(order_deliveries(spark, sf_dir), ["o_custkey"], NEWEST_ORDER)
     )
 
 
@@ -242,7 +236,7 @@ def _two_landings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         bronze.filter(F.col("o_orderdate") >= cut),
     )
     return tuple(
-        dedup.latest_per_key(part, ["o_custkey"], newest_order()) for part in (old, new)
+        dedup.latest_per_key(part, ["o_custkey"], NEWEST_ORDER) for part in (old, new)
     )
 
 
@@ -367,19 +361,19 @@ def integrity_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing and a history that are broken: one row per delivery, all open."""
     bronze = event_deliveries(spark, sf_dir)
     per_delivery = dedup.latest_per_key(
-        bronze, ["user_id", "effective_date"], [F.col("event_id").desc()]
+        bronze, ["user_id", "effective_date"], ["event_id"]
     )
     history = event_history(spark, sf_dir)
     all_open = history.withColumn(scd2.TO, F.lit(None).cast("timestamp_ntz"))
     recon = dedup.reconcile_counts(
         bronze,
-        dedup.latest_per_key(bronze, ["user_id"], newest_event()),
-        dedup.rejects(per_delivery, ["user_id"], newest_event()),
+        dedup.latest_per_key(bronze, ["user_id"], NEWEST_EVENT),
+        dedup.rejects(per_delivery, ["user_id"], NEWEST_EVENT),
     )
     return verify.integrity_problems(
         "user_id",
         {
-            "landing": dedup.latest_per_key(bronze, ["user_id"], newest_event()),
+            "landing": dedup.latest_per_key(bronze, ["user_id"], NEWEST_EVENT),
             "landing per delivery": per_delivery,
         },
         {"scd2": history, "scd2 all open": all_open},
@@ -441,9 +435,9 @@ def stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _two_relations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The newest order and the largest order of every customer."""
     orders = table(spark, sf_dir, "orders")
-    newest = dedup.latest_per_key(orders, ["o_custkey"], newest_order())
+    newest = dedup.latest_per_key(orders, ["o_custkey"], NEWEST_ORDER)
     largest = dedup.latest_per_key(
-        orders, ["o_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey").desc()]
+        orders, ["o_custkey"], ["o_totalprice", "o_orderkey"]
     )
     return newest, largest
 
@@ -851,7 +845,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["user_id"],
         "effective_date",
         EVENT_CHECK,
-        [F.col("event_id").desc()],
+        ["event_id"],
     )
 
 

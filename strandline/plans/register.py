@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators import dedup, diff, privacy, quality
@@ -62,14 +62,11 @@ NAMES = {
 }
 
 PARQUET, LAKE = "parquet", "lake"  # the two ways from bronze to history
+# The latest delivery wins; ties go by the file, and then by all columns.
+LATEST = ("effective_date", "source_file")
 RUN_COLUMNS = ("last_updated_dt", "invocation_id", "source_file")
 
 
-def winner_order() -> list[Column]:
-    """Latest delivery first; ties go by the file, and then by all columns."""
-    return [F.col("effective_date").desc(), F.col("source_file").desc()]
-
-
 @dataclass(frozen=True)
 class Layers:
     """Where the layers of one register live."""
@@ -146,10 +143,10 @@ def run(
         _overwrite(
             log,
             f"landing-{path}",
-            dedup.latest_per_key(rows, [KEY], winner_order()),
+            dedup.latest_per_key(rows, [KEY], LATEST),
             layers.path(f"landing-{path}"),
         )
-    lost = dedup.rejects(bronze, [KEY], winner_order())
+    lost = dedup.rejects(bronze, [KEY], LATEST)
     _overwrite(log, "rejects", lost, layers.path("rejects"))
 
     wrong = dedup.reconciliation_failures(reconciliation(layers)).count()

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from datetime import date as Date
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators.dedup import latest_per_key
@@ -32,7 +32,7 @@ class DeliveryIngest:
     keys: tuple[str, ...]
     date: str
     check: tuple[str, ...]
-    ties: tuple[Column, ...] = ()
+    ties: tuple[str, ...] = ()
     whole_every: int = 10
 
     @property
@@ -64,7 +64,7 @@ class DeliveryIngest:
             self._apply_delivery(delivery, day, f"batch-{batch_id}-{day}")
 
     def _newest(self, rows: DataFrame) -> DataFrame:
-        return latest_per_key(rows, self.keys, [F.col(self.date).desc(), *self.ties])
+        return latest_per_key(rows, self.keys, [self.date, *self.ties])
 
     def _landing_rows(self, load: int) -> DataFrame:
         """The last whole landing and the winners of the deliveries since."""
@@ -113,7 +113,7 @@ def replay_as_stream(
     keys: list[str],
     date: str,
     check: tuple[str, ...],
-    ties: list[Column],
+    ties: list[str],
 ) -> DataFrame:
     """Store rows as files, stream them in, and return the resulting history."""
     spark = deliveries.sparkSession

@@ -115,7 +115,7 @@ def test_reports_on_sound_and_broken_layers(spark):
     bronze = spark.createDataFrame(
         [("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x")], "k string, d int, v string"
     )
-    order = [F.col("d").desc()]
+    order = ["d"]
     landing = dedup.latest_per_key(bronze, ["k"], order)
     lost = dedup.rejects(bronze, ["k"], order)
     stamp = F.lit("2024-01-01").cast("timestamp_ntz")

@@ -10,10 +10,7 @@ from strandline.operators import dedup, ordering
 from tests.conftest import plan_of, rows
 
 SCHEMA = "k string, d int, f string, v string"
-
-
-def order() -> list:
-    return [F.col("d").desc(), F.col("f").desc()]
+ORDER = ["d", "f"]
 
 
 def deliveries(seed: int, n: int = 400) -> list[tuple]:
@@ -51,47 +48,56 @@ def brute_ranks(data: list[tuple]) -> Counter:
 def test_ranks_equal_brute_force_with_and_without_hot_keys(spark, seed, hot_rows):
     data = deliveries(seed)
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    found = dedup.ranked(df, ["k"], order(), hot_rows=hot_rows)
+    found = dedup.ranked(df, ["k"], ORDER, hot_rows=hot_rows)
     assert Counter(tuple(r) for r in found.collect()) == brute_ranks(data)
 
 
 def test_winners_and_rejects_are_bronze_as_bags(spark):
     data = deliveries(3)
     df = spark.createDataFrame(data, SCHEMA)
-    won = dedup.latest_per_key(df, ["k"], order())
-    lost = dedup.rejects(df, ["k"], order(), hot_rows=20)
+    won = dedup.latest_per_key(df, ["k"], ORDER)
+    lost = dedup.rejects(df, ["k"], ORDER, hot_rows=20)
     together = [tuple(r) for r in won.collect()]
     assert len(together) == len({r[0] for r in data})
     together += [tuple(r)[:-1] for r in lost.collect()]
     assert Counter(together) == Counter(data)
     counts = dedup.reconcile_counts(df, won, lost)
     assert dedup.reconciliation_failures(counts).isEmpty()
-    assert rows(dedup.reconcile_ranks(dedup.ranked(df, ["k"], order()))) == rows(counts)
+    assert rows(dedup.reconcile_ranks(dedup.ranked(df, ["k"], ORDER))) == rows(counts)
 
 
 def test_lost_rows_show_up(spark):
     df = spark.createDataFrame(deliveries(4), SCHEMA)
-    won = dedup.latest_per_key(df, ["k"], order())
-    lost = dedup.rejects(df, ["k"], order()).filter("d <> 1")
+    won = dedup.latest_per_key(df, ["k"], ORDER)
+    lost = dedup.rejects(df, ["k"], ORDER).filter("d <> 1")
     failed = dedup.reconciliation_failures(dedup.reconcile_counts(df, won, lost))
     assert failed.first()["missing_rows"] == sum(1 for r in deliveries(4) if r[1] == 1) - (
         won.filter("d = 1").count()
     )
 
 
-def test_rank_one_is_cut_before_the_shuffle(spark):
+def test_one_row_per_key_and_task_is_shuffled(spark):
     df = spark.createDataFrame(deliveries(1), SCHEMA)
-    plan = plan_of(dedup.latest_per_key(df, ["k"], order()))
-    assert "WindowGroupLimit" in plan
-    assert "Partial" in plan[plan.index("Exchange"):]
+    plan = plan_of(dedup.latest_per_key(df, ["k"], ORDER))
+    assert "partial_max" in plan[plan.index("Exchange") :]
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+
+
+def test_columns_that_cannot_be_compared_come_along(spark):
+    df = spark.range(3).select(
+        F.lit("a").alias("k"), "id", F.create_map(F.lit("n"), "id").alias("m")
+    )
+    assert rows(dedup.latest_per_key(df, ["k"], ["id"])) == [("a", 2, {"n": 2})]
+    keys_only = df.select("k")
+    assert rows(dedup.latest_per_key(keys_only, ["k"], [])) == [("a",)]
 
 
 def test_conflicting_copies_have_one_winner_everywhere(spark):
     data = [("a", 1, "f", "old"), ("a", 1, "f", "new"), ("a", 1, "f", None)]
     for given in (data, data[::-1]):
         df = spark.createDataFrame(given, SCHEMA)
-        assert rows(dedup.latest_per_key(df, ["k"], order())) == [("a", 1, "f", "old")]
-        ranks = rows(dedup.rejects(df, ["k"], order()).select("v", "_dedup_rank"))
+        assert rows(dedup.latest_per_key(df, ["k"], ORDER)) == [("a", 1, "f", "old")]
+        ranks = rows(dedup.rejects(df, ["k"], ORDER).select("v", "_dedup_rank"))
         assert ranks == [(None, 3), ("new", 2)]
 
 

@@ -207,7 +207,7 @@ DELIVERY = "k string, d date, v string, n int"
 
 
 def make_ingest(spark, root, whole_every=10):
-    ties = (F.col("n").desc(),)
+    ties = ("n",)
     return DeliveryIngest(spark, str(root), ("k",), "d", ("v",), ties, whole_every)
 
 
@@ -228,10 +228,10 @@ def test_stream_of_batches_equals_a_rebuild(spark, tmp_path, whole_every):
         stream = spark.readStream.schema(stream_schema).parquet(str(inbox))
         register_.start(stream).awaitTermination()
     bronze = spark.createDataFrame(data, DELIVERY)
-    expected = scd2.history_from_deliveries(bronze, ["k"], "d", ["v"], [F.col("n").desc()])
+    expected = scd2.history_from_deliveries(bronze, ["k"], "d", ["v"], ["n"])
     found = register_.history.history()
     assert rows(found.select(expected.columns)) == rows(expected)
-    newest = dedup.latest_per_key(bronze, ["k"], [F.col("d").desc(), F.col("n").desc()])
+    newest = dedup.latest_per_key(bronze, ["k"], ["d", "n"])
     assert rows(register_.landing()) == rows(newest)
     stored = register_.bronze.all_loads().drop("load_id")
     assert Counter(tuple(r) for r in stored.collect()) == Counter(data)

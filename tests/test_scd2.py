@@ -126,13 +126,13 @@ def test_one_pass_equals_the_fold(spark, seed):
     for d in sorted({r[1] for r in data}):
         so_far = bronze.filter(F.col("d") <= F.lit(d))
         newest = dedup.latest_per_key(
-            so_far, ["k"], [F.col("d").desc(), F.col("src").desc()]
+            so_far, ["k"], ["d", "src"]
         )
         moment = datetime(d.year, d.month, d.day)
         deliveries[moment] = [tuple(r) for r in newest.collect()]
     folded = fold(spark, deliveries)
     passed = scd2.history_from_deliveries(
-        bronze, ["k"], "d", CHECK, [F.col("src").desc()]
+        bronze, ["k"], "d", CHECK, ["src"]
     )
     assert rows(passed.select(folded.columns)) == rows(folded)
     assert scd2.interval_problems(folded, "k").isEmpty()
