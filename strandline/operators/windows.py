@@ -186,80 +186,118 @@ def sliding_by_instant(
     pieces, so that no task has to write all of them out.
 
     The count is put together from whole seconds and the two cut seconds at the
-    ends.  A second has at most a million instants and a block of seconds at
-    most twice the window, so every window group below is bounded.
+    ends, all from running sums.  A second has at most a million instants and a
+    block of seconds at most the seconds of the window, each with one mark more
+    for a window that begins there, so every window group below is bounded.
     """
     require_utc(df)
     span = minutes * 60
-    second = whole_div(F.col("us"), MICROS)
-    none = F.lit(0).cast("bigint")
     instants = (
         df.groupBy(epoch_us(ts).alias("us"))
         .agg(F.count(F.lit(1)).alias("events"), F.count(ident).alias("n"))
-        .withColumn("sec", second)
-        .withColumn("sub", F.pmod(F.col("us"), F.lit(MICROS)))
+        .withColumn("sec", whole_div(F.col("us"), MICROS))
+    )
+    cut = _cut_seconds(instants, span)
+    seconds = _whole_seconds(instants, span)
+    left = F.col("events") - F.col("piece") * F.lit(EXPAND_CHUNK)
+    return cut.join(seconds, "sec", "left").select(
+        "us",
+        F.least(left, F.lit(EXPAND_CHUNK)).alias("events"),
+        (F.col("cut") + F.coalesce("whole", F.lit(0)))
+        .cast("bigint")
+        .alias("number_of_services"),
     )
 
-    # Running counts inside the own second (up to and with this instant) and
-    # inside the second the window begins in (strictly before its edge).
-    pieces = F.sequence(none, whole_div(F.col("events") - 1, EXPAND_CHUNK))
-    dealt = instants.withColumn("piece", F.explode(pieces))
-    own_n = F.when(F.col("piece") == 0, F.col("n")).otherwise(none)
-    sides = F.array(
-        F.struct(F.col("sec").alias("at"), F.lit(1).alias("kind"), own_n.alias("add")),
-        F.struct(
-            (F.col("sec") - F.lit(span)).alias("at"),
-            F.lit(0).alias("kind"),
-            none.alias("add"),
-        ),
+
+def _mark(at: Column, place: Column, opens: bool, add: Column) -> Column:
+    """A point of a running sum within ``at``.
+
+    A window that opens at a place stands before what happens there.
+    """
+    return F.struct(
+        at.alias("at"),
+        (place * 2 + F.lit(0 if opens else 1)).alias("spot"),
+        F.lit(opens).alias("opens"),
+        add.alias("add"),
     )
-    marks = dealt.withColumn("side", F.explode(sides)).select(
-        "us", "sub", "piece", "events", "sec", "side.*"
+
+
+def _cut_seconds(instants: DataFrame, span: int) -> DataFrame:
+    """Per instant: events up to it in its own second, less those before the
+    window in the second where the window begins.
+    """
+    us, sec = F.col("us"), F.col("sec")
+    none = F.lit(0).cast("bigint")
+
+    def marks_of(piece: Column) -> Column:
+        own = F.when(piece == 0, F.col("n")).otherwise(none)
+        pair = (
+            _mark(sec, us, False, own),
+            _mark(sec - span, us - F.lit(span * MICROS), True, none),
+        )
+        return F.array(*[F.struct(piece.alias("piece"), m.alias("m")) for m in pair])
+
+    pieces = F.sequence(none, whole_div(F.col("events") - 1, EXPAND_CHUNK))
+    marks = F.when(F.col("events") <= EXPAND_CHUNK, marks_of(none)).otherwise(
+        F.flatten(F.transform(pieces, marks_of))
     )
     upto = (
         Window.partitionBy("at")
-        .orderBy("sub", "kind", "piece")
+        # ``opens`` only matters for events without a time, whose places tie.
+        .orderBy("spot", F.col("opens").desc(), "piece")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = marks.withColumn("run", F.sum("add").over(upto))
-    # By second, which serves the aggregation and the join after it.
-    cut = (
-        running.repartition("sec")
-        .groupBy("sec", "us", "piece")
-        .agg(
-            F.max("events").alias("events"),
-            F.max(F.when(F.col("kind") == 1, F.col("run"))).alias("own"),
-            F.max(F.when(F.col("kind") == 0, F.col("run"))).alias("before"),
+    run = F.sum("add").over(upto)
+    return (
+        instants.select("us", "sec", "events", F.explode(marks).alias("p"))
+        .select("us", "sec", "events", "p.piece", "p.m.*")
+        .withColumn("run", run)
+        .select(
+            "us",
+            "sec",
+            "events",
+            "piece",
+            F.when(F.col("opens"), -F.col("run")).otherwise(F.col("run")).alias("part"),
         )
+        # By second, which serves the aggregation and the join after it.
+        .repartition("sec")
+        .groupBy("sec", "us", "piece")
+        .agg(F.max("events").alias("events"), F.sum("part").alias("cut"))
     )
 
-    # Whole seconds: each block also holds the seconds of the block before it.
-    # Both branches use the same columns of ``instants``, so Spark runs its
-    # shuffle once and reads it twice.
+
+def _whole_seconds(instants: DataFrame, span: int) -> DataFrame:
+    """Per second with events: the events of the ``span`` seconds before it.
+
+    Blocks are as long as the window, so it meets its own block and the one
+    before: what came before it here, and what was left there when it began.
+    """
+    sec = F.col("sec")
+    block = whole_div(sec, span)
+    # The same columns of ``instants`` as in the other branch, so Spark runs the
+    # shuffle below them once and reads it twice.
     totals = (
         instants.groupBy("sec")
         .agg(F.sum("n").alias("total"), F.sum("events").alias("rows"))
         .filter(F.col("rows") > 0)
     )
-    block = whole_div(F.col("sec"), span)
-    blocks = totals.select(
-        "sec",
-        "total",
-        F.explode(F.array(block, block + 1)).alias("block"),
+    marks = F.array(
+        _mark(block, sec, False, F.col("total")),
+        _mark(block - 1, sec - span, True, F.lit(0).cast("bigint")),
     )
-    earlier = Window.partitionBy("block").orderBy("sec").rangeBetween(-span, -1)
-    seconds = (
-        blocks.withColumn("whole", F.sum("total").over(earlier))
-        .filter(F.col("block") == block)
-        .select("sec", F.coalesce("whole", F.lit(0)).alias("whole"))
+    in_block = Window.partitionBy("at")
+    upto = in_block.orderBy("spot").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-
-    count = F.col("own") - F.col("before") + F.coalesce("whole", F.lit(0))
-    left = F.col("events") - F.col("piece") * F.lit(EXPAND_CHUNK)
-    return cut.join(seconds, "sec", "left").select(
-        "us",
-        F.least(left, F.lit(EXPAND_CHUNK)).alias("events"),
-        count.cast("bigint").alias("number_of_services"),
+    run, whole = F.col("run"), F.col("all")
+    part = F.when(F.col("opens"), whole - run).otherwise(run - F.col("add"))
+    return (
+        totals.select("sec", F.explode(marks).alias("m"))
+        .select("sec", "m.*")
+        .withColumn("run", F.sum("add").over(upto))
+        .withColumn("all", F.sum("add").over(in_block))
+        .groupBy("sec")
+        .agg(F.sum(part).alias("whole"))
     )
 
 
