@@ -45,6 +45,29 @@ def write_jdbc(
     df.write.options(**options).jdbc(url, table, mode, dict(properties or {}))
 
 
+def read_options(
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None,
+    slices: Slices | None,
+    fetch_rows: int,
+) -> dict[str, str]:
+    options = {
+        "url": url,
+        "dbtable": table,
+        "fetchsize": str(fetch_rows),
+        **(properties or {}),
+    }
+    if slices:
+        options |= {
+            "partitionColumn": slices.column,
+            "lowerBound": slices.lower,
+            "upperBound": slices.upper,
+            "numPartitions": str(slices.count),
+        }
+    return options
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -58,14 +81,5 @@ def read_jdbc(
     Filters and columns reach the database.  Without slices one task reads all,
     which only suits small tables.
     """
-    reader = spark.read.format("jdbc").options(
-        url=url, dbtable=table, fetchsize=str(fetch_rows), **dict(properties or {})
-    )
-    if slices:
-        reader = reader.options(
-            partitionColumn=slices.column,
-            lowerBound=slices.lower,
-            upperBound=slices.upper,
-            numPartitions=str(slices.count),
-        )
-    return reader.load()
+    options = read_options(url, table, properties, slices, fetch_rows)
+    return spark.read.format("jdbc").options(**options).load()

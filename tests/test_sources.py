@@ -197,6 +197,17 @@ def test_jdbc_strategies_become_writer_settings(monkeypatch, spark):
         jdbc.write_jdbc(Frame(), "jdbc:x", "t", "merge")
 
 
+def test_jdbc_reads_can_be_sliced():
+    slices = jdbc.Slices("id", "1", "1000", 8)
+    options = jdbc.read_options("jdbc:x", "t", {"user": "u"}, slices, 500)
+    assert options == {
+        "url": "jdbc:x", "dbtable": "t", "fetchsize": "500", "user": "u",
+        "partitionColumn": "id", "lowerBound": "1", "upperBound": "1000",
+        "numPartitions": "8",
+    }
+    assert "numPartitions" not in jdbc.read_options("jdbc:x", "t", None, None, 1)
+
+
 def test_versions_by_number_and_time(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "v"))
     one = spark.createDataFrame([(1,)], "v int")
