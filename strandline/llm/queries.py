@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandline.llm import simhash
-from strandline.llm.common import table
+from strandline.llm import simhash, toxicity
+from strandline.llm.common import fold, table
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), toxicity.scorer(model)("text").alias("score")
+    )
+    toxic = F.col("score") >= toxicity.TOXIC_AT
+    return scored.withColumn("predicted", toxic.cast("int"))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +27,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
