@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import decontaminate, language, simhash, toxicity
+from strandline.llm import decontaminate, language, sentencepieces, simhash, toxicity
 from strandline.llm.common import fold, table
 
 
@@ -23,6 +23,19 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the file of a public tokenizer is, on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    found = sentencepieces.encoded(table(spark, sf_dir, "documents"), model)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -52,6 +65,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op4_sentencepiece": op4_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
