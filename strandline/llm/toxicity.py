@@ -36,8 +36,8 @@ PIECES = (4, 6)
 MIN_DOCS = 4
 #: Words in so many documents are judged as a whole, not by their pieces.
 WELL_KNOWN = 25
-#: Weight of the prior, in documents for each of the two classes.
-PRIOR = 300.0
+#: Weight of the prior for each of the two classes, as a share of all documents.
+PRIOR = 0.02
 #: Log-odds are taken so many standard deviations nearer to zero.
 SURE = 2.5
 #: Words whose weight a task keeps at a time.
@@ -149,11 +149,11 @@ def log_odds(rows: list[tuple[str, int, int]], total: tuple[int, int]) -> dict[s
     given the toxic and other documents that have it, and how many of each there are;
     0 for whole words that are well known and don't."""
     out = {}
-    everything = sum(total)
+    weight = 1 + PRIOR * sum(total)
     for piece, toxic, other in rows:
-        prior = PRIOR * (toxic + other) / everything
+        prior = 0.5 + PRIOR * (toxic + other)
         a, b = toxic + prior, other + prior
-        odds = math.log(a / (total[0] + PRIOR - a)) - math.log(b / (total[1] + PRIOR - b))
+        odds = math.log(a / (total[0] + weight - a)) - math.log(b / (total[1] + weight - b))
         sure = odds - SURE * math.sqrt(1 / a + 1 / b)
         if sure > DRIFT:
             out[piece] = sure
