@@ -39,7 +39,7 @@ WELL_KNOWN = 25
 #: Weight of the prior for each of the two classes, as a share of all documents.
 PRIOR = 0.02
 #: Log-odds are taken so many standard deviations nearer to zero.
-SURE = 2.5
+SURE = 1.0
 #: Words whose weight a task keeps at a time.
 REMEMBER = 200_000
 #: What every token costs a segment, so that chance does not add up.
