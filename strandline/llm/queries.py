@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import decontaminate, language, sentencepieces, simhash, toxicity
+from strandline.llm import brown, decontaminate, language, sentencepieces, simhash, toxicity
 from strandline.llm.common import fold, table
 
 
@@ -63,12 +63,22 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 7) == 2
+    return brown.language_model(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 
 ORACLE: dict[str, str] = {}
