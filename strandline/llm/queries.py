@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import brown, decontaminate, language, sentencepieces, simhash, toxicity
+from strandline.llm import brown, decontaminate, language, order_minhash, sentencepieces, simhash, toxicity
 from strandline.llm.common import fold, table
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -73,6 +77,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_language_id": op2_language_id,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_decontamination": op6_decontamination,
