@@ -7,9 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import brown, decontaminate, language, order_minhash, sentencepieces, simhash, toxicity
+from strandline.llm import (
+    brown,
+    decontaminate,
+    language,
+    order_minhash,
+    sentencepieces,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from strandline.llm.common import fold, table
 
+TOKEN_LIMIT = 512
+
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
@@ -34,6 +45,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = tokenizer_file("byte_bpe_50k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), file, TOKEN_LIMIT)
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
     found = sentencepieces.encoded(table(spark, sf_dir, "documents"), model)
@@ -79,6 +95,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_language_id": op2_language_id,
+    "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
