@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandline.llm import (
     brown,
     decontaminate,
+    html_text,
     language,
     order_minhash,
     sentencepieces,
@@ -92,6 +93,10 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_language_id": op2_language_id,
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE: dict[str, str] = {}
