@@ -17,6 +17,7 @@ from strandline.llm import (
     simhash,
     token_counts,
     toxicity,
+    warc,
 )
 from strandline.llm.common import fold, table
 
@@ -57,6 +58,13 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.archived(pages)
+    entries = warc.captures(archive, pages.select("url"))
+    return warc.read_back(archive, entries).drop("payload", "url")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -102,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
@@ -109,4 +118,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_text": op10_html_text,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH payloads AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), marked AS (
+            SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM payloads
+        ), firsts AS (
+            SELECT digest, min(page_id) AS first FROM marked WHERE n >= 100 GROUP BY digest
+        )
+        SELECT page_id, n AS payload_bytes, m.digest AS payload_digest,
+               CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END
+                   AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM marked m LEFT JOIN firsts f ON m.digest = f.digest AND m.n >= 100
+    """,
+}
