@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.ordering import HOT_ROWS, deciding_columns, rank_within
+from strandline.operators.diff import row_counts_by_side
+from strandline.operators.ordering import deciding_columns, rank_within
 
 RANK = "_dedup_rank"
 
@@ -35,46 +36,50 @@ def latest_per_key(
     )
 
 
-def ranked(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows with their rank; split it by ``winners`` and ``rejects``."""
-    return rank_within(df, keys, order, RANK, hot_rows)
+    return rank_within(df, keys, order, RANK)
 
 
 def winners(ranked_rows: DataFrame) -> DataFrame:
     return ranked_rows.filter(F.col(RANK) == 1).drop(RANK)
 
 
-def rejects(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def rejects(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Every row but the winner; rank 2 is the runner-up."""
-    return ranked(df, keys, order, hot_rows).filter(F.col(RANK) > 1)
+    return ranked(df, keys, order).filter(F.col(RANK) > 1)
+
+
+def reject_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys`` and ``rejected`` of every key that has rejects; counted, not ranked."""
+    counts = df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("rejected"))
+    return counts.filter(F.col("rejected") > 0)
 
 
 def reconcile_counts(
-    bronze: DataFrame, winner_rows: DataFrame, reject_rows: DataFrame
+    bronze: DataFrame,
+    winner_rows: DataFrame,
+    reject_rows: DataFrame,
+    rejected: str | None = None,
 ) -> DataFrame:
-    """One row: how many rows came in, won, were rejected and are missing."""
+    """One row: how many rows came in, won, were rejected and are missing.
+
+    ``rejected`` names a column that says for how many rejects a row stands.
+    """
+    one = F.lit(1).cast("bigint")
     tagged = [
-        frame.select(F.lit(tag).alias("layer"))
-        for frame, tag in (
-            (bronze, "bronze"),
-            (winner_rows, "winners"),
-            (reject_rows, "rejects"),
+        frame.select(F.lit(tag).alias("layer"), n.alias("n"))
+        for frame, tag, n in (
+            (bronze, "bronze", one),
+            (winner_rows, "winners", one),
+            (reject_rows, "rejects", F.col(rejected) if rejected else one),
         )
     ]
     every = tagged[0].union(tagged[1]).union(tagged[2])
+    none = F.lit(0).cast("bigint")
     counts = every.agg(
         *[
-            F.count(F.when(F.col("layer") == tag, 1)).alias(f"{tag}_n")
+            F.coalesce(F.sum(F.when(F.col("layer") == tag, F.col("n"))), none).alias(f"{tag}_n")
             for tag in ("bronze", "winners", "rejects")
         ]
     )
@@ -84,18 +89,24 @@ def reconcile_counts(
     )
 
 
-def reconcile_ranks(ranked_rows: DataFrame) -> DataFrame:
-    """The same proof in one pass over ranked rows (a lost rank shows as missing)."""
-    rank = F.col(RANK)
-    counts = ranked_rows.agg(
-        F.count(F.lit(1)).alias("bronze_n"),
-        F.count(F.when(rank == 1, 1)).alias("winners_n"),
-        F.count(F.when(rank > 1, 1)).alias("rejects_n"),
-    )
-    return counts.withColumn(
-        "missing_rows",
-        F.col("bronze_n") - (F.col("winners_n") + F.col("rejects_n")),
+def reconcile_bags(
+    bronze: DataFrame, winner_rows: DataFrame, reject_rows: DataFrame
+) -> DataFrame:
+    """The counts, and rows of bronze and of winners with rejects that have no equal
+    row on the other side: ``lost_rows`` and ``foreign_rows``.
+    """
+    columns = bronze.columns
+    out = winner_rows.select(*columns).unionByName(reject_rows.select(*columns))
+    bags = row_counts_by_side(bronze, out)
+    surplus = F.col("copies_a") - F.col("copies_b")
+    off = bags.agg(
+        F.coalesce(F.sum(F.greatest(surplus, F.lit(0))), F.lit(0)).alias("lost_rows"),
+        F.coalesce(F.sum(F.greatest(-surplus, F.lit(0))), F.lit(0)).alias("foreign_rows"),
     )
+    one = F.lit(1).alias("_one")
+    counts = reconcile_counts(bronze, winner_rows, reject_rows).select("*", one)
+    # One row each.
+    return counts.join(off.select("*", one), "_one").drop("_one")
 
 
 def reconciliation_failures(counts: DataFrame) -> DataFrame:

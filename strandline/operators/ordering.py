@@ -2,9 +2,9 @@
 
 A ``row_number`` over a key sends all rows of that key to one task.  Keeping
 only rank 1 is harmless (Spark drops the losers before the shuffle), but a full
-ranking is not.  Keys beyond ``hot_rows`` rows are therefore ranked by their
-position in a range-partitioned sort, which splits inside a key, and even inside
-a run of identical rows.
+ranking is not.  Rows are therefore ranked by their position in a
+range-partitioned sort, which splits inside a key, and even inside a run of
+identical rows; it is one way for all keys, whatever their size.
 """
 
 from __future__ import annotations
@@ -12,18 +12,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.functions.expressions import whole_div
 from strandline.session import cut_lineage
 
-# Rows of one key that a single task may sort.
-HOT_ROWS = 5_000_000
-# The n-th largest key holds at most 1/n of all rows, so what lies beyond this
-# many hot keys is small enough for a plain window; nothing is left out.
-MAX_HOT_KEYS = 10_000
 # Copies of one row that one task writes out.
 EXPAND_CHUNK = 100_000
 
@@ -48,29 +43,6 @@ def deciding_columns(
     return [*order, *rest]
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None.  Reads the keys only."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found = (
-        counts.filter(F.col("_n") > hot_rows)
-        .orderBy(F.col("_n").desc())
-        .limit(MAX_HOT_KEYS)
-        .drop("_n")
-        .collect()
-    )
-    if not found:
-        return None
-    return df.sparkSession.createDataFrame(found, counts.drop("_n").schema)
-
-
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of all key columns."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def global_positions(
     df: DataFrame,
     order: Sequence[Column],
@@ -84,14 +56,18 @@ def global_positions(
     together to place the partitions one after another.
     """
     spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The number of the input task splits runs of identical rows; it does not
     # change when a task is repeated.
     salted = df.withColumn("_task", F.spark_partition_id())
     ordered = [*order, F.col("_task").asc()]
+    # Without a number Spark fits the partitions to the size of the data.
+    ranged = (
+        salted.repartitionByRange(partitions, *ordered)
+        if partitions
+        else salted.repartitionByRange(*ordered)
+    )
     placed = (
-        salted.repartitionByRange(count, *ordered)
-        .sortWithinPartitions(*ordered)
+        ranged.sortWithinPartitions(*ordered)
         .drop("_task")
         .withColumn("_id", F.monotonically_increasing_id())
     )
@@ -117,36 +93,24 @@ def global_positions(
 
 
 def rank_within(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
 ) -> DataFrame:
-    """1-based rank of every row within its key, largest ``order`` columns first."""
+    """1-based rank of every row within its key, largest ``order`` columns first.
+
+    A rank is the distance to the first position of the key.  These meet in an
+    ordinary join, of which Spark splits busy keys.
+    """
     full = [F.col(c).desc() for c in deciding_columns(df, keys, order)]
-    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*full))
-    hot = heavy_keys(df, keys, hot_rows)
-    if hot is None:
-        return df.withColumn(name, plain.cast("bigint"))
-
-    hot = F.broadcast(hot)
-    cold_rows = df.join(hot, same_key(df, hot, keys), "left_anti")
-    hot_rows_df = df.join(hot, same_key(df, hot, keys), "left_semi")
-    placed = global_positions(
-        hot_rows_df, [*[F.col(k).asc() for k in keys], *full], "_at"
-    )
+    placed = global_positions(df, [*[F.col(k).asc() for k in keys], *full], "_at")
     firsts = placed.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.min("_at").alias("_first")
     )
     match = F.lit(True)
     for key in keys:
         match = match & placed[key].eqNullSafe(firsts[f"_k_{key}"])
-    ranked_hot = placed.join(F.broadcast(firsts), match).select(
+    return placed.join(firsts, match).select(
         *df.columns, (F.col("_at") - F.col("_first") + 1).alias(name)
     )
-    ranked_cold = cold_rows.withColumn(name, plain.cast("bigint"))
-    return ranked_cold.unionByName(ranked_hot)
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:

@@ -49,16 +49,28 @@ def first_snapshot(
 
 def one_row_per_key(landing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The landing itself; the job fails before anything is published if a key
-    comes twice.  The check uses the partitioning the merge needs anyway.
+    comes twice or is unknown.
+
+    An aggregation that is partial before its shuffle, by the keys the merge needs
+    anyway: a landing that one busy key has broken fails without being sorted.
     """
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    message = F.lit("landing holds a key more than once: ")
+    others = [c for c in landing.columns if c not in keys]
+    unknown = F.lit(False)
+    for key in keys:
+        unknown = unknown | F.col(key).isNull()
+    found = landing.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_copies"), F.first(F.struct(*others)).alias("_row")
+    )
     shown = F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
-    broken = F.raise_error(F.concat(message, shown)).cast("boolean")
-    return (
-        landing.withColumn("_copies", copies)
-        .filter(F.when(F.col("_copies") > 1, broken).otherwise(F.lit(True)))
-        .drop("_copies")
+    twice = F.raise_error(F.concat(F.lit("landing holds a key more than once: "), shown))
+    none = F.raise_error(F.lit("landing holds a row without its key"))
+    sound = (
+        F.when(unknown, none.cast("boolean"))
+        .when(F.col("_copies") > 1, twice.cast("boolean"))
+        .otherwise(F.lit(True))
+    )
+    return found.filter(sound).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}") for c in landing.columns]
     )
 
 
@@ -199,11 +211,11 @@ def point_in_time(
     versions of its own slot only, and a busy key is spread over its slots.
     """
     at = F.col(moment).cast("timestamp_ntz")
-    first, last = facts.agg(F.min(at), F.max(at)).first()
-    if first is None:
-        first = last = datetime(1970, 1, 1)
-    starts = F.greatest(F.col(FROM), _moment(first))
-    ends = F.least(F.coalesce(F.col(TO), _moment(last)), _moment(last))
+    # The span of the facts is one row, found while the query runs.
+    first = facts.agg(F.min(at)).scalar()
+    last = facts.agg(F.max(at)).scalar()
+    starts = F.greatest(F.col(FROM), first)
+    ends = F.least(F.coalesce(F.col(TO), last), last)
 
     def slot(ts: Column) -> Column:
         return whole_div(epoch_us(ts), slot_days * 86_400 * MICROS)

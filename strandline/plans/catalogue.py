@@ -154,8 +154,11 @@ def dedup_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.reconcile_ranks(
-        dedup.ranked(order_deliveries(spark, sf_dir), ["o_custkey"], NEWEST_ORDER)
+    """Bronze against winners and rejects that were made apart from it, as bags."""
+    return dedup.reconcile_bags(
+        order_deliveries(spark, sf_dir),
+        order_landing(spark, sf_dir),
+        order_rejects(spark, sf_dir),
     )
 
 
@@ -334,7 +337,9 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             verify.whole_layer(table(spark, sf_dir, "orders"), "raw"),
             verify.whole_layer(order_deliveries(spark, sf_dir), "bronze"),
             verify.whole_layer(order_landing(spark, sf_dir), "landing"),
-            verify.whole_layer(order_rejects(spark, sf_dir), "rejects"),
+            verify.counted_rejects(
+                order_deliveries(spark, sf_dir), ["o_custkey"], "rejects"
+            ),
             verify.counted_history(order_history(spark, sf_dir), "scd2"),
         ]
     )
@@ -343,11 +348,16 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = order_history(spark, sf_dir)
     key = verify.interesting_key(history, "o_custkey")
+    # The layers are made from the rows of this key alone.
+    bronze = order_deliveries(spark, sf_dir)
+    mine = bronze.filter(F.col("o_custkey").eqNullSafe(F.lit(key)))
     return verify.entity_lineage(
         [
-            verify.plain_layer(order_deliveries(spark, sf_dir), "bronze"),
-            verify.plain_layer(order_landing(spark, sf_dir), "landing"),
-            verify.rejects_layer(order_rejects(spark, sf_dir)),
+            verify.plain_layer(mine, "bronze"),
+            verify.plain_layer(
+                dedup.latest_per_key(mine, ["o_custkey"], NEWEST_ORDER), "landing"
+            ),
+            verify.rejects_layer(dedup.rejects(mine, ["o_custkey"], NEWEST_ORDER)),
             verify.history_layer(history, "scd2"),
         ],
         "o_custkey",
@@ -365,15 +375,17 @@ def integrity_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     history = event_history(spark, sf_dir)
     all_open = history.withColumn(scd2.TO, F.lit(None).cast("timestamp_ntz"))
+    landing = dedup.latest_per_key(bronze, ["user_id"], NEWEST_EVENT)
     recon = dedup.reconcile_counts(
         bronze,
-        dedup.latest_per_key(bronze, ["user_id"], NEWEST_EVENT),
-        dedup.rejects(per_delivery, ["user_id"], NEWEST_EVENT),
+        bronze.select("user_id").distinct(),
+        dedup.reject_counts(per_delivery, ["user_id"]),
+        "rejected",
     )
     return verify.integrity_problems(
         "user_id",
         {
-            "landing": dedup.latest_per_key(bronze, ["user_id"], NEWEST_EVENT),
+            "landing": landing,
             "landing per delivery": per_delivery,
         },
         {"scd2": history, "scd2 all open": all_open},

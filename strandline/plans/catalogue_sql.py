@@ -26,6 +26,14 @@ SELECT * FROM (
 WHERE _dedup_rank > 1"""
 
 
+def _version_id(key: str, stamp: str) -> str:
+    """Length and text of the key, then the moment with its microseconds."""
+    return (
+        f"md5(length(CAST({key} AS VARCHAR)) || ':' || {key} || '|' ||"
+        f" strftime({stamp}, '%Y-%m-%d %H:%M:%S.%f'))"
+    )
+
+
 def _history(rows: str, key: str, date: str, tie: str, check: list[str]) -> str:
     changed = " OR ".join(
         f"{c} IS DISTINCT FROM lag({c}) OVER line" for c in check
@@ -33,8 +41,7 @@ def _history(rows: str, key: str, date: str, tie: str, check: list[str]) -> str:
     stamp = f"CAST({date} AS TIMESTAMP)"
     return f"""
 SELECT * EXCLUDE (_first, _changed),
-       md5(CAST({key} AS VARCHAR) || '|' ||
-           strftime({stamp}, '%Y-%m-%d %H:%M:%S')) AS dbt_scd_id,
+       {_version_id(key, stamp)} AS dbt_scd_id,
        {stamp} AS dbt_updated_at,
        {stamp} AS dbt_valid_from,
        lead({stamp}) OVER (PARTITION BY {key} ORDER BY {date}) AS dbt_valid_to
@@ -82,54 +89,67 @@ def _merge(close_missing: bool) -> str:
         "(n.o_custkey IS NOT NULL AND (o.o_orderstatus IS DISTINCT FROM"
         " n.o_orderstatus OR o.o_orderpriority IS DISTINCT FROM n.o_orderpriority))"
     )
-    ident = (
-        "md5(CAST({t}.o_custkey AS VARCHAR) || '|' ||"
-        " strftime({m}, '%Y-%m-%d %H:%M:%S'))"
-    )
     first, second = "TIMESTAMP '1999-01-01'", "TIMESTAMP '2002-01-01'"
     return f"""
 WITH o AS ({FIRST_LANDING}), n AS ({SECOND_LANDING})
-SELECT o.*, {ident.format(t="o", m=first)} AS dbt_scd_id,
+SELECT o.*, {_version_id("o.o_custkey", first)} AS dbt_scd_id,
        {first} AS dbt_updated_at, {first} AS dbt_valid_from,
        CASE WHEN {differs} OR {gone} THEN {second} END AS dbt_valid_to,
        CASE WHEN {differs} OR {gone} THEN 'close' ELSE 'keep' END AS change
 FROM o LEFT JOIN n ON o.o_custkey = n.o_custkey
 UNION ALL
-SELECT n.*, {ident.format(t="n", m=second)}, {second}, {second}, NULL, 'insert'
+SELECT n.*, {_version_id("n.o_custkey", second)}, {second}, {second}, NULL, 'insert'
 FROM n LEFT JOIN o ON o.o_custkey = n.o_custkey
 WHERE o.o_custkey IS NULL OR {differs}"""
 
 
+# An event lies in the window of its own five minutes and in the two before.
 HOPPING = """
-WITH w AS (
-    SELECT range AS window_start, range + INTERVAL 15 MINUTE AS window_end
-    FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2025-01-01', INTERVAL 5 MINUTE))
-SELECT window_start, window_end, count(user_id) AS number_of_services
-FROM events JOIN w ON ts >= window_start AND ts < window_end
-GROUP BY ALL"""
+SELECT window_start, window_start + INTERVAL 15 MINUTE AS window_end,
+       count(user_id) AS number_of_services
+FROM (
+    SELECT time_bucket(INTERVAL 5 MINUTE, ts) - i * INTERVAL 5 MINUTE AS window_start,
+           user_id
+    FROM events CROSS JOIN (VALUES (0), (1), (2)) AS back(i))
+WHERE year(window_start) = 2024
+GROUP BY window_start"""
 
+# Every instant is joined with the events of its window.
 SLIDING = """
-SELECT ts - INTERVAL 15 MINUTE AS window_start, ts AS window_end,
-       count(user_id) OVER (
-           ORDER BY ts RANGE BETWEEN INTERVAL 15 MINUTE PRECEDING AND CURRENT ROW
-       ) AS number_of_services
-FROM events"""
-
+SELECT e.ts - INTERVAL 15 MINUTE AS window_start, e.ts AS window_end,
+       c.n AS number_of_services
+FROM events e JOIN (
+    SELECT a.ts, count(b.user_id) AS n
+    FROM (SELECT DISTINCT ts FROM events) a
+    JOIN events b ON b.ts <= a.ts AND a.ts <= b.ts + INTERVAL 15 MINUTE
+    GROUP BY a.ts) c ON c.ts = e.ts"""
+
+# Minutes that hold events; a session starts at one that has none in the nine
+# minutes before it.  Events that share a minute have no gap between them.
 SESSIONS = """
-SELECT station_service_date,
-       CAST(session_id_in_day AS BIGINT) AS session_id_in_day,
-       max(gap) AS gap_minutes, min(ts) AS window_start, max(ts) AS window_end,
-       count(user_id) AS number_of_services
+SELECT d AS station_service_date, session_id_in_day,
+       max(CASE WHEN copies > 1 THEN coalesce(gap, 0) ELSE gap END) AS gap_minutes,
+       min(first_ts) AS window_start, max(last_ts) AS window_end,
+       CAST(sum(known) AS BIGINT) AS number_of_services
 FROM (
-    SELECT *, sum(CASE WHEN gap >= 10 OR gap IS NULL THEN 1 ELSE 0 END) OVER (
-               PARTITION BY station_service_date ORDER BY ts, event_id
-               ROWS UNBOUNDED PRECEDING) AS session_id_in_day
+    SELECT minutes.*, starts.session_id_in_day
+    FROM minutes ASOF JOIN starts ON minutes.d = starts.d AND minutes.m >= starts.m)
+GROUP BY d, session_id_in_day"""
+_MINUTES = """
+minutes AS (
+    SELECT d, m, copies, known, first_ts, last_ts,
+           m - max(m) OVER (PARTITION BY d ORDER BY m ROWS BETWEEN 1 PRECEDING
+                            AND 1 PRECEDING) AS gap
     FROM (
-        SELECT *, CAST(ts AS DATE) AS station_service_date,
-               date_diff('minute', lag(ts) OVER (
-                   PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id), ts) AS gap
-        FROM events WHERE hour(ts) BETWEEN 6 AND 23))
-GROUP BY station_service_date, session_id_in_day"""
+        SELECT CAST(ts AS DATE) AS d, CAST(epoch_us(ts) // 60000000 AS BIGINT) AS m,
+               count(*) AS copies, count(user_id) AS known,
+               min(ts) AS first_ts, max(ts) AS last_ts
+        FROM events WHERE hour(ts) >= 6 GROUP BY ALL)),
+starts AS (
+    SELECT d, m, row_number() OVER (PARTITION BY d ORDER BY m) AS session_id_in_day
+    FROM minutes a WHERE NOT EXISTS (
+        SELECT 1 FROM minutes b WHERE b.d = a.d AND b.m BETWEEN a.m - 9 AND a.m - 1))"""
+SESSIONS = f"WITH {_MINUTES} {SESSIONS}"
 
 NEWEST_AND_LARGEST = """
 a AS (SELECT o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders
@@ -217,17 +237,15 @@ SELECT o_orderkey,
            ELSE 'nodate_' || o_orderpriority || '.txt' END AS name
 FROM orders"""
 
-_PATTERN = "(\\d{4})(\\d{2})(\\d{2})(?:T\\d{6})?"
-
+# The first eight digits in a row, if the calendar knows them.
 LAYOUT = f"""
 SELECT o_orderkey, name,
-       CASE WHEN accepted THEN y END AS year, CASE WHEN accepted THEN m END AS month,
-       CASE WHEN accepted THEN d END AS day, accepted
+       CASE WHEN accepted THEN digits[1:4] END AS year,
+       CASE WHEN accepted THEN digits[5:6] END AS month,
+       CASE WHEN accepted THEN digits[7:8] END AS day, accepted
 FROM (
-    SELECT *, regexp_extract(name, '{_PATTERN}', 1) AS y,
-           regexp_extract(name, '{_PATTERN}', 2) AS m,
-           regexp_extract(name, '{_PATTERN}', 3) AS d,
-           try_strptime(y || m || d, '%Y%m%d') IS NOT NULL AS accepted
+    SELECT *, regexp_extract(name, '[0-9]{{8}}') AS digits,
+           try_strptime(digits, '%Y%m%d') IS NOT NULL AS accepted
     FROM ({NAMES}))"""
 
 _EVENT_PARTS = """
@@ -247,12 +265,20 @@ SELECT *, {_EVENT_PARTS} FROM (
     FROM events)""",
     "dedup_latest": LANDING,
     "dedup_rejects": REJECTS,
-    "dedup_reconciliation": """
-SELECT count(*) AS bronze_n, count(*) FILTER (rn = 1) AS winners_n,
-       count(*) FILTER (rn > 1) AS rejects_n,
-       count(*) - count(*) FILTER (rn = 1) - count(*) FILTER (rn > 1) AS missing_rows
-FROM (SELECT row_number() OVER (PARTITION BY o_custkey
-                                ORDER BY o_orderdate DESC) AS rn FROM orders)""",
+    "dedup_reconciliation": f"""
+WITH b AS (
+    SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, o_orderpriority
+    FROM orders),
+kept AS (
+    SELECT * FROM ({LANDING}) UNION ALL SELECT * EXCLUDE (_dedup_rank) FROM ({REJECTS}))
+SELECT *, bronze_n - winners_n - rejects_n AS missing_rows
+FROM (SELECT
+    (SELECT count(*) FROM b) AS bronze_n,
+    (SELECT count(*) FROM ({LANDING})) AS winners_n,
+    (SELECT count(*) FROM ({REJECTS})) AS rejects_n,
+    (SELECT count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM kept)) AS lost_rows,
+    (SELECT count(*) FROM (SELECT * FROM kept EXCEPT ALL SELECT * FROM b))
+        AS foreign_rows)""",
     "dup_cross_delivery": f"""
 SELECT user_id, count(DISTINCT effective_date) AS deliveries_seen
 FROM ({EVENTS}) GROUP BY user_id HAVING count(DISTINCT effective_date) >= 2""",
@@ -324,10 +350,11 @@ SELECT date_trunc('hour', ts) AS station_service_time_hour,
        count(*) AS number_of_services
 FROM events WHERE year(ts) = 2024 GROUP BY ALL""",
     "tumbling_quarter_profile": """
-SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts, INTERVAL 0 MINUTE), '%H:%M')
+SELECT format('{:02d}:{:02d}', hour(ts), minute(ts) // 15 * 15)
            AS station_service_time_hour_quarter,
-       count(*) / 366 AS number_of_services
-FROM events WHERE year(ts) = 2024 GROUP BY ALL""",
+       sum(1) / 366 AS number_of_services
+FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2025-01-01'
+GROUP BY hour(ts), minute(ts) // 15""",
     "tumbling_offset_profile": """
 SELECT strftime(time_bucket(INTERVAL 25 MINUTE, ts, INTERVAL 5 MINUTE), '%H:%M')
            AS station_service_time_hour_quarter,
@@ -344,13 +371,14 @@ SELECT unnest(range(
     "sliding_top5": f"{SLIDING} ORDER BY number_of_services DESC, window_start LIMIT 5",
     "session_windows": SESSIONS,
     "session_top_days": f"""
-SELECT station_service_date,
-       CAST(max(ceil(date_diff('minute', window_start, window_end) / 60)) AS BIGINT)
-           AS number_of_hours_without_gap,
-       count(*) AS number_of_sessions
-FROM ({SESSIONS}) GROUP BY station_service_date
-HAVING number_of_hours_without_gap <> 0
-ORDER BY number_of_sessions DESC, station_service_date LIMIT 5""",
+SELECT station_service_date, longest AS number_of_hours_without_gap,
+       sessions AS number_of_sessions
+FROM (
+    SELECT station_service_date, count(*) AS sessions,
+           max((date_diff('minute', window_start, window_end) + 59) // 60) AS longest
+    FROM ({SESSIONS}) GROUP BY station_service_date)
+WHERE longest > 0
+QUALIFY row_number() OVER (ORDER BY sessions DESC, station_service_date) <= 5""",
     "session_of_day": f"""
 SELECT * FROM ({SESSIONS}) WHERE station_service_date = DATE '2024-01-15'""",
     "session_gaps": f"SELECT DISTINCT gap_minutes FROM ({SESSIONS})",
@@ -374,13 +402,13 @@ every AS (
     FROM orders
     UNION ALL SELECT 'landing', o_custkey, o_orderstatus, o_orderdate, NULL
     FROM ({LANDING})
-    UNION ALL SELECT 'rejects (rank=' || _dedup_rank || ')', o_custkey,
+    UNION ALL SELECT 'rejects, place ' || _dedup_rank, o_custkey,
                      o_orderstatus, o_orderdate, NULL
     FROM ({REJECTS})
     UNION ALL SELECT 'scd2', o_custkey, o_orderstatus, o_orderdate,
-                     'valid_from=' || strftime(dbt_valid_from, '%Y-%m-%d %H:%M:%S')
-                     || '  valid_to=' || coalesce(
-                         strftime(dbt_valid_to, '%Y-%m-%d %H:%M:%S'), '(current)')
+                     'valid ' || strftime(dbt_valid_from, '%Y-%m-%d %H:%M:%S')
+                     || ' until ' || coalesce(
+                         strftime(dbt_valid_to, '%Y-%m-%d %H:%M:%S'), 'now')
     FROM h)
 SELECT * FROM every WHERE o_custkey = (SELECT k FROM target)""",
     "integrity_problems": f"""
@@ -393,19 +421,18 @@ recon AS (
     SELECT (SELECT count(*) FROM e) AS b,
            (SELECT count(DISTINCT user_id) FROM e) AS w,
            (SELECT count(*) - count(DISTINCT user_id) FROM per_delivery) AS r)
-SELECT 'landing per delivery has duplicate user_id' AS problem,
+SELECT 'landing per delivery: user_id comes more than once' AS problem,
        CAST(user_id AS VARCHAR) AS user_id, count(*) AS n
 FROM per_delivery GROUP BY user_id HAVING count(*) > 1
 UNION ALL
-SELECT 'scd2 has >1 current row per user_id', CAST(user_id AS VARCHAR), count(*)
+SELECT 'scd2: several open versions of one user_id', CAST(user_id AS VARCHAR), count(*)
 FROM h WHERE dbt_valid_to IS NULL GROUP BY user_id HAVING count(*) > 1
 UNION ALL
-SELECT 'scd2 all open has >1 current row per user_id', CAST(user_id AS VARCHAR),
+SELECT 'scd2 all open: several open versions of one user_id', CAST(user_id AS VARCHAR),
        count(*)
 FROM h GROUP BY user_id HAVING count(*) > 1
 UNION ALL
-SELECT 'bronze != winners + rejects  (bronze_n=' || b || ' winners_n=' || w
-       || ' rejects_n=' || r || ')', NULL, b - (w + r)
+SELECT 'of ' || b || ' bronze rows, ' || w || ' won and ' || r || ' were rejected', NULL, b - (w + r)
 FROM recon WHERE b <> w + r""",
     "scd2_listing": f"""
 SELECT 'all' AS src, user_id, event_type, effective_date, dbt_valid_from,

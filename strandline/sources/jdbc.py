@@ -26,7 +26,6 @@ def write_options(strategy: str, batch_rows: int, connections: int) -> dict[str,
         "truncate": str(strategy == TRUNCATE).lower(),
         "batchsize": str(batch_rows),
         "numPartitions": str(connections),
-        "rewriteBatchedStatements": "true",
     }
 
 

@@ -43,12 +43,11 @@ def brute_ranks(data: list[tuple]) -> Counter:
     return ranked
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10_000])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_ranks_equal_brute_force_with_and_without_hot_keys(spark, seed, hot_rows):
+def test_ranks_equal_brute_force(spark, seed):
     data = deliveries(seed)
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    found = dedup.ranked(df, ["k"], ORDER, hot_rows=hot_rows)
+    found = dedup.ranked(df, ["k"], ORDER)
     assert Counter(tuple(r) for r in found.collect()) == brute_ranks(data)
 
 
@@ -56,14 +55,27 @@ def test_winners_and_rejects_are_bronze_as_bags(spark):
     data = deliveries(3)
     df = spark.createDataFrame(data, SCHEMA)
     won = dedup.latest_per_key(df, ["k"], ORDER)
-    lost = dedup.rejects(df, ["k"], ORDER, hot_rows=20)
+    lost = dedup.rejects(df, ["k"], ORDER)
     together = [tuple(r) for r in won.collect()]
     assert len(together) == len({r[0] for r in data})
     together += [tuple(r)[:-1] for r in lost.collect()]
     assert Counter(together) == Counter(data)
     counts = dedup.reconcile_counts(df, won, lost)
     assert dedup.reconciliation_failures(counts).isEmpty()
-    assert rows(dedup.reconcile_ranks(dedup.ranked(df, ["k"], ORDER))) == rows(counts)
+    bags = dedup.reconcile_bags(df, won, lost).first()
+    assert (bags["missing_rows"], bags["lost_rows"], bags["foreign_rows"]) == (0, 0, 0)
+    counted = dedup.reconcile_counts(df, won, dedup.reject_counts(df, ["k"]), "rejected")
+    assert rows(counted) == rows(counts)
+
+
+def test_bags_show_what_counts_cannot(spark):
+    df = spark.createDataFrame(deliveries(6), SCHEMA)
+    won = dedup.latest_per_key(df, ["k"], ORDER)
+    lost = dedup.rejects(df, ["k"], ORDER)
+    changed = lost.withColumn("v", F.when(F.col("k") == "hot", "z").otherwise(F.col("v")))
+    bags = dedup.reconcile_bags(df, won, changed).first()
+    hot = lost.filter("k = 'hot'").count()
+    assert (bags["missing_rows"], bags["lost_rows"], bags["foreign_rows"]) == (0, hot, hot)
 
 
 def test_lost_rows_show_up(spark):
@@ -101,10 +113,13 @@ def test_conflicting_copies_have_one_winner_everywhere(spark):
         assert ranks == [(None, 3), ("new", 2)]
 
 
-def test_heavy_keys_reads_only_the_keys(spark):
-    df = spark.createDataFrame(deliveries(5), SCHEMA)
-    assert ordering.heavy_keys(df, ["k"], 10_000) is None
-    assert rows(ordering.heavy_keys(df, ["k"], 60)) == [("hot",)]
+def test_one_key_is_sorted_by_several_tasks(spark):
+    df = spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("k"), "id")
+    placed = ordering.global_positions(df, [F.col("k").asc(), F.col("id").desc()], "p", 4)
+    per_task = placed.groupBy(F.spark_partition_id().alias("t")).count().collect()
+    assert max(r["count"] for r in per_task) < 4000
+    ranks = dedup.ranked(df, ["k"], ["id"]).select("id", "_dedup_rank").collect()
+    assert sorted(tuple(r) for r in ranks) == [(i, 4000 - i) for i in range(4000)]
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 7])

@@ -198,7 +198,7 @@ def test_command_line(flow, spark, tmp_path, capsys, monkeypatch):
     shutil.copytree(layers.root, copy)
     broken.write.mode("overwrite").parquet(f"{copy}/landing-parquet")
     assert command_line.main(["verify", "--root", copy, "--integrity"]) == 1
-    assert "bronze_n=9 winners_n=3 rejects_n=4" in capsys.readouterr().out
+    assert "of 9 bronze rows, 3 won and 4 were rejected" in capsys.readouterr().out
 
 
 # --- streams ---------------------------------------------------------------
