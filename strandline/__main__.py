@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import argparse
 import sys
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from strandline.operators import quality
 from strandline.plans import register
@@ -48,9 +48,16 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def print_all(rows: DataFrame) -> None:
+    """Every row of a report, a partition at a time, however many there are."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def do_run(spark: SparkSession, args: argparse.Namespace) -> int:
     layers = register.Layers(spark, args.root)
-    at = args.at or datetime.now()
+    at = args.at or datetime.now(timezone.utc).replace(tzinfo=None)
     outcomes = register.run(layers, args.inbox, args.run_id, at)
     for outcome in outcomes:
         print(f"{outcome.status:5} {outcome.name} ({outcome.failures})")
@@ -63,19 +70,21 @@ def do_verify(spark: SparkSession, args: argparse.Namespace) -> int:
     everything = args.all or not chosen
     status = 0
     if args.summary or everything:
-        register.summary(layers).show(100, truncate=False)
+        print_all(register.summary(layers))
     if args.key is not None or everything:
         rows = register.lineage(layers, args.key or None)
         if rows is None:
             print("the history is empty")
         else:
-            rows.show(100, truncate=False)
+            print_all(rows)
     if args.integrity or everything:
         # Shown and counted from one computation.
         problems = register.integrity(layers).persist()
-        status = 0 if problems.isEmpty() else 1
+        number = problems.count()
+        status = 1 if number else 0
         if status:
-            problems.show(100, truncate=False)
+            print(f"problems: {number}")
+            print_all(problems)
         else:
             print("no issues detected")
         problems.unpersist()
@@ -86,7 +95,7 @@ def do_pseudonymise(spark: SparkSession, args: argparse.Namespace) -> int:
     report = register.pseudonymise_deliveries(
         spark, args.source, args.target, args.glob, args.dry_run
     )
-    report.show(1000, truncate=False)
+    print_all(report)
     return 0
 
 

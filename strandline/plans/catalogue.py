@@ -31,9 +31,13 @@ from strandline.plans.history import HistoryStore
 from strandline.session import scratch_path
 from strandline.sources.delimited import (
     DAY_PARTS,
+    LAYOUT,
+    SOURCE_FILE,
     header_layouts,
+    land_deliveries,
     layout_totals,
-    list_files,
+    quarantine_counts,
+    quarantined,
     read_deliveries,
     stage,
     with_day_parts,
@@ -778,9 +782,70 @@ def raw_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     for frame, name in ((orders, "orders"), (customers, "customers")):
         frame.write.options(delimiter="\t", header="true").csv(f"{root}/{name}")
-    layouts = header_layouts(list_files(spark, root, "*.csv"))
-    rows = [(",".join(names),) for names, _ in layouts]
-    return spark.createDataFrame(rows, "header string")
+    layouts = header_layouts(spark, root, "*.csv")
+    rows = read_deliveries(spark, root, "*.csv", layouts=layouts, with_layout=True)
+    header = F.replace(F.col(LAYOUT), F.lit("\t"), F.lit(","))
+    return rows.groupBy(header.alias("header")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _inbox(rows: DataFrame, folder: str) -> None:
+    """A delivery as files of ready-made lines, each file led by the header."""
+    line = F.concat_ws("\t", *rows.columns).alias("\t".join(rows.columns))
+    # A separator that no line has, and no quotes: lines are written as they are.
+    options = {"sep": "\u0001", "quote": "", "header": "true"}
+    rows.select(line).write.options(**options).csv(folder)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Deliveries of orders that come in turn: two files of one day, one of them
+    twice, and one with lines that are too short, too long, or broken in a quote.
+
+    A delivery is a folder that carries the name of its file.
+    """
+    root = scratch_path(spark, "landed")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("PeOrgNr"),
+        F.col("o_orderstatus").alias("Namn"),
+        F.col("o_orderpriority").alias("PostOrt"),
+    )
+    key = F.col("PeOrgNr").cast("bigint")
+    last = F.col("PostOrt")
+    damaged = (
+        F.when(key % 9 == 1, F.concat(F.lit('"'), last))
+        .when(key % 9 == 4, F.concat(last, F.lit("\tmore")))
+        .when(key % 27 != 7, last)
+    )
+    first = orders.filter(key % 3 == 0).select("Namn", "PostOrt", "PeOrgNr")
+    second = orders.filter(key % 3 == 2)
+    third = orders.filter(key % 3 == 1).withColumn("PostOrt", damaged)
+    turns = (
+        (first, "reg_20240301T120000_1.txt"),
+        (second, "reg_20240301T130000_2.txt"),
+        (first, "reg_20240301T120000_1.txt"),
+        (third, "reg_20240302T120000_1.txt"),
+    )
+    for turn, (rows, name) in enumerate(turns):
+        inbox = f"{root}/inbox/{turn}"
+        _inbox(rows, f"{inbox}/{SOURCE_FILE}={name}")
+        land_deliveries(spark, inbox, f"{root}/raw", "*.csv")
+    return f"{root}/raw"
+
+
+def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that was delivered, once, whatever came before or again."""
+    raw = read_deliveries(spark, _landed(spark, sf_dir), "*.csv")
+    return raw.select("PeOrgNr", "Namn", "PostOrt", "year", "month", "day")
+
+
+def raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per file they came from."""
+    raw = read_deliveries(spark, _landed(spark, sf_dir), "*.csv")
+    return raw.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that did not fit their header, per file."""
+    return quarantine_counts(quarantined(spark, _landed(spark, sf_dir)))
 
 
 def lake_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -839,7 +904,9 @@ def strategy_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(part("O"), name, TRUNCATE)
     swapped = part("P").select("o_orderstatus", "o_orderkey")
     write_table(swapped, name, APPEND, by_name=True)
-    return spark.table(name)
+    # The entry in the catalogue goes, the files stay.
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema("o_orderkey bigint, o_orderstatus string").parquet(path)
 
 
 # --- streams ---------------------------------------------------------------
@@ -952,6 +1019,9 @@ QUERIES: dict[str, Query] = {
         hive_pruned_sum,
         raw_union_by_name,
         raw_layouts,
+        raw_landing,
+        raw_lineage,
+        raw_quarantine,
         lake_versions,
         schema_evolution,
         strategy_modes,

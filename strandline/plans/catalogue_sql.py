@@ -248,6 +248,15 @@ FROM (
            try_strptime(digits, '%Y%m%d') IS NOT NULL AS accepted
     FROM ({NAMES}))"""
 
+# Orders as they were delivered: file, day, and whether the line fits its header.
+DELIVERED = """
+SELECT *, CASE o_orderkey % 3 WHEN 0 THEN 'reg_20240301T120000_1.txt'
+                              WHEN 2 THEN 'reg_20240301T130000_2.txt'
+                              ELSE 'reg_20240302T120000_1.txt' END AS source_file,
+       CAST(CASE WHEN o_orderkey % 3 = 1 THEN 2 ELSE 1 END AS INTEGER) AS day,
+       o_orderkey % 3 <> 1 OR (o_orderkey % 9 = 7 AND o_orderkey % 27 <> 7) AS sound
+FROM orders"""
+
 _EVENT_PARTS = """
     CAST(date_part('year', effective_date) AS INTEGER) AS year,
     CAST(date_part('month', effective_date) AS INTEGER) AS month,
@@ -592,8 +601,19 @@ SELECT CAST(user_id AS VARCHAR) AS peorgnr, event_type AS namn,
        'run-1' AS invocation_id
 FROM events""",
     "raw_layouts": """
-SELECT 'o_orderkey,o_custkey' AS header FROM (SELECT count(*) FROM orders)
-UNION ALL SELECT 'c_custkey,c_name' FROM (SELECT count(*) FROM customer)""",
+SELECT 'o_orderkey,o_custkey' AS header, count(*) AS rows FROM orders
+UNION ALL SELECT 'c_custkey,c_name', count(*) FROM customer""",
+    "raw_landing": f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS "PeOrgNr", o_orderstatus AS "Namn",
+       o_orderpriority AS "PostOrt", CAST(2024 AS INTEGER) AS year,
+       CAST(3 AS INTEGER) AS month, day
+FROM ({DELIVERED}) WHERE sound""",
+    "raw_lineage": f"""
+SELECT source_file, count(*) AS rows FROM ({DELIVERED}) WHERE sound
+GROUP BY source_file""",
+    "raw_quarantine": f"""
+SELECT source_file, count(*) AS lines FROM ({DELIVERED}) WHERE NOT sound
+GROUP BY source_file""",
     "lake_versions": f"""
 SELECT 'version 1' AS view, o_orderstatus, count(*) AS rows
 FROM ({FIRST_LANDING}) GROUP BY o_orderstatus

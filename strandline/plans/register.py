@@ -9,8 +9,10 @@ compared with each other.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,9 @@ from strandline.plans import verify
 from strandline.plans.history import HistoryStore
 from strandline.sources.delimited import (
     DAY_PARTS,
+    LAYOUT,
     SOURCE_FILE,
+    header_layouts,
     land_deliveries,
     read_deliveries,
     stage,
@@ -131,11 +135,12 @@ def run(
     _write_bronze(layers, inbox, run_id, snapshot_ts)
 
     bronze = layers.bronze()
-    outcomes = quality.run_checks(
-        layers.spark, bronze_checks(bronze), layers.path("audit")
-    )
-    for outcome in outcomes:
-        log.add(outcome.name, outcome.status, outcome.failures, 0.0)
+    outcomes = []
+    for check in bronze_checks(bronze):
+        begin = time.monotonic()
+        outcomes += quality.run_checks(layers.spark, [check], layers.path("audit"))
+        last = outcomes[-1]
+        log.add(last.name, last.status, last.failures, time.monotonic() - begin)
     if any(o.status == quality.FAILED for o in outcomes):
         return outcomes
 
@@ -149,16 +154,20 @@ def run(
     lost = dedup.rejects(bronze, [KEY], LATEST)
     _overwrite(log, "rejects", lost, layers.path("rejects"))
 
+    begin = time.monotonic()
     wrong = dedup.reconciliation_failures(reconciliation(layers)).count()
     status = quality.FAILED if wrong else quality.PASSED
     outcomes.append(quality.Outcome("dedup_reconciliation", status, wrong))
-    log.add("dedup_reconciliation", status, wrong, 0.0)
+    log.add("dedup_reconciliation", status, wrong, time.monotonic() - begin)
     if wrong:
         return outcomes
 
     for path in (PARQUET, LAKE):
-        layers.history(path).apply(layers.landing(path), snapshot_ts, run_id)
-        log.add(f"history-{path}", "success", None, 0.0)
+        begin = time.monotonic()
+        history = layers.history(path)
+        load = history.apply(layers.landing(path), snapshot_ts, run_id)
+        written = history.table.rows_of(load)
+        log.add(f"history-{path}", "success", written, time.monotonic() - begin)
     return outcomes
 
 
@@ -192,6 +201,7 @@ def _overwrite(log: RunLog, step: str, rows: DataFrame, path: str) -> None:
 
 
 def reconciliation(layers: Layers) -> DataFrame:
+    """Bronze as it is stored against the landing and the rejects as they are."""
     return dedup.reconcile_counts(
         layers.bronze(), layers.landing(), layers.rejects()
     )
@@ -281,13 +291,39 @@ def pseudonymise_deliveries(
 ) -> DataFrame:
     """Deliveries with pseudonyms for names, written to ``target``; one line per
     file says what was (or would be) rewritten.  The source is left alone.
+
+    A file whose header lacks the key or a name column is reported with these and
+    written as it is.  The source may be laid out by day or flat.
     """
-    rows = read_deliveries(spark, source, glob)
-    have = {c.lower(): c for c in rows.columns}
-    names = {have.get(name, name): kind for name, kind in NAMES.items()}
-    key = have.get(KEY, KEY)
-    report = privacy.pseudonymisation_report(rows, SOURCE_FILE, key, names)
-    if not dry_run:
-        done = privacy.pseudonymise_open_files(rows, SOURCE_FILE, key, names)
-        write_deliveries(done, target)
-    return report
+    if source.rstrip("/") == target.rstrip("/"):
+        raise ValueError("source and target are the same folder")
+    layouts = header_layouts(spark, source, glob)
+    rows = read_deliveries(spark, source, glob, layouts=layouts, with_layout=True)
+    file = F.element_at(F.split(SOURCE_FILE, "/"), -1)
+    reports = []
+    # One turn for each header line, of which there are few.
+    for layout in layouts:
+        own = {c.lower(): c for c in layout.columns}
+        have = {c.lower(): c for c in rows.columns}
+        folders = [c for c in DAY_PARTS if c in rows.columns]
+        columns = [have[c] for c in own if c in have and c != SOURCE_FILE]
+        mine = rows.filter(F.col(LAYOUT) == F.lit(layout.header)).select(
+            *columns, *[c for c in folders if c not in columns], file.alias(SOURCE_FILE)
+        )
+        lacking = privacy.missing_columns(mine, KEY, NAMES)
+        names = {have[n]: kind for n, kind in NAMES.items() if n not in lacking}
+        if lacking:
+            report = mine.groupBy(SOURCE_FILE).agg(
+                F.count(F.lit(1)).alias("rows_seen"),
+                F.lit(0).cast("bigint").alias("rows_rewritten"),
+                F.lit(False).alias("already_anonymised"),
+            )
+        else:
+            report = privacy.pseudonymisation_report(mine, SOURCE_FILE, have[KEY], names)
+        reports.append(report.withColumn("missing_columns", F.lit(", ".join(lacking))))
+        if not dry_run:
+            done = mine
+            if not lacking:
+                done = privacy.pseudonymise_open_files(mine, SOURCE_FILE, have[KEY], names)
+            write_deliveries(done, target)
+    return reduce(DataFrame.unionByName, reports)

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator, Sequence
-from functools import reduce
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +18,10 @@ ENCODING = "ISO-8859-1"
 
 SOURCE_FILE = "source_file"
 DAY_PARTS = ("year", "month", "day")
-FIRST_BYTES = 1 << 20  # a header line is shorter than this
+MALFORMED = "_malformed"  # the whole line, where it does not fit its header
+LAYOUT = "_layout"  # the header line of the file
+FAIL, KEEP = "fail", "keep"  # what becomes of malformed lines
+QUARANTINE = "-quarantine"
 
 
 def _csv_options(delimiter: str, encoding: str) -> dict[str, str]:
@@ -46,53 +48,77 @@ def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     )
 
 
-def _first_line(path: str, encoding: str) -> str | None:
-    """The first line of a file, by one short read at its start."""
-    from pyarrow import fs
+@dataclass(frozen=True)
+class Layout:
+    """A header line, its columns, and how many files begin with it."""
 
-    if path.startswith("file:"):
-        system, inner = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    else:
-        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    with system.open_input_stream(inner) as stream:
-        head = stream.read(FIRST_BYTES)
-    line, found, _ = head.partition(b"\n")
-    if not found and len(head) == FIRST_BYTES:
-        raise ValueError(f"{path}: the first line is longer than {FIRST_BYTES} bytes")
-    return line.decode(encoding).rstrip("\r") if head else None
+    header: str
+    columns: tuple[str, ...]
+    files: int
+    dated: bool
 
 
-def header_lines(files: DataFrame, encoding: str = ENCODING) -> DataFrame:
-    """``path`` and ``header`` of every file that is not empty, read in parallel."""
+def _lines(spark: SparkSession, root: str, glob: str, encoding: str) -> DataFrame:
+    """``path``, ``line`` and ``id`` (growing within a file) of all lines.
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lines = [_first_line(path, encoding) for path in batch["path"]]
-            found = pd.DataFrame({"path": batch["path"], "header": lines})
-            yield found[found["header"].notna()]
+    Spark's text reader hands the bytes on as they are; they are decoded here.
+    """
+    path = F.col("_metadata.file_path")
+    return (
+        spark.read.option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
+        .schema("value string")
+        .text(root)
+        .select(
+            path.alias("path"),
+            F.decode(F.col("value").cast("binary"), encoding).alias("line"),
+            F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
+            .alias("at_start"),
+            F.monotonically_increasing_id().alias("id"),
+        )
+    )
 
-    return files.select("path").mapInPandas(probe, "path string, header string")
+
+def header_lines(lines: DataFrame) -> DataFrame:
+    """``path``, ``header`` and ``header_id`` of every file that is not empty: the
+    first line of its first block, found by a partial aggregate."""
+    return lines.groupBy("path").agg(
+        F.min_by("line", "at_start").alias("header"), F.min("at_start").alias("header_id")
+    )
 
 
-def _columns_of(header: str, delimiter: str) -> list[str]:
+def _columns_of(header: str, delimiter: str) -> tuple[str, ...]:
     names = next(csv.reader([header], delimiter=delimiter))
-    return [name.strip() or f"_c{at}" for at, name in enumerate(names)]
+    return tuple(name.strip() or f"_c{at}" for at, name in enumerate(names))
 
 
 def header_layouts(
-    files: DataFrame, encoding: str = ENCODING, delimiter: str = DELIMITER
-) -> list[tuple[list[str], list[str]]]:
-    """The different header lines and the files that share them.
-
-    Only file names come together here, as they do for any file scan.
-    """
-    grouped = (
-        header_lines(files, encoding)
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("header")
+    spark: SparkSession,
+    root: str,
+    glob: str = "*.txt",
+    encoding: str = ENCODING,
+    delimiter: str = DELIMITER,
+) -> list[Layout]:
+    """The different header lines below ``root``; nothing else comes together here."""
+    headers = header_lines(_lines(spark, root, glob, encoding))
+    dated = F.bool_and(F.col("path").rlike(_day_pattern("year")))
+    found = headers.groupBy("header").agg(
+        F.count(F.lit(1)).alias("files"), dated.alias("dated")
     )
-    return [(_columns_of(r.header, delimiter), r.paths) for r in grouped.collect()]
+    return [
+        Layout(r.header, _columns_of(r.header, delimiter), r.files, r.dated)
+        for r in found.orderBy("header").collect()
+    ]
+
+
+def _day_pattern(part: str) -> str:
+    return f"/{part}=([0-9]+)/"
+
+
+def _in_path(name: str) -> Column:
+    """The value that a folder ``name=value`` of the path carries, or NULL."""
+    found = F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+    return F.when(found != "", F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B"))))
 
 
 def read_deliveries(
@@ -101,33 +127,61 @@ def read_deliveries(
     glob: str = "*.txt",
     encoding: str = ENCODING,
     delimiter: str = DELIMITER,
-    files: DataFrame | None = None,
+    malformed: str = FAIL,
+    layouts: list[Layout] | None = None,
+    with_layout: bool = False,
 ) -> DataFrame:
     """All deliveries below ``root`` as text columns, united by column name.
 
-    Adds the partition columns of the path and ``source_file``.  Spark pairs
-    columns of several files by position, so files are read per header line.
+    Adds the partition columns of the path and ``source_file``.  Each line meets the
+    header of its own file in a join, and is read by it.  A line that has more or
+    fewer fields than its header, or a quote that is not closed on it, is malformed:
+    it stops the job, or with ``KEEP`` comes along in ``_malformed`` with all other
+    columns unknown.  ``with_layout`` adds the header line as ``_layout``.
     """
-    chosen = list_files(spark, root, glob) if files is None else files
-    layouts = header_layouts(chosen, encoding, delimiter)
-    if not layouts:
+    known = header_layouts(spark, root, glob, encoding, delimiter) if layouts is None else layouts
+    if not known:
         raise FileNotFoundError(f"no deliveries match {glob!r} below {root}")
-    frames = []
-    for names, paths in layouts:
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        frame = (
-            spark.read.options(**_csv_options(delimiter, encoding))
-            .option("basePath", root)
-            .schema(schema)
-            .csv(paths)
-        )
-        path = F.col("_metadata.file_path")
-        own = [c for c in frame.columns if c.lower() == SOURCE_FILE]
-        lineage = F.coalesce(F.col(own[0]), path) if own else path
-        kept = [c for c in frame.columns if not _unnamed(c) and c not in own]
-        frames.append(frame.select(*kept, lineage.alias(SOURCE_FILE)))
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), frames
+    lines = _lines(spark, root, glob, encoding)
+    rows = lines.join(header_lines(lines), "path").filter(
+        (F.col("id") != F.col("header_id")) & (F.col("line") != "")
+    )
+    options = {"sep": delimiter, "escape": '"', "columnNameOfCorruptRecord": MALFORMED}
+    parsed = []
+    for layout in known:
+        fields = [T.StructField(n, T.StringType()) for n in (*layout.columns, MALFORMED)]
+        record = F.from_csv("line", T.StructType(fields).simpleString(), options)
+        parsed.append(F.when(F.col("header") == F.lit(layout.header), record))
+    rows = rows.select(
+        "path", "line", "header", *[p.alias(f"_r{i}") for i, p in enumerate(parsed)]
+    )
+
+    # Spelling of a column as first met -> where it stands.
+    places: dict[str, tuple[str, list[str]]] = {}
+    for i, layout in enumerate(known):
+        for name in layout.columns:
+            if not _unnamed(name):
+                places.setdefault(name.lower(), (name, []))[1].append(f"_r{i}.`{name}`")
+    broken = F.coalesce(*[F.col(f"_r{i}.{MALFORMED}") for i in range(len(known))])
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    broken = F.coalesce(broken, F.when(quotes % 2 == 1, F.col("line")))
+    rows = rows.withColumn(MALFORMED, broken)
+    sound = F.col(MALFORMED).isNull()
+    own = places.pop(SOURCE_FILE, (SOURCE_FILE, []))[1]
+    lineage = [F.when(sound, F.col(c)) for c in own] + [_in_path(SOURCE_FILE), F.col("path")]
+    days = [F.regexp_extract("path", _day_pattern(p), 1).cast("int").alias(p) for p in DAY_PARTS]
+    if malformed == FAIL:
+        message = F.concat(F.col("path"), F.lit(": malformed line: "), F.col(MALFORMED))
+        rows = rows.filter(F.when(sound, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return rows.select(
+        *[
+            F.when(sound, F.coalesce(*[F.col(c) for c in at])).alias(name)
+            for name, at in places.values()
+        ],
+        *(days if all(layout.dated for layout in known) else []),
+        F.coalesce(*lineage).alias(SOURCE_FILE),
+        *([F.col(MALFORMED)] if malformed == KEEP else []),
+        *([F.col("header").alias(LAYOUT)] if with_layout else []),
     )
 
 
@@ -174,41 +228,69 @@ def land_deliveries(
     encoding: str = ENCODING,
     delimiter: str = DELIMITER,
 ) -> DataFrame:
-    """Write the inbox as ``year=/month=/day=`` text, and say what became of files.
-
-    Path values keep their zeros.  The days in the inbox replace the same days
-    of the raw area, so a repeated run changes nothing.  A file without a valid
-    date is not written; it shows in the result with ``accepted`` false.
+    """Write the inbox as ``year=/month=/day=/source_file=`` text, and say what became
+    of files.
+
+    Path values keep their zeros.  The raw area only grows: a file has a folder of its
+    own, so a file that comes again replaces itself, and one more file of a day is
+    added.  Malformed lines go to a table beside the raw area (``quarantined``).  A
+    file without a valid date is not written; it shows in the result with
+    ``accepted`` false.
     """
     laid_out = with_layout(list_files(spark, inbox, glob))
-    taken = laid_out.filter("accepted").select("path")
-    if not taken.isEmpty():
-        rows = read_deliveries(spark, inbox, glob, encoding, delimiter, files=taken)
+    layouts = header_layouts(spark, inbox, glob, encoding, delimiter)
+    if layouts:
+        rows = read_deliveries(
+            spark, inbox, glob, encoding, delimiter, KEEP, layouts
+        ).drop(*DAY_PARTS)
         file = F.element_at(F.split(SOURCE_FILE, "/"), -1)
         dated = rows.withColumn(SOURCE_FILE, file).withColumn(
             "_digits", file_date_text(SOURCE_FILE)
         )
-        laid = dated.withColumns(day_texts("_digits")).drop("_digits")
-        write_deliveries(laid, raw_root, encoding, delimiter)
+        taken = dated.filter(file_date("_digits").isNotNull())
+        laid = taken.withColumns(day_texts("_digits")).drop("_digits")
+        sound = laid.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        write_deliveries(sound, raw_root, encoding, delimiter)
+        bad = laid.filter(F.col(MALFORMED).isNotNull())
+        (
+            bad.select(F.col(MALFORMED).alias("line"), SOURCE_FILE)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(SOURCE_FILE).parquet(raw_root.rstrip("/") + QUARANTINE)
+        )
     return laid_out
 
 
+def quarantined(spark: SparkSession, raw_root: str) -> DataFrame:
+    """``source_file`` and ``line`` of the malformed lines beside a raw area."""
+    found = spark.read.schema(f"line string, {SOURCE_FILE} string").parquet(
+        raw_root.rstrip("/") + QUARANTINE
+    )
+    return found.select(SOURCE_FILE, "line")
+
+
+def quarantine_counts(lines: DataFrame) -> DataFrame:
+    """Malformed lines per file."""
+    return lines.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def write_deliveries(
     rows: DataFrame,
     root: str,
     encoding: str = ENCODING,
     delimiter: str = DELIMITER,
 ) -> None:
-    """Delimited text by day; the days that come in replace the same days.
+    """Delimited text by day (if there is one) and file; the files that come in
+    replace the same files, and no others.
 
-    Files are evened out, however large one day is.
+    What is written is evened out, however large one file is.
     """
+    folders = [c for c in (*DAY_PARTS, SOURCE_FILE) if c in rows.columns]
     (
-        rows.hint("rebalance", *DAY_PARTS)
+        rows.hint("rebalance", *folders)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**_csv_options(delimiter, encoding))
-        .partitionBy(*DAY_PARTS)
+        .partitionBy(*folders)
         .csv(root)
     )
 

@@ -136,7 +136,16 @@ class VersionedTable:
         # A list of numbers prunes the folders of unfinished loads.
         return rows.filter(F.col(LOAD).isin([load.number for load in done]))
 
+    def rows_of(self, load_id: int) -> int:
+        """How many rows one load wrote."""
+        path = f"{self.data_path}/{LOAD}={load_id}"
+        return self.spark.read.parquet(path).count()
+
     def _read(self, load: Load) -> DataFrame:
+        if not load.whole:
+            raise LookupError(
+                f"load {load.number} of {self.root} holds changes only, not the table"
+            )
         path = f"{self.data_path}/{LOAD}={load.number}"
         return self.spark.read.schema(load.schema).parquet(path)
 

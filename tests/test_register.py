@@ -184,6 +184,28 @@ def test_pseudonyms_in_deliveries(spark, tmp_path):
     ]
 
 
+def test_pseudonyms_per_file(spark, tmp_path):
+    """Flat folder; one file lacks name columns, one is done, one is open."""
+    source, target = tmp_path / "flat", str(tmp_path / "masked")
+    write_delivery(source / "open.txt", HEADER, [line("169999999901", namn="Eva")])
+    write_delivery(source / "done.txt", HEADER, [line("169999999903", foretagsnamn="DEMO AB 9999")])
+    write_delivery(source / "other.txt", ["Peorgnr", "Foretagsnamn"], [["5", "Firma"]])
+    report = register.pseudonymise_deliveries(spark, str(source), target, "*.txt")
+    assert rows(report) == [
+        ("done.txt", 1, 0, True, ""),
+        ("open.txt", 1, 1, False, ""),
+        ("other.txt", 1, 0, False, "namn, coadress"),
+    ]
+    masked = read_deliveries(spark, target, "*.csv")
+    assert rows(masked.select("source_file", "Foretagsnamn", "Namn")) == [
+        ("done.txt", "DEMO AB 9999", None),
+        ("open.txt", "DEMO AB 2649", masked.filter("source_file = 'open.txt'").first()["Namn"]),
+        ("other.txt", "Firma", None),
+    ]
+    with pytest.raises(ValueError, match="same folder"):
+        register.pseudonymise_deliveries(spark, target, target, "*.csv")
+
+
 def test_command_line(flow, spark, tmp_path, capsys, monkeypatch):
     layers, _, _ = flow
     monkeypatch.setattr(command_line, "build_session", lambda: spark)

@@ -253,3 +253,58 @@ def test_run_log_counts_rows_as_they_pass(spark, tmp_path):
         ("run-1", "check", "warn", 2),
         ("run-1", "load", "success", 7),
     ]
+
+
+def test_raw_only_grows(spark, tmp_path):
+    raw_root, header = str(tmp_path / "raw"), ["PeOrgNr", "Namn"]
+    for turn, (name, key) in enumerate(
+        [("a_20240301_1.txt", "1"), ("b_20240301_2.txt", "2"), ("a_20240301_1.txt", "1")]
+    ):
+        inbox = tmp_path / f"inbox{turn}"
+        write_delivery(inbox / name, header, [[key, "x"]])
+        delimited.land_deliveries(spark, str(inbox), raw_root)
+    df = delimited.read_deliveries(spark, raw_root, "*.csv")
+    assert rows(df.select("PeOrgNr", "source_file")) == [
+        ("1", "a_20240301_1.txt"), ("2", "b_20240301_2.txt"),
+    ]
+
+
+RAGGED = 'PeOrgNr\tNamn\n1\tok\n2\ttoo\tmany\n3\n4\t"over\ntwo lines"\n5\t"quoted\tfield"\n\n6\t\n'
+
+
+def test_malformed_lines_go_to_quarantine(spark, tmp_path):
+    inbox, raw_root = tmp_path / "in", str(tmp_path / "raw")
+    inbox.mkdir()
+    (inbox / "r_20240301.txt").write_bytes(RAGGED.encode("latin-1"))
+    write_delivery(inbox / "s_20240301.txt", ["PeOrgNr", "Namn"], [["7", "fine"]])
+    delimited.land_deliveries(spark, str(inbox), raw_root)
+    df = delimited.read_deliveries(spark, raw_root, "*.csv")
+    assert rows(df.select("PeOrgNr", "Namn")) == [
+        ("1", "ok"), ("5", "quoted\tfield"), ("6", None), ("7", "fine"),
+    ]
+    bad = delimited.quarantined(spark, raw_root)
+    assert rows(bad.select("line")) == [
+        ("2\ttoo\tmany",), ("3",), ('4\t"over',), ('two lines"',),
+    ]
+    assert rows(delimited.quarantine_counts(bad)) == [("r_20240301.txt", 4)]
+
+
+def test_malformed_lines_stop_a_plain_read(spark, tmp_path):
+    (tmp_path / "r.txt").write_bytes(RAGGED.encode("latin-1"))
+    df = delimited.read_deliveries(spark, str(tmp_path))
+    with pytest.raises(Exception, match="malformed line"):
+        df.select("PeOrgNr").collect()
+    kept = delimited.read_deliveries(spark, str(tmp_path), malformed=delimited.KEEP)
+    assert kept.filter("_malformed IS NOT NULL").count() == 4
+
+
+def test_headers_of_any_length_and_several_blocks(spark, tmp_path):
+    names = [f"column{i}" for i in range(30_000)]
+    for at in range(3):
+        write_delivery(tmp_path / f"f{at}.txt", names, [[str(at)] * len(names)] * 2)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    try:
+        (layout,) = delimited.header_layouts(spark, str(tmp_path))
+        assert layout.files == 3 and layout.columns[:-1] == tuple(names)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
