@@ -11,9 +11,15 @@ from pyspark.sql import functions as F
 def entity_id(df: DataFrame, row_id: str, name: str) -> DataFrame:
     """The digits that end a technical row id such as ``householdID_1919``.
 
-    An id without such digits gives an empty text.
+    An id without such digits belongs to no entity: NULL.
     """
-    return df.withColumn(name, F.regexp_extract(F.col(row_id), r"(\d+)$", 1))
+    digits = F.regexp_extract(F.col(row_id), r"(\d+)$", 1)
+    return df.withColumn(name, F.when(digits != "", digits))
+
+
+def rows_without_entity(df: DataFrame, entity: str) -> DataFrame:
+    """One row: how many rows the pivot leaves out because they have no entity."""
+    return df.filter(F.col(entity).isNull()).agg(F.count(F.lit(1)).alias("rows_without_entity"))
 
 
 def pivot_attributes(
@@ -23,16 +29,26 @@ def pivot_attributes(
     attribute: str,
     value: str,
     columns: Mapping[str, tuple[str, str]],
+    texts: str | None = None,
 ) -> DataFrame:
     """One row per entity and context; ``columns`` maps attribute -> (name, type).
 
+    Columns of type ``string`` take their values from the column ``texts``, if one is
+    named, all others from ``value``.  Rows without an entity are left out
+    (``rows_without_entity`` counts them), or they would all be one.
+
     The attributes are given, so no extra pass looks for them, and one
     aggregation (partial before its shuffle) fills all columns.  The largest
     value wins if an attribute is repeated.
     """
-    return df.groupBy(entity, context).agg(
+    return df.filter(F.col(entity).isNotNull()).groupBy(entity, context).agg(
         *[
-            F.max(F.when(F.col(attribute) == wanted, F.col(value)))
+            F.max(
+                F.when(
+                    F.col(attribute) == wanted,
+                    F.col(texts if texts and kind == "string" else value),
+                )
+            )
             .cast(kind)
             .alias(name)
             for wanted, (name, kind) in columns.items()

@@ -181,7 +181,7 @@ def sliding_by_instant(
 ) -> DataFrame:
     """Per distinct instant: events in the ``minutes`` before it, both ends in.
 
-    Columns ``us`` (microseconds), ``events`` (rows at that instant) and
+    Columns ``us`` (microseconds), ``piece``, ``events`` (rows at that instant) and
     ``number_of_services``.  An instant with very many rows comes in several
     pieces, so that no task has to write all of them out.
 
@@ -202,6 +202,7 @@ def sliding_by_instant(
     left = F.col("events") - F.col("piece") * F.lit(EXPAND_CHUNK)
     return cut.join(seconds, "sec", "left").select(
         "us",
+        "piece",
         F.least(left, F.lit(EXPAND_CHUNK)).alias("events"),
         (F.col("cut") + F.coalesce("whole", F.lit(0)))
         .cast("bigint")
@@ -304,7 +305,9 @@ def _whole_seconds(instants: DataFrame, span: int) -> DataFrame:
 def _sliding_rows(
     instants: DataFrame, like: str, minutes: int, most: int = EXPAND_CHUNK
 ) -> DataFrame:
-    """One row per event, at most ``most`` per piece."""
+    """One row per event, at most ``most`` per piece; pieces of one instant are dealt
+    to different tasks before they are written out."""
+    instants = instants.repartition("us", "piece")
     copies = F.sequence(F.lit(1), F.least(F.col("events"), F.lit(most)).cast("int"))
     return instants.withColumn("copy", F.explode(copies)).select(
         from_us(F.col("us") - F.lit(minutes * MINUTE_US), like).alias("window_start"),

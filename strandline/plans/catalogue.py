@@ -8,6 +8,7 @@ entity-attribute-value rows and ``customer`` for names.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime
 
@@ -44,6 +45,7 @@ from strandline.sources.delimited import (
     with_layout,
 )
 from strandline.sources.parquet import append_evolving, read_hive, write_hive
+from strandline.sources.runlog import RunLog
 from strandline.sources.tables import APPEND, TRUNCATE, write_table
 from strandline.sources.versions import VersionedTable
 from strandline.streaming import ingest
@@ -68,11 +70,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return stream_windows.file_stream(spark, sf_dir, "events.parquet")
-
-
 # --- shared inputs ---------------------------------------------------------
 
 
@@ -445,6 +442,24 @@ def stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.join(stored, F.col("name") == "unique_user", "left")
 
 
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the steps of a run wrote, as the log tells it; one of them fails."""
+    log = RunLog(spark, scratch_path(spark, "runs"), "run-1")
+    steps = {
+        "bronze": event_deliveries(spark, sf_dir),
+        "landing": order_landing(spark, sf_dir),
+        "history": event_history(spark, sf_dir),
+    }
+    for step, rows in steps.items():
+        path = scratch_path(spark, step)
+        log.write(step, rows, lambda df, path=path: df.write.parquet(path))
+    begin = time.monotonic()
+    unknown = quality.not_null_failures(steps["bronze"], "band").count()
+    log.add("not_null_band", quality.FAILED, unknown, time.monotonic() - begin)
+    timed = F.col("seconds") > 0
+    return log.lines().select("run_id", "step", "status", "rows", timed.alias("timed"))
+
+
 # --- comparing relations ---------------------------------------------------
 
 
@@ -913,13 +928,10 @@ def strategy_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly deliveries that arrive as a stream end in the same history."""
-    week = F.date_trunc("WEEK", F.col("effective_date").cast("timestamp_ntz"))
-    weekly = event_deliveries(spark, sf_dir).withColumn(
-        "effective_date", week.cast("date")
-    )
+    """Daily deliveries that arrive as a stream, a week in a batch, end in the same
+    history."""
     return ingest.replay_as_stream(
-        weekly,
+        event_deliveries(spark, sf_dir),
         scratch_path(spark, "ingest"),
         ["user_id"],
         "effective_date",
@@ -929,30 +941,28 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_windows.run_to_end(
-        stream_windows.tumbling_counts(
-            event_stream(spark, sf_dir), "ts", "1 hour"
-        ),
+    return stream_windows.replay(
+        table(spark, sf_dir, "events"),
+        "ts",
+        lambda stream: stream_windows.tumbling_counts(stream, "ts", "1 hour"),
         scratch_path(spark, "stream"),
     )
 
 
 def stream_hopping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_windows.run_to_end(
-        stream_windows.hopping_counts(
-            event_stream(spark, sf_dir), "ts"
-        ),
+    return stream_windows.replay(
+        table(spark, sf_dir, "events"),
+        "ts",
+        lambda stream: stream_windows.hopping_counts(stream, "ts"),
         scratch_path(spark, "stream"),
     )
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_windows.run_to_end(
-        stream_windows.session_counts(
-            event_stream(spark, sf_dir),
-            "ts",
-            "user_id",
-        ),
+    return stream_windows.replay(
+        table(spark, sf_dir, "events"),
+        "ts",
+        lambda stream: stream_windows.session_counts(stream, "ts", "user_id"),
         scratch_path(spark, "stream"),
     )
 
@@ -995,6 +1005,7 @@ QUERIES: dict[str, Query] = {
         unique_failures,
         not_null_failures,
         stored_failures,
+        run_log,
         relation_diff,
         relation_diff_bag,
         relation_surplus,

@@ -58,14 +58,6 @@ WHERE _first OR _changed"""
 EVENT_HISTORY = _history(
     EVENTS, "user_id", "effective_date", "event_id", ["event_type", "band"]
 )
-WEEK_HISTORY = _history(
-    f"""SELECT * REPLACE (CAST(date_trunc('week', effective_date) AS DATE)
-        AS effective_date) FROM ({EVENTS})""",
-    "user_id",
-    "effective_date",
-    "event_id",
-    ["event_type", "band"],
-)
 ORDER_HISTORY = _history(
     "SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, o_orderpriority"
     " FROM orders",
@@ -453,6 +445,13 @@ FROM ({EVENT_HISTORY}) WHERE dbt_valid_to IS NULL""",
     "unique_failures": """
 SELECT o_custkey AS unique_field, count(*) AS n_records FROM orders
 WHERE o_custkey IS NOT NULL GROUP BY o_custkey HAVING count(*) > 1""",
+    "run_log": f"""
+SELECT 'run-1' AS run_id, step, status, rows, TRUE AS timed FROM (
+    SELECT 'bronze' AS step, 'success' AS status, count(*) AS rows FROM ({EVENTS})
+    UNION ALL SELECT 'landing', 'success', count(*) FROM ({LANDING})
+    UNION ALL SELECT 'history', 'success', count(*) FROM ({EVENT_HISTORY})
+    UNION ALL SELECT 'not_null_band', 'fail', count(*) FROM ({EVENTS})
+              WHERE band IS NULL)""",
     "not_null_failures": f"SELECT * FROM ({EVENTS}) WHERE band IS NULL",
     "stored_failures": f"""
 WITH e AS ({EVENTS}),
@@ -627,7 +626,7 @@ SELECT o_orderkey, o_orderstatus,
 FROM orders""",
     "strategy_modes": """
 SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('O', 'P')""",
-    "incremental_ingest": WEEK_HISTORY,
+    "incremental_ingest": EVENT_HISTORY,
     "stream_tumbling": """
 SELECT date_trunc('hour', ts) AS window_start,
        date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,

@@ -12,19 +12,25 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandline.functions.expressions import version_id
+from strandline.operators.dedup import latest_per_key
 from strandline.operators.scd2 import (
     CHANGE,
     CLOSE,
+    FROM,
+    TO,
+    UPDATED,
+    VERSION,
     first_snapshot,
     merge_snapshot,
 )
 from strandline.sources.versions import LOAD, VersionedTable
 
 STATE, OPEN, CLOSED = "state", "open", "closed"
-# The load that opened a version; with the key it tells versions apart.
+# The load that opened a version.
 OPENED_BY = "opened_by_load"
 
 
@@ -79,6 +85,52 @@ class HistoryStore:
         table.write_load(marked, load, token, snapshot_ts, whole)
         return load
 
+    def apply_deliveries(
+        self,
+        deliveries: DataFrame,
+        date: str,
+        ties: tuple[str, ...],
+        token: str,
+        snapshot_ts: datetime,
+    ) -> int:
+        """Take in several deliveries at once, by their dates; a known ``token``
+        changes nothing.  All rows must be newer than what their keys have.
+
+        The open versions are where the windows of ``history_from_deliveries`` begin,
+        so one pass does for all deliveries, and one load is written.
+        """
+        table = self.table
+        done = table.finished()
+        known = [load.number for load in done if load.token == token]
+        if known:
+            return known[0]
+        last = done[-1].number if done else 0
+        load = last + 1
+        whole = not done or load - table.base_of(last) >= self.whole_every
+        fresh = latest_per_key(deliveries, [*self.keys, date], ties)
+        start = F.col(date).cast("timestamp_ntz")
+        opened = (
+            fresh.withColumn(VERSION, version_id(list(self.keys), start))
+            .withColumns({UPDATED: start, FROM: start, TO: F.lit(None).cast("timestamp_ntz")})
+            .withColumns({OPENED_BY: F.lit(load).cast("bigint"), "_old": F.lit(False)})
+        )
+        if done:
+            before = self._open(last).withColumn("_old", F.lit(True))
+            opened = before.unionByName(opened.select(before.columns))
+        line = Window.partitionBy(*self.keys).orderBy(FROM, F.col("_old").desc())
+        state = F.struct(*self.check)
+        versions = (
+            opened.withColumn("_same", state.eqNullSafe(F.lag(state).over(line)))
+            .filter(F.col("_old") | ~F.col("_same"))
+            .withColumn(TO, F.lead(FROM).over(line))
+        )
+        if not whole:
+            versions = versions.filter(~F.col("_old") | F.col(TO).isNotNull())
+        state_of = F.when(F.col(TO).isNull(), OPEN).otherwise(CLOSED)
+        marked = versions.withColumn(STATE, state_of).drop("_old", "_same")
+        table.write_load(marked, load, token, snapshot_ts, whole)
+        return load
+
     def _state(self, load: int | None) -> int:
         load = self.table.latest_load() if load is None else load
         if load is None:
@@ -94,8 +146,10 @@ class HistoryStore:
         if base == load:
             return opened
         gone = rows.filter((F.col(STATE) == CLOSED) & (F.col(LOAD) > base))
-        version = [*self.keys, OPENED_BY]
-        return opened.join(gone.select(*version), version, "left_anti")
+        version = [*self.keys, VERSION]
+        # The join puts its columns first; the order of the table is kept.
+        left = opened.join(gone.select(*version), version, "left_anti")
+        return left.select(*opened.columns)
 
     def current(self, load: int | None = None) -> DataFrame:
         """The open versions after a load (the latest if none is named)."""

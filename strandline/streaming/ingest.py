@@ -6,7 +6,6 @@ This adds to the batch flow; the result is the one a full rebuild would give.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date as Date
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +21,9 @@ class DeliveryIngest:
     """One register that is fed by a stream of delivery rows.
 
     A batch is stored first and everything else is derived from what was
-    stored.  Each step is known by batch and day, so a batch that comes again
-    after a failure goes on where it stopped.  Landing and history take in what
-    changed; every ``whole_every`` deliveries they are written as a whole.
+    stored.  Each step is known by its batch, so a batch that comes again after a
+    failure goes on where it stopped.  Landing and history take in what changed;
+    every ``whole_every`` batches they are written as a whole.
     """
 
     spark: SparkSession
@@ -53,15 +52,27 @@ class DeliveryIngest:
             whole_every=self.whole_every,
         )
 
+    @property
+    def quarantine(self) -> VersionedTable:
+        """Rows whose date or key is unknown, by batch."""
+        return VersionedTable(self.spark, f"{self.root}/quarantine")
+
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Take in one batch; its deliveries are applied in the order of their dates."""
-        load = batch_id + 1
-        self.bronze.write_load(batch, load, f"batch-{batch_id}", datetime(1970, 1, 1))
+        """Take in one batch: all its deliveries in one pass, in the order of their
+        dates.  Rows without a date or key can be no version; they are kept apart.
+        """
+        load, token, never = batch_id + 1, f"batch-{batch_id}", datetime(1970, 1, 1)
+        self.bronze.write_load(batch, load, token, never)
         stored = self.bronze.read_version(load)
-        days = stored.select(self.date).filter(F.col(self.date).isNotNull()).distinct()
-        for (day,) in sorted(days.collect()):
-            delivery = stored.filter(F.col(self.date) == F.lit(day))
-            self._apply_delivery(delivery, day, f"batch-{batch_id}-{day}")
+        unknown = F.col(self.date).isNull()
+        for key in self.keys:
+            unknown = unknown | F.col(key).isNull()
+        self.quarantine.write_load(stored.filter(unknown), load, token, never)
+        self._apply_rows(stored.filter(~unknown), token)
+
+    def quarantined(self) -> DataFrame:
+        """Number of rows kept apart, per batch."""
+        return self.quarantine.all_loads().groupBy(LOAD).agg(F.count(F.lit(1)).alias("rows"))
 
     def _newest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, self.keys, [self.date, *self.ties])
@@ -78,24 +89,26 @@ class DeliveryIngest:
             raise LookupError(f"{self.root} has no landing yet")
         return self._newest(self._landing_rows(last))
 
-    def _apply_delivery(self, delivery: DataFrame, day: Date, token: str) -> None:
+    def _apply_rows(self, rows: DataFrame, token: str) -> None:
         log = self.landing_log
-        moment = datetime(day.year, day.month, day.day)
+        moment = datetime(1970, 1, 1)
         load = log.load_of(token)
+        before = load - 1 if load else (log.latest_load() or 0)
         if load is None:
-            last = log.latest_load() or 0
-            load = last + 1
-            whole = not last or load - log.base_of(last) >= self.whole_every
-            rows = delivery
-            if whole and last:
-                rows = rows.unionByName(self._landing_rows(last))
-            log.write_load(self._newest(rows), load, token, moment, whole)
-        # Only keys of this delivery can change, and only where no newer delivery
-        # of theirs came before; a whole load may hold other keys as well.
-        keys = delivery.select(*self.keys).distinct()
-        touched = self._landing_rows(load).join(keys, list(self.keys), "left_semi")
-        fresh = self._newest(touched).filter(F.col(self.date) == F.lit(day))
-        self.history.apply(fresh, moment, token)
+            load = before + 1
+            whole = not before or load - log.base_of(before) >= self.whole_every
+            fresh = rows
+            if whole and before:
+                fresh = rows.unionByName(self._landing_rows(before))
+            log.write_load(self._newest(fresh), load, token, moment, whole)
+        # A delivery that is no newer than what its key had before came too late.
+        if before:
+            seen = self._newest(self._landing_rows(before)).select(
+                *self.keys, F.struct(self.date, *self.ties).alias("_seen")
+            )
+            newer = F.col("_seen").isNull() | (F.struct(self.date, *self.ties) > F.col("_seen"))
+            rows = rows.join(seen, list(self.keys), "left").filter(newer).drop("_seen")
+        self.history.apply_deliveries(rows, self.date, self.ties, token, moment)
 
     def start(self, deliveries: DataFrame):
         """Process everything that is there, then stop."""
@@ -115,11 +128,15 @@ def replay_as_stream(
     check: tuple[str, ...],
     ties: list[str],
 ) -> DataFrame:
-    """Store rows as files, stream them in, and return the resulting history."""
+    """Store rows as files, stream them in week by week, and return the history."""
     spark = deliveries.sparkSession
     inbox = f"{root}/inbox"
-    deliveries.write.parquet(inbox)
-    stream = spark.readStream.schema(deliveries.schema).parquet(inbox)
+    week = F.date_trunc("WEEK", F.col(date).cast("timestamp_ntz"))
     register = DeliveryIngest(spark, root, tuple(keys), date, check, tuple(ties))
-    register.start(stream).awaitTermination()
+    weeks = deliveries.select(week.alias("week")).distinct().collect()
+    for (start,) in sorted(weeks, key=lambda r: (r[0] is not None, r[0])):
+        part = deliveries.filter(week.eqNullSafe(F.lit(start)))
+        part.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(deliveries.schema).parquet(inbox)
+        register.start(stream).awaitTermination()
     return register.history.history()

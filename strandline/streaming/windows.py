@@ -7,19 +7,24 @@ cross midnight, and a gap of exactly the limit does not split them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_TIME = "_event_time"
+FILES_AT_ONCE = 1000  # files that one batch takes in, at most
 
 
 def file_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """Parquet files of a folder as a stream, with the schema they have now."""
     schema = spark.read.parquet(f"{folder}/{glob}").schema
     return (
-        spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", glob)
+        .option("maxFilesPerTrigger", FILES_AT_ONCE)
+        .parquet(folder)
     )
 
 
@@ -99,6 +104,45 @@ def append_to(counts: DataFrame, path: str, checkpoint: str, once: bool = True):
     return writer.start()
 
 
+def replay(
+    rows: DataFrame,
+    ts: str,
+    counts_of: Callable[[DataFrame], DataFrame],
+    root: str,
+    parts: int = 2,
+) -> DataFrame:
+    """Windows of stored rows as a stream in append mode gives them, batch by batch.
+
+    Rows are delivered in spans of time, one after the other.  A last record, two days
+    later, moves the watermark past all windows, so each is written once and its
+    state dropped; the window of that record stays open.
+    """
+    spark = rows.sparkSession
+    inbox, out = f"{root}/inbox", f"{root}/windows"
+    at = F.col(ts)
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    if first is None:
+        return counts_of(rows)
+    cuts = [first + (last - first) * i / parts for i in range(parts)]
+    ends = [*cuts[1:], None]
+    closing = last + timedelta(days=2)
+    late = spark.range(1).select(
+        *[
+            F.lit(closing if f.name == ts else None).cast(f.dataType).alias(f.name)
+            for f in rows.schema.fields
+        ]
+    )
+    spans = [
+        rows.filter((at >= F.lit(a)) & (F.lit(True) if b is None else at < F.lit(b)))
+        for a, b in zip(cuts, ends)
+    ]
+    for part in (*spans, late):
+        part.write.mode("append").parquet(inbox)
+        counts = counts_of(file_stream(spark, inbox, "*.parquet"))
+        append_to(counts, out, f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(out)
+
+
 def run_to_end(counts: DataFrame, root: str) -> DataFrame:
     """Process what is there and return all windows, also those still open."""
 

@@ -272,9 +272,14 @@ def test_attributes_become_columns(spark):
     }
     found = [(r[0], r[1], r[2] and float(r[2]), r[3]) for r in wide.collect()]
     assert sorted(found, key=str) == sorted(
-        [("1919", "f1", 10.25, 2), ("1919", "f2", None, None), ("", "f2", 1.0, None)],
+        [("1919", "f1", 10.25, 2), ("1919", "f2", None, None)],
         key=str,
     )
+    assert rows(pivot.rows_without_entity(with_id, "bk")) == [(1,)]
+    texts = with_id.withColumn("val_str", F.concat(F.lit("t"), "column_id"))
+    named = {"income": ("label", "string"), "children": ("n", "int")}
+    both = pivot.pivot_attributes(texts, "bk", "filename", "column_id", "val_dec", named, "val_str")
+    assert rows(both) == [("1919", "f1", "tincome", 2), ("1919", "f2", "tincome", None)]
     reports = [tuple(r) for r in pivot.rows_per_report(long).collect()]
     assert reports == [("r1", 2), ("r2", 1), (None, 1)]
     first = pivot.first_report_rows(long, "report_table", ["row_id", "column_id"])

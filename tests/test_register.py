@@ -280,7 +280,7 @@ def test_a_failure_between_landing_and_history_is_made_good(spark, tmp_path):
     store = make_ingest(spark, tmp_path)
     data = spark.createDataFrame([("x", date(2024, 1, 3), "v", 1)], DELIVERY)
     store.bronze.write_load(data, 1, "batch-0", datetime(1970, 1, 1))
-    store.landing_log.write_load(data, 1, "batch-0-2024-01-03", datetime(2024, 1, 3))
+    store.landing_log.write_load(data, 1, "batch-0", datetime(2024, 1, 3))
     store.apply_batch(data, 0)
     assert store.history.history().count() == 1
     assert store.landing_log.latest_load() == 1

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import dedup, scd2
 from strandline.plans.history import HistoryStore
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 SCHEMA = "k string, d date, a string, b int, src string"
 CHECK = ("a", "b")
@@ -237,7 +237,9 @@ def test_a_load_of_changes_leaves_other_versions_alone(spark, tmp_path):
     many = [(f"k{n}", day(1), "a", 1, "f") for n in range(50)]
     store.apply(landing(spark, *many), at(1), "run-1")
     store.apply(landing(spark, ("k7", day(2), "b", 1, "f")), at(2), "run-2")
-    assert store.table.read_version(2).count() == 2
+    assert store.table.rows_of(2) == 2
+    with pytest.raises(LookupError, match="changes only"):
+        store.table.read_version(2)
     assert store.current().count() == 50 and store.history().count() == 51
 
 
@@ -267,3 +269,44 @@ def test_a_load_that_was_cut_short_does_not_count(spark, tmp_path):
     assert len(spans(store.history())) == 1
     store.apply(landing(spark, ("x", day(2), "b", 1, "f")), at(2), "run-2")
     assert len(spans(store.history())) == 2
+
+
+def test_a_landing_with_a_busy_or_unknown_key_is_refused(spark):
+    keys = F.when(F.col("id") % 3 == 0, "busy").otherwise(F.col("id").cast("string"))
+    landing = spark.range(0, 3000, 1, 4).select(keys.alias("k"), F.col("id").alias("v"))
+    plan = plan_of(scd2.one_row_per_key(landing, ["k"]))
+    assert "Window" not in plan
+    with pytest.raises(Exception, match="more than once: busy"):
+        scd2.one_row_per_key(landing, ["k"]).collect()
+    unknown = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    with pytest.raises(Exception, match="without its key"):
+        scd2.first_snapshot(unknown, ["k"], datetime(2024, 1, 1)).collect()
+
+
+def test_version_ids_tell_keys_and_moments_apart(spark):
+    from strandline.functions.expressions import version_id
+
+    data = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c"), ("~", "c"), ("1:a", "c")]
+    df = spark.createDataFrame(data, "k string, l string")
+    moments = [f"2024-01-01 10:00:00.00000{i}" for i in range(3)]
+    ids = [
+        r[0]
+        for m in moments
+        for r in df.select(version_id(["k", "l"], F.lit(m).cast("timestamp_ntz"))).collect()
+    ]
+    assert len(set(ids)) == len(data) * len(moments)
+
+
+def test_point_in_time_runs_no_job_while_it_is_built(spark):
+    facts = spark.createDataFrame([("a", datetime(2024, 1, 5))], "c string, d timestamp_ntz")
+    history = scd2.history_from_deliveries(
+        spark.createDataFrame([("a", date(2024, 1, 1), "x")], "k string, d date, v string"),
+        ["k"], "d", ["v"],
+    )
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    found = scd2.point_in_time(facts, history.drop("d"), "c", "k", "d", ["v"])
+    assert not tracker.getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("run", "run")
+    assert found.first()["v"] == "x"
+    assert scd2.point_in_time(facts.limit(0), history.drop("d"), "c", "k", "d", ["v"]).isEmpty()

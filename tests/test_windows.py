@@ -234,3 +234,19 @@ def test_time_zone_must_be_utc(spark):
             windows.sliding_counts(df, "ts", "service_sk")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_busy_instant_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(windows, "EXPAND_CHUNK", 100)
+    at = F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("ts")
+    df = spark.range(0, 5000, 1, 4).select(at, F.col("id").alias("user_id"))
+    small = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(small, "false")  # else so few rows are put together again
+    try:
+        found = windows.sliding_counts(df, "ts", "user_id")
+        per_task = found.groupBy(F.spark_partition_id().alias("t")).count().collect()
+    finally:
+        spark.conf.set(small, "true")
+    assert sum(r["count"] for r in per_task) == 5000
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 5000
+    assert found.select("number_of_services").distinct().collect()[0][0] == 5000
