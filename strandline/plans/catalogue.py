@@ -435,11 +435,12 @@ def stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
         root,
     )
     rows = [(o.name, o.status, o.failures) for o in outcomes]
-    stored = spark.read.parquet(f"{root}/unique_user").agg(
+    kept = spark.read.parquet(f"{root}/unique_user")
+    stored = kept.groupBy(F.lit("unique_user").alias("name")).agg(
         F.count(F.lit(1)).alias("stored")
     )
     summary = spark.createDataFrame(rows, "name string, status string, failures bigint")
-    return summary.join(stored, F.col("name") == "unique_user", "left")
+    return summary.join(stored, "name", "left")
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
