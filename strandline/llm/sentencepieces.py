@@ -24,7 +24,7 @@ from strandline.llm.common import slices
 SPACE = "▁"
 NONE = np.iinfo(np.int64).max
 #: Words whose encoding a task keeps at a time, and their length at most.
-REMEMBER = 200_000
+REMEMBER = 120_000
 SHORT = 64
 
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -99,6 +99,8 @@ class Vocabulary:
         byte_ids = [i for i, k in enumerate(self.kinds) if k == BYTE]
         self._byte = {int(self.pieces[i][3:5], 16): i for i in byte_ids}
         self._value = {i: b for b, i in self._byte.items()}
+        self._names = [str(i) for i in range(len(self.pieces))]
+        self._texts = [p.replace(SPACE, " ") for p in self.pieces]
 
     def words(self, text: str) -> list[str]:
         """The text as the model sees it, cut where no piece reaches across."""
@@ -112,13 +114,14 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == key, at, -1)
 
-    def merged(self, words: list[str]) -> list[np.ndarray]:
-        """Final symbols of each word; characters without a number are -1."""
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Final symbols of all words in one array, and where each word begins (and the
+        last ends); characters without a number are -1."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         get = self.number.get
         symbols = np.fromiter((get(c, -1) for w in words for c in w), np.int64, int(lengths.sum()))
         word = np.repeat(np.arange(len(words)), lengths)
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        done_symbols, done_words = [symbols[:0]], [word[:0]]
         found = np.full(len(symbols), -1)
         if len(symbols) > 1:
             found[:-1] = self.pair_index(symbols[:-1], symbols[1:])
@@ -130,9 +133,9 @@ class Vocabulary:
             least = np.minimum.reduceat(rank, begin)
             done = least == NONE
             if done.any():
-                for at, n in zip(begin[done].tolist(), size[done].tolist()):
-                    out[word[at]] = symbols[at : at + n]
                 rest = np.repeat(~done, size)
+                done_symbols.append(symbols[~rest])
+                done_words.append(word[~rest])
                 symbols, word, found, rank = symbols[rest], word[rest], found[rest], rank[rest]
                 size, least = size[~done], least[~done]
                 if not len(symbols):
@@ -158,28 +161,50 @@ class Vocabulary:
                 (word[again] == word[again + 1]) & (symbols[again] >= 0) & (symbols[again + 1] >= 0)
             ]
             found[again] = self.pair_index(symbols[again], symbols[again + 1])
-        return out
+        owner = np.concatenate(done_words)
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(words)))))
+        return np.concatenate(done_symbols)[np.argsort(owner, kind="stable")], bounds
+
+    def ids_of(self, word: str, symbols: list[int]) -> list[int]:
+        """Piece ids of a word; characters that are no piece become their bytes."""
+        ids: list[int] = []
+        at = 0
+        for s in symbols:
+            if 0 <= s < len(self.pieces):
+                ids.append(s)
+                at += len(self.pieces[s])
+            else:
+                ids += [self._byte[b] for b in word[at].encode()]
+                at += 1
+        return ids
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Piece ids of each word; characters that are no piece become their bytes."""
+    def entries(self, words: list[str]) -> list[tuple[bytes, str, str]]:
+        """For each word its ids as numbers of four bytes, the decimal ids joined by
+        commas, and what they decode to."""
+        symbols, bounds = self.merged(words)
+        odd = (symbols < 0) | (symbols >= len(self.pieces))
+        strange = np.add.reduceat(odd, bounds[:-1]) > 0 if len(words) else odd
+        listed = symbols.tolist()
+        data = symbols.astype(np.int32).tobytes()
+        usual = np.where(odd, 0, symbols).tolist()
+        names = [self._names[i] for i in usual]
+        texts = [self._texts[i] for i in usual]
         out = []
-        n = len(self.pieces)
-        for word, symbols in zip(words, self.merged(words)):
-            if len(symbols) and 0 <= symbols.min() and symbols.max() < n:
-                out.append(symbols.tolist())
-                continue
-            ids: list[int] = []
-            at = 0
-            for s in symbols.tolist():
-                if 0 <= s < n:
-                    ids.append(s)
-                    at += len(self.pieces[s])
-                else:
-                    ids += [self._byte[b] for b in word[at].encode()]
-                    at += 1
-            out.append(ids)
+        cuts = bounds.tolist()
+        for word, a, b, special in zip(words, cuts, cuts[1:], strange.tolist()):
+            if special:
+                ids = self.ids_of(word, listed[a:b])
+                spelt = self.spell(ids)
+                out.append((np.array(ids, np.int32).tobytes(), ",".join(map(str, ids)), spelt))
+            else:
+                out.append((data[4 * a : 4 * b], ",".join(names[a:b]), "".join(texts[a:b])))
         return out
 
+    def encode(self, text: str) -> list[int]:
+        """Ids of one text."""
+        parts = [e[0] for e in self.entries(self.words(text))]
+        return np.frombuffer(b"".join(parts), np.int32).tolist()
+
     def spell(self, ids: list[int]) -> str:
         """What the ids stand for: runs of bytes are read as UTF-8 (broken ones as
         U+FFFD), control pieces are silent."""
@@ -237,17 +262,13 @@ def encoded(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[bytes, str, str]] = {}
 
-        def entry(ids: list[int]) -> tuple[bytes, str, str]:
-            joined = ",".join(map(str, ids))
-            return np.array(ids, np.int32).tobytes(), joined, vocabulary.spell(ids)
-
         for whole in batches:
-            for batch in slices(whole, 2000, 4 << 20):
+            for batch in slices(whole, 2000, 2 << 20):
                 if len(known) > REMEMBER:
                     known.clear()
                 texts = [vocabulary.words(t or "") for t in batch.column(1).to_pylist()]
                 fresh = list({w for words in texts for w in words if w not in known})
-                made = dict(zip(fresh, map(entry, vocabulary.encode_words(fresh))))
+                made = dict(zip(fresh, vocabulary.entries(fresh)))
                 known.update(made)
                 data, digests, decoded = [], [], []
                 for words in texts:
