@@ -146,7 +146,8 @@ class HistoryStore:
         if base == load:
             return opened
         gone = rows.filter((F.col(STATE) == CLOSED) & (F.col(LOAD) > base))
-        version = [*self.keys, VERSION]
+        # A load may open several versions of a key, and loads may share a moment.
+        version = [*self.keys, VERSION, OPENED_BY]
         # The join puts its columns first; the order of the table is kept.
         left = opened.join(gone.select(*version), version, "left_anti")
         return left.select(*opened.columns)
