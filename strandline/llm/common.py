@@ -37,6 +37,8 @@ def slices(batch: pa.RecordBatch, rows: int, size: int = 8 << 20) -> Iterator[pa
     each = max(1, min(rows, int(batch.num_rows * size / max(1, batch.nbytes))))
     for at in range(0, batch.num_rows, each):
         yield batch.slice(at, each)
+    # Workers serve many tasks: what Arrow no longer needs goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def utf8(texts: pa.Array) -> list[bytes]:

@@ -33,7 +33,7 @@ EPOCHS = 6
 BATCH = 64
 RATE = 0.01
 #: Windows scored at a time.
-AT_ONCE = 2048
+AT_ONCE = 1024
 #: Byte classes: letters keep theirs, A-Z become a-z, digits one, the rest of ASCII one.
 _CLASS = np.array(
     [

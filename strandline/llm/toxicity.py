@@ -41,7 +41,7 @@ PRIOR = 0.02
 #: Log-odds are taken so many standard deviations nearer to zero.
 SURE = 1.0
 #: Words whose weight a task keeps at a time.
-REMEMBER = 200_000
+REMEMBER = 100_000
 #: What every token costs a segment, so that chance does not add up.
 DRIFT = 0.5
 #: Segments with an E-value below this are significant.
