@@ -13,8 +13,7 @@ def entity_id(df: DataFrame, row_id: str, name: str) -> DataFrame:
 
     An id without such digits belongs to no entity: NULL.
     """
-    digits = F.regexp_extract(F.col(row_id), r"(\d+)$", 1)
-    return df.withColumn(name, F.when(digits != "", digits))
+    return df.withColumn(name, F.regexp_substr(F.col(row_id), F.lit(r"\d+$")))
 
 
 def rows_without_entity(df: DataFrame, entity: str) -> DataFrame:
@@ -41,7 +40,10 @@ def pivot_attributes(
     aggregation (partial before its shuffle) fills all columns.  The largest
     value wins if an attribute is repeated.
     """
-    return df.filter(F.col(entity).isNotNull()).groupBy(entity, context).agg(
+    # Rows without an entity end in one group, after the partial aggregate; a filter
+    # on the entity itself would be moved down and compute it once more.
+    pivoted = df.groupBy(entity, context).agg(
+        F.count(entity).alias("_known"),
         *[
             F.max(
                 F.when(
@@ -52,8 +54,9 @@ def pivot_attributes(
             .cast(kind)
             .alias(name)
             for wanted, (name, kind) in columns.items()
-        ]
+        ],
     )
+    return pivoted.filter("_known > 0").drop("_known")
 
 
 def rows_per_report(df: DataFrame, report: str = "report_table") -> DataFrame:
