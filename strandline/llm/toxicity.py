@@ -207,9 +207,14 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> M
         .select(
             "text", "toxic", F.substring("text", 1, SAME_START).alias("start"),
             F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(CALIBRATE)).alias("part"),
+            F.xxhash64("doc_id").alias("h"),
         )
     )
-    rows = rows.dropDuplicates(["toxic", "start"]).drop("start")
+    # Of copies always the same one counts, so the same rows make the same model.
+    rows = (
+        rows.groupBy("toxic", "start").agg(F.min_by(F.struct("text", "part"), "h").alias("row"))
+        .select("row.text", "toxic", "row.part")
+    )
     rows = written(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), "labelled")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
