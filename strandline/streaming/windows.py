@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_TIME = "_event_time"
+SPAN = "_span"
 FILES_AT_ONCE = 1000  # files that one batch takes in, at most
+FILE_ROWS = 1_000_000  # rows of a replayed file, about
 
 
 def file_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
@@ -113,18 +115,26 @@ def replay(
 ) -> DataFrame:
     """Windows of stored rows as a stream in append mode gives them, batch by batch.
 
-    Rows are delivered in spans of time, one after the other.  A last record, two days
+    Rows are delivered in spans of time, one after the other: at least ``parts`` of
+    about the same number of rows, more for tables of many rows.  A span is one batch,
+    so no event comes after the watermark has passed it.  A last record, two days
     later, moves the watermark past all windows, so each is written once and its
     state dropped; the window of that record stays open.
     """
     spark = rows.sparkSession
     inbox, out = f"{root}/inbox", f"{root}/windows"
     at = F.col(ts)
-    first, last = rows.agg(F.min(at), F.max(at)).first()
+    first, last, n = rows.agg(F.min(at), F.max(at), F.count(at)).first()
     if first is None:
         return counts_of(rows)
-    cuts = [first + (last - first) * i / parts for i in range(parts)]
-    ends = [*cuts[1:], None]
+    parts = max(parts, -(-n // (FILES_AT_ONCE * FILE_ROWS)))
+    shares = [i / parts for i in range(1, parts)]
+    inner = rows.agg(F.percentile_approx(at, shares, 10 * parts + 1000)).first()[0] if shares else []
+    cuts = sorted({first, *inner})
+    span = sum([(at >= F.lit(c)).cast("int") for c in cuts[1:]], F.lit(0)).alias(SPAN)
+    staged = f"{root}/staged"
+    # All spans are told apart in one pass; each is read alone.
+    rows.filter(at.isNotNull()).select("*", span).write.partitionBy(SPAN).parquet(staged)
     closing = last + timedelta(days=2)
     late = spark.range(1).select(
         *[
@@ -132,12 +142,12 @@ def replay(
             for f in rows.schema.fields
         ]
     )
-    spans = [
-        rows.filter((at >= F.lit(a)) & (F.lit(True) if b is None else at < F.lit(b)))
-        for a, b in zip(cuts, ends)
-    ]
+    stored = spark.read.schema(rows.select("*", span).schema).parquet(staged)
+    spans = [stored.filter(F.col(SPAN) == i).drop(SPAN) for i in range(len(cuts))]
     for part in (*spans, late):
-        part.write.mode("append").parquet(inbox)
+        # No more files than one batch takes.
+        files = part.coalesce(FILES_AT_ONCE).write.option("maxRecordsPerFile", 0)
+        files.mode("append").parquet(inbox)
         counts = counts_of(file_stream(spark, inbox, "*.parquet"))
         append_to(counts, out, f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(out)
