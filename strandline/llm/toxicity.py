@@ -14,6 +14,7 @@ part in the token counts.
 from __future__ import annotations
 
 import math
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,8 +29,6 @@ from strandline.llm.common import slices, smallest_by_hash, utf8, written
 TRAIN_ROWS = 24_000
 #: Of these, one in so many calibrates, the others count pieces.
 CALIBRATE = 3
-#: Labelled texts that begin alike for so many characters are copies; one counts.
-SAME_START = 120
 #: Lengths of the pieces, in characters, word marks included.
 PIECES = (4, 6)
 #: Pieces in fewer toxic documents have no weight.
@@ -59,6 +58,13 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(_KEEP).split()
 
 
+def spelled(text: Column) -> Column:
+    """The ``tokens`` of a text with a space between them: equal for texts that the
+    model cannot tell apart."""
+    letters = F.trim(F.regexp_replace(text, r"[\x00-\x40\x5b-\x60\x7b-\x7f]+", " "))
+    return F.translate(letters, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def pieces(word: bytes) -> set[str]:
     """The word and its short runs of characters, its begin and end marked."""
     marked = f"^{word.decode('utf-8', 'replace')}$"
@@ -205,14 +211,15 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> M
     rows = (
         docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(picked), "doc_id")
         .select(
-            "text", "toxic", F.substring("text", 1, SAME_START).alias("start"),
+            "text", "toxic", F.sha2(spelled(F.col("text")), 256).alias("spelled"),
             F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(CALIBRATE)).alias("part"),
             F.xxhash64("doc_id").alias("h"),
         )
     )
-    # Of copies always the same one counts, so the same rows make the same model.
+    # Of copies, by their whole text, always the same one counts, so the same rows make
+    # the same model.
     rows = (
-        rows.groupBy("toxic", "start").agg(F.min_by(F.struct("text", "part"), "h").alias("row"))
+        rows.groupBy("toxic", "spelled").agg(F.min_by(F.struct("text", "part"), "h").alias("row"))
         .select("row.text", "toxic", "row.part")
     )
     rows = written(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), "labelled")

@@ -80,3 +80,23 @@ def test_nothing_to_learn_from(spark):
     scores = [r[0] for r in documents(spark).select(toxicity.scorer(model)("text")).collect()]
     assert scores and max(scores) < 0.5
     assert toxicity.passages(documents(spark, []), model).count() == 0
+
+
+def test_texts_that_begin_alike_all_count(spark):
+    docs, labels = corpus(900)
+    header = "This document is made available under the terms of the licence below. " * 3
+    docs = [(i, header + text, *rest) for i, text, *rest in docs]
+    frame = documents(spark, docs)
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.train(frame, known)
+    scored = dict(bag(frame.select("doc_id", toxicity.scorer(model)("text").alias("tox"))))
+    right = [(scored[i] >= toxicity.TOXIC_AT) == bool(y) for i, y in labels]
+    assert np.mean(right) > 0.97
+
+
+def test_copies_of_a_whole_text_count_once(spark):
+    texts = ["Über ALLES, ok 12", "Über alles  ok!", "über alles ok", "Über alles"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [r[0] for r in frame.select(toxicity.spelled(frame.text)).collect()]
+    assert found == [b" ".join(toxicity.tokens(t.encode())).decode() for t in texts]
+    assert len(set(found)) == 3
