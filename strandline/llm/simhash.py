@@ -135,6 +135,12 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of ``docs``, all columns as they are, one of each group: the one with
     the smallest doc_id (ties: by the hash of the text, then any of equal rows)."""
     marked = written(fingerprints(docs, doc_id, text), "simhash")
+    return first_rows(docs, groups(marked), doc_id, text)
+
+
+def first_rows(docs: DataFrame, firsts: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``first`` (doc_id, text_hash) of ``firsts`` names, one
+    of equal ones."""
     first = F.col("first")
     keys = ["id", "no_id", "hash", "no_text"]
 
@@ -145,7 +151,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             F.coalesce(hashed, zero).alias("hash"), hashed.isNull().alias("no_text"), *more,
         )
 
-    firsts = keyed(groups(marked), first["doc_id"], first["text_hash"]).distinct()
+    firsts = keyed(firsts, first["doc_id"], first["text_hash"]).distinct()
     hashed = F.when(F.col(text).isNotNull(), F.xxhash64(text))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     # Joined and grouped by the same columns: the texts are shuffled once.

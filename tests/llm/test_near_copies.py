@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from strandline.llm import near_copies
+from strandline.llm.components import components
+from tests.llm.helpers import bag, documents, prose, rows
+
+
+def brute_shingles(text: str | None) -> set[str]:
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_kept(data: list[tuple]) -> list[int | None]:
+    """The smallest id of each component, by comparing all pairs of texts."""
+    sets = [brute_shingles(r[1]) for r in data]
+    root = list(range(len(data)))
+
+    def find(p: int) -> int:
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) >= 0.8 * len(a | b):
+                root[find(i)] = find(j)
+    ids: dict[int, list[int]] = {}
+    for i, r in enumerate(data):
+        ids.setdefault(find(i), []).extend([r[0]] if r[0] is not None else [])
+    return sorted((min(x, default=None) for x in ids.values()), key=str)
+
+
+def edited(rng: random.Random, text: str, n: int) -> str:
+    words = text.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_planted_edits_go_and_different_texts_stay(spark):
+    rng = random.Random(8)
+    data = [(i, prose(rng, "en", 250), "en", "s", 0) for i in range(120)]
+    data += [(1000 * k + i, edited(rng, data[i][1], k), "en", "s", 0) for i in range(120) for k in (1, 2, 5)]
+    far = [(9000 + i, edited(rng, data[i][1], 20), "en", "s", 0) for i in range(60)]
+    found = corpus_pipeline.near_dedup(spark, documents(spark, data + far), "")
+    kept = sorted((r["doc_id"] for r in found.collect()), key=str)
+    assert kept == brute_kept(data + far)
+    assert len(kept) == 180
+
+
+def test_kept_rows_equal_brute_force(spark):
+    docs = documents(spark)
+    found = near_copies.one_of_each(docs)
+    assert found.columns == docs.columns
+    assert sorted((r["doc_id"] for r in found.collect()), key=str) == brute_kept(rows())
+    assert near_copies.one_of_each(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 5, 9000])
+def test_shingles_and_bands(n):
+    words = [b"w%d" % i for i in range(n)]
+    assert len(near_copies.shingles(words)) == len(brute_shingles(b" ".join(words).decode()))
+    assert len(near_copies.bands(near_copies.shingles(words))) == (near_copies.BANDS if n else 0)
+
+
+def test_a_group_is_dealt_out(spark):
+    nodes = spark.range(400).selectExpr("id AS node", "array(7L, id + 100) AS bands")
+    pairs = bag(near_copies.candidates(nodes), "a", "b")
+    reached = components(spark.createDataFrame([p[:2] for p in pairs], "a bigint, b bigint"))
+    assert reached.filter("root = 0").count() == 400  # all are connected
+    assert len(pairs) <= 400 * near_copies.ACROSS  # but not all paired
