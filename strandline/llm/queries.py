@@ -11,13 +11,16 @@ from strandline.llm import (
     brown,
     decontaminate,
     html_text,
+    jaccard_join,
     language,
     order_minhash,
     sentencepieces,
     simhash,
+    spelling,
     token_counts,
     toxicity,
     warc,
+    whitening,
 )
 from strandline.llm.common import fold, table
 
@@ -105,6 +108,26 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "value")
+    return found.select(
+        "vec_id", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+        "identity_error", each,
+    ).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation",
+        "value.whitened", "value.explained", "identity_error",
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_language_id": op2_language_id,
@@ -116,6 +139,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_html_text": op10_html_text,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {
