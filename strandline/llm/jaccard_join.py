@@ -98,8 +98,11 @@ def index_tokens(tokens: np.ndarray, similar: int = SIMILAR) -> tuple[np.ndarray
         return np.zeros(0, np.int64), 0
     top = (tokens >> np.uint64(64 - KEPT)).astype(np.int64)
     low = int(np.searchsorted(top, int(SHARE * (1 << KEPT))))
-    most = max(prefix(n, at, similar) for at in levels(n, similar))
-    return top[: max(low, most)], low
+    return top[: index_size(n, low, similar)], low
+
+
+def index_size(n: int, low: int, similar: int = SIMILAR) -> int:
+    return max(low, *(prefix(n, at, similar) for at in levels(n, similar)))
 
 
 def signatures(
@@ -110,7 +113,11 @@ def signatures(
     set has: ``place`` among all index tokens, and whether ``frequent``.
 
     The order is: not frequent, then frequent, of the first ``low``; then all others.
+    A linked set has all tokens of this one but ``n - least_overlap``; if other sets
+    have fewer of its index tokens, it is linked with none and has no signature.
     """
+    if len(place) < index_size(n, low, similar) - (n - least_overlap(n, similar)):
+        return np.zeros(0, np.int64)
     order = np.argsort(place)
     place, token, frequent = place[order], token[order].astype(np.uint64), frequent[order]
     late = frequent & (place < low)
