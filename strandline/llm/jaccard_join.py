@@ -38,6 +38,11 @@ SHARE = 0.24
 CLASS_OF = 16
 #: Tokens of the index keep their highest bits only; they stay in the same order.
 KEPT = 48
+#: Rounds of further hubs before the remaining pairs are listed.
+ROUNDS = 2
+#: Words of 64 bits in a sketch; least signatures that tell where a pair meets first.
+WORDS = 6
+LEAST = 4
 SEED = 42
 
 _A = np.uint64(0x9E3779B97F4A7C17 | 1)
@@ -179,7 +184,8 @@ def marked(docs: DataFrame, doc_id: str, text: str, shingle: int, similar: int)
 
 
 def buckets(nodes: DataFrame, similar: int) -> DataFrame:
-    """``signature``, ``node``, ``n`` for all signatures that more than one node has."""
+    """``signature``, ``node``, ``n``, ``sets`` (nodes with the signature) for all signatures
+    that more than one node has."""
     tokens = nodes.select("node", F.posexplode("tokens").alias("place", "token"))
     shared = (
         tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
@@ -219,7 +225,7 @@ def buckets(nodes: DataFrame, similar: int) -> DataFrame:
         "join-signatures",
     )
     several = signed.groupBy("signature").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-    return written(signed.join(several.select("signature"), "signature"), "join-buckets")
+    return written(signed.join(several, "signature"), "join-buckets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -238,9 +244,9 @@ def _fit(similar: int, n: str, m: str):
 
 
 def hub_pairs(members: DataFrame, similar: int) -> DataFrame:
-    """``a``, ``b``: each member (``signature``, ``node``, ``n``) with the least node of
-    its bucket."""
-    hubs = members.groupBy("signature").agg(F.min(F.struct("node", "n")).alias("hub"))
+    """``a``, ``b``: each member (``signature``, ``node``, ``n``, ``met``) with the hub of
+    its bucket, the node that meets others most often in all its buckets."""
+    hubs = members.groupBy("signature").agg(F.min(F.struct(-F.col("met"), "node", "n")).alias("hub"))
     return (
         members.join(hubs, "signature")
         .select("node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("m"))
@@ -249,39 +255,84 @@ def hub_pairs(members: DataFrame, similar: int) -> DataFrame:
     )
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parities of ``64 * WORDS`` classes of tokens, as signed numbers: two sketches differ
+    in no more bits than their sets have tokens of their own."""
+    odd = np.bincount((tokens % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def other_pairs(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """``a``, ``b``: all pairs of members of one bucket in different components that may
+    overlap enough by their sizes and sketches.
+
+    A pair that meets in several buckets is left to the first of them where this shows
+    from the least signatures of both: the first common one is never passed over.
+    """
+    least = F.slice(F.array_sort(F.collect_list("signature")), 1, LEAST)
+    own = members.groupBy("node").agg(least.alias("least")).join(sets.select("node", "sketch"), "node")
+    flat = [F.get("least", F.lit(i)).alias(f"l{i}") for i in range(LEAST)]
+    flat += [F.get("sketch", F.lit(i)).alias(f"p{i}") for i in range(WORDS)]
+    known = members.join(own.select("node", *flat), "node")
+
+    def side(name: str) -> DataFrame:
+        return known.select("signature", *[F.col(c).alias(f"{name}_{c}") for c in known.columns if c != "signature"])
+
+    x, y = side("x"), side("y")
+    before = F.lit(False)
+    for i in range(LEAST):
+        mine = F.col(f"x_l{i}")
+        same = F.lit(False)
+        for j in range(LEAST):
+            same = same | (mine == F.col(f"y_l{j}"))
+        before = before | ((mine < x["signature"]) & same)
+    differ = F.lit(0)
+    for i in range(WORDS):
+        differ = differ + F.bit_count(F.col(f"x_p{i}").bitwiseXOR(F.col(f"y_p{i}")))
+    both = F.col("x_n") + F.col("y_n")
+    close = (100 + similar) * (both - differ) >= 2 * similar * both
+    return (
+        x.join(
+            y,
+            (x["signature"] == y["signature"]) & (F.col("x_node") > F.col("y_node"))
+            & (F.col("x_root") != F.col("y_root")) & _fit(similar, "x_n", "y_n") & close
+            & ~F.coalesce(before, F.lit(False)),
+        )
+        .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
+    )
+
+
 def links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """``a``, ``b``: verified pairs, enough of them to connect all that are linked.
 
-    First every member is verified against one hub of its bucket, then those that
-    stayed apart from it against another.  What these connect needs no further look;
-    of all other pairs of a bucket, which lie in different components, every one is
-    verified.
+    Every member is verified against one hub of its bucket, then ``ROUNDS`` times those
+    that stayed apart from it against another.  What these connect needs no further
+    look; of all other pairs of a bucket, which lie in different components, each one is
+    verified that its sketches do not rule out.
     """
+    met = members.groupBy("node").agg(F.sum("sets").alias("met"))
+    members = members.join(met, "node").select("signature", "node", "n", "met")
     tried = written(hub_pairs(members, similar), "join-pairs")
     found = written(verified(tried, sets, similar), "join-links")
+    pool = apart(members, found)
+    for _ in range(ROUNDS):
+        hub = F.min_by("root", F.struct(-F.col("met"), "node"))
+        hubs = pool.groupBy("signature").agg(hub.alias("hub_root"))
+        pool = pool.join(hubs, "signature").filter("root <> hub_root").drop("root", "hub_root")
+        more = written(hub_pairs(pool, similar).join(tried, ["a", "b"], "left_anti"), "join-pairs")
+        found = found.union(written(verified(more, sets, similar), "join-links"))
+        tried = tried.union(more)
+        pool = apart(pool, found)
     members = apart(members, found)
-    hubs = members.groupBy("signature").agg(F.min_by("root", "node").alias("hub_root"))
-    others = members.join(hubs, "signature").filter("root <> hub_root")
-    second = hub_pairs(others, similar).join(tried, ["a", "b"], "left_anti")
-    tried_too = written(second, "join-pairs")
-    found = found.union(written(verified(tried_too, sets, similar), "join-links"))
-    members = apart(members.select("signature", "node", "n"), found)
-    x, y = members.toDF("signature", "a", "n", "x"), members.toDF("signature", "b", "m", "y")
-    rest = (
-        x.join(y, "signature").filter((F.col("a") > F.col("b")) & (F.col("x") != F.col("y")))
-        .filter(_fit(similar, "n", "m")).select("a", "b").distinct()
-        .join(tried.union(tried_too), ["a", "b"], "left_anti")
-    )
+    rest = other_pairs(members.drop("met"), sets, similar).join(tried, ["a", "b"], "left_anti")
     return found.union(written(verified(written(rest, "join-pairs"), sets, similar), "join-links"))
 
 
 def apart(members: DataFrame, found: DataFrame) -> DataFrame:
-    """``signature``, ``node``, ``n``, ``root`` of the buckets that the links ``found``
-    leave in more than one component."""
+    """``members`` with their ``root``, of the buckets that the links ``found`` leave in
+    more than one component."""
     roots = components(found)
-    placed = members.join(roots, "node", "left").select(
-        "signature", "node", "n", F.coalesce("root", "node").alias("root")
-    )
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     return written(
         placed.join(split.filter("x <> y").select("signature"), "signature"), "join-apart"
@@ -289,17 +340,20 @@ def apart(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """``node``, ``tokens``: the whole sets of ``nodes`` (``node``, ``own``), from the text
-    of the row that ``own`` names."""
+    """``node``, ``tokens``, ``sketch``: the whole sets of ``nodes`` (``node``, ``own``), from
+    the text of the row that ``own`` names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 500):
-                sets = [shingle_set(t, shingle).view(np.int64) for t in utf8(batch.column(1))]
+                sets = [shingle_set(t, shingle) for t in utf8(batch.column(1))]
                 ends = np.cumsum([0, *map(len, sets)])
-                flat = np.concatenate([np.zeros(0, np.int64), *sets])
+                flat = np.concatenate([np.zeros(0, np.int64), *(s.view(np.int64) for s in sets)])
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0), made], ["node", "tokens"])
+                drawn = pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), made, drawn], ["node", "tokens", "sketch"]
+                )
 
     wanted = nodes.select(
         "node", F.coalesce(F.col("own.doc_id").cast("string"), F.lit("")).alias("at"),
@@ -314,7 +368,8 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, shingl
         .filter("text IS NOT NULL").groupBy("at", "hash").agg(F.first("text").alias("text"))
     )
     picked = texts.join(wanted, ["at", "hash"]).select("node", "text")
-    return written(picked.mapInArrow(run, "node bigint, tokens array<bigint>"), "join-sets")
+    schema = "node bigint, tokens array<bigint>, sketch array<bigint>"
+    return written(picked.mapInArrow(run, schema), "join-sets")
 
 
 def jaccard_components(
