@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +24,9 @@ from strandline.llm.common import slices
 
 SPACE = "▁"
 NONE = np.iinfo(np.int64).max
-#: Words whose encoding a task keeps at a time, and their length at most.
-REMEMBER = 120_000
-SHORT = 64
+#: Words, and characters of words, whose ids a worker keeps at a time.
+REMEMBER = 300_000
+REMEMBER_LETTERS = 8_000_000
 
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
@@ -46,6 +47,7 @@ class Vocabulary:
     pair_ranks: np.ndarray = field(init=False)
     pair_made: np.ndarray = field(init=False)
     safe: np.ndarray = field(init=False)
+    of_point: np.ndarray = field(init=False)
 
     @staticmethod
     def load(path: str) -> Vocabulary:
@@ -74,6 +76,10 @@ class Vocabulary:
         for piece in normal:
             for c in piece:
                 self.number.setdefault(c, len(self.pieces) + len(self.number))
+        self.of_point = np.full(0x110000, -1)
+        for c, i in self.number.items():
+            if len(c) == 1:
+                self.of_point[ord(c)] = i
         # Equal scores have equal ranks: the leftmost of them goes first.
         order = {s: r for r, s in enumerate(sorted({-self.scores[i] for i in normal.values()}))}
         pairs = {}
@@ -99,8 +105,6 @@ class Vocabulary:
         byte_ids = [i for i, k in enumerate(self.kinds) if k == BYTE]
         self._byte = {int(self.pieces[i][3:5], 16): i for i in byte_ids}
         self._value = {i: b for b, i in self._byte.items()}
-        self._names = [str(i) for i in range(len(self.pieces))]
-        self._texts = [p.replace(SPACE, " ") for p in self.pieces]
 
     def words(self, text: str) -> list[str]:
         """The text as the model sees it, cut where no piece reaches across."""
@@ -118,8 +122,7 @@ class Vocabulary:
         """Final symbols of all words in one array, and where each word begins (and the
         last ends); characters without a number are -1."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        get = self.number.get
-        symbols = np.fromiter((get(c, -1) for w in words for c in w), np.int64, int(lengths.sum()))
+        symbols = self.of_point[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
         word = np.repeat(np.arange(len(words)), lengths)
         done_symbols, done_words = [symbols[:0]], [word[:0]]
         found = np.full(len(symbols), -1)
@@ -154,7 +157,9 @@ class Vocabulary:
             place = np.cumsum(keep) - 1
             symbols, word, found = symbols[keep], word[keep], found[keep]
             hit = place[hit]
-            again = np.unique(np.concatenate((hit, hit[hit > 0] - 1)))
+            near = np.zeros(len(symbols) + 1, bool)
+            near[hit] = near[hit - 1] = True
+            again = np.flatnonzero(near[:-1])
             found[again] = -1
             again = again[again + 1 < len(symbols)]
             again = again[
@@ -178,32 +183,32 @@ class Vocabulary:
                 at += 1
         return ids
 
-    def entries(self, words: list[str]) -> list[tuple[bytes, str, str]]:
-        """For each word its ids as numbers of four bytes, the decimal ids joined by
-        commas, and what they decode to."""
+    def flat_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one array, and how many each word has."""
         symbols, bounds = self.merged(words)
+        sizes = np.diff(bounds)
         odd = (symbols < 0) | (symbols >= len(self.pieces))
-        strange = np.add.reduceat(odd, bounds[:-1]) > 0 if len(words) else odd
-        listed = symbols.tolist()
-        data = symbols.astype(np.int32).tobytes()
-        usual = np.where(odd, 0, symbols).tolist()
-        names = [self._names[i] for i in usual]
-        texts = [self._texts[i] for i in usual]
-        out = []
-        cuts = bounds.tolist()
-        for word, a, b, special in zip(words, cuts, cuts[1:], strange.tolist()):
-            if special:
-                ids = self.ids_of(word, listed[a:b])
-                spelt = self.spell(ids)
-                out.append((np.array(ids, np.int32).tobytes(), ",".join(map(str, ids)), spelt))
-            else:
-                out.append((data[4 * a : 4 * b], ",".join(names[a:b]), "".join(texts[a:b])))
-        return out
+        if not odd.any():
+            return symbols.astype(np.int32), sizes
+        parts, done = [], 0
+        for w in np.unique(np.searchsorted(bounds, np.flatnonzero(odd), side="right") - 1).tolist():
+            ids = self.ids_of(words[w], symbols[bounds[w] : bounds[w + 1]].tolist())
+            parts += [symbols[done : bounds[w]], np.array(ids)]
+            done, sizes[w] = bounds[w + 1], len(ids)
+        parts.append(symbols[done:])
+        return np.concatenate(parts).astype(np.int32), sizes
 
     def encode(self, text: str) -> list[int]:
         """Ids of one text."""
-        parts = [e[0] for e in self.entries(self.words(text))]
-        return np.frombuffer(b"".join(parts), np.int32).tolist()
+        return self.flat_ids(self.words(text))[0].tolist()
+
+    def spelling(self, i: int) -> bytes:
+        """What one id adds to the decoded text, as bytes."""
+        if i in self._value:
+            return bytes([self._value[i]])
+        return {NORMAL: self.pieces[i].replace(SPACE, " ").encode(), UNKNOWN: " ⁇ ".encode()}.get(
+            self.kinds[i], b""
+        )
 
     def spell(self, ids: list[int]) -> str:
         """What the ids stand for: runs of bytes are read as UTF-8 (broken ones as
@@ -250,6 +255,91 @@ def _read(data: bytes) -> str:
         return "".join(out)
 
 
+class Memory:
+    """Ids of words in one flat array that grows, and where those of each word lie.
+
+    When it is full it keeps the words that came more than once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        numbers = range(len(vocabulary.pieces))
+        self.names = pa.array([b"%d" % i for i in numbers], pa.binary())
+        self.spellings = pa.array([vocabulary.spelling(i) for i in numbers], pa.binary())
+        self._keep([], np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.place = dict(zip(words, range(len(words))))
+        self.letters = sum(map(len, words))
+        self.ids, self.sizes = ids, sizes
+        self.begins = np.cumsum(sizes) - sizes
+        self.uses = np.zeros(len(words), np.int64)
+
+    def _ranges(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words by their places, one after the other, and their sizes."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.begins[at] - ends + sizes, sizes) + np.arange(total)], sizes
+
+    def _learn(self, needed: set[str]) -> None:
+        words = list(needed.difference(self.place))
+        if len(self.place) + len(words) > REMEMBER or self.letters > REMEMBER_LETTERS:
+            often = np.flatnonzero(self.uses > 1)
+            if 2 * len(often) > REMEMBER or self.letters > REMEMBER_LETTERS:
+                often = often[:0]
+            kept = set(often.tolist())
+            names = [w for w, i in self.place.items() if i in kept]
+            self._keep(names, *self._ranges(often))
+            words = list(needed.difference(self.place))
+        ids, sizes = self.vocabulary.flat_ids(words)
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.letters += sum(map(len, words))
+        self.begins = np.concatenate((self.begins, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.ids = np.concatenate((self.ids, ids))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.uses = np.concatenate((self.uses, np.zeros(len(words), np.int64)))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and where those of each text begin (and end)."""
+        cut = [self.vocabulary.words(t) for t in texts]
+        words = [w for part in cut for w in part]
+        needed = set(words)
+        if not needed <= self.place.keys():
+            self._learn(needed)
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        ids, sizes = self._ranges(at)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return ids, ends[np.concatenate(([0], np.cumsum([len(part) for part in cut])))]
+
+    def joined(self, table: pa.Array, ids: np.ndarray, bounds: np.ndarray, mark: bytes) -> list[bytes]:
+        """For each text what ``table`` has for its ids, with ``mark`` in between."""
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), table.take(pa.array(ids)))
+        return pc.binary_join(lists, pa.scalar(mark, pa.binary())).to_pylist()
+
+    def decoded(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The decoded text (UTF-8) of each text's ids."""
+        out = []
+        for i, spelt in enumerate(self.joined(self.spellings, ids, bounds, b"")):
+            try:
+                spelt.decode()
+            except UnicodeDecodeError:
+                spelt = self.vocabulary.spell(ids[bounds[i] : bounds[i + 1]].tolist()).encode()
+            out.append(spelt[1:])
+        return out
+
+
+#: What a Python worker remembers, by model: it serves all its tasks.
+_BUILT: dict[str, Memory] = {}
+
+
+def memory_of(key: str, vocabulary: Vocabulary) -> Memory:
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = Memory(vocabulary)
+    return _BUILT[key]
+
+
 def encoded(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """For every row of ``docs``: ``doc_id``, the ``ids`` of its whole text by the model
     file ``model``, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by commas)
@@ -259,37 +349,22 @@ def encoded(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "te
     """
     vocabulary = Vocabulary.load(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[bytes, str, str]] = {}
+    def sha256(data: bytes) -> str:
+        return hashlib.sha256(data).hexdigest()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = memory_of(model, vocabulary)
         for whole in batches:
             for batch in slices(whole, 2000, 2 << 20):
-                if len(known) > REMEMBER:
-                    known.clear()
-                texts = [vocabulary.words(t or "") for t in batch.column(1).to_pylist()]
-                fresh = list({w for words in texts for w in words if w not in known})
-                made = dict(zip(fresh, vocabulary.entries(fresh)))
-                known.update(made)
-                data, digests, decoded = [], [], []
-                for words in texts:
-                    rows = [known[w] for w in words]
-                    data.append(b"".join([r[0] for r in rows]))
-                    joined = ",".join([r[1] for r in rows])
-                    digests.append(hashlib.sha256(joined.encode()).hexdigest())
-                    spelt = "".join([r[2] for r in rows])
-                    decoded.append(hashlib.sha256(spelt[1:].encode()).hexdigest())
-                for w in made:
-                    if len(w) > SHORT:
-                        del known[w]
-                ends = np.cumsum([0, *(len(d) // 4 for d in data)])
-                ids = np.frombuffer(b"".join(data), np.int32)
+                ids, bounds = memory.encode([t or "" for t in batch.column(1).to_pylist()])
+                names = memory.joined(memory.names, ids, bounds, b",")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                        pa.array(np.diff(ends), pa.int64()),
-                        pa.array(digests, pa.string()),
-                        pa.array(decoded, pa.string()),
+                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)),
+                        pa.array(np.diff(bounds), pa.int64()),
+                        pa.array(map(sha256, names), pa.string()),
+                        pa.array(map(sha256, memory.decoded(ids, bounds)), pa.string()),
                     ],
                     ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
