@@ -40,6 +40,7 @@ from strandline.sources.delimited import (
     quarantine_counts,
     quarantined,
     read_deliveries,
+    read_raw,
     stage,
     with_day_parts,
     with_layout,
@@ -849,13 +850,13 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything that was delivered, once, whatever came before or again."""
-    raw = read_deliveries(spark, _landed(spark, sf_dir), "*.csv")
+    raw = read_raw(spark, _landed(spark, sf_dir))
     return raw.select("PeOrgNr", "Namn", "PostOrt", "year", "month", "day")
 
 
 def raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per file they came from."""
-    raw = read_deliveries(spark, _landed(spark, sf_dir), "*.csv")
+    raw = read_raw(spark, _landed(spark, sf_dir))
     return raw.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -864,6 +865,34 @@ def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine_counts(quarantined(spark, _landed(spark, sf_dir)))
 
 
+def raw_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that come again corrected, damaged, empty and all malformed: rows and lines
+    in quarantine of each file, of which nothing old is left."""
+    root = scratch_path(spark, "replaced")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("PeOrgNr"), F.col("o_orderstatus").alias("Namn")
+    )
+    key = F.col("PeOrgNr").cast("bigint")
+
+    def part(at: int, broken: Column) -> DataFrame:
+        name = F.when(broken, F.concat("Namn", F.lit("\tmore"))).otherwise(F.col("Namn"))
+        return orders.filter(key % 4 == at).withColumn("Namn", name)
+
+    some, all_, none = key % 5 == 0, F.lit(True), F.lit(False)
+    turns = [
+        [(0, part(0, some)), (1, part(1, none)), (2, part(2, none)), (3, part(3, some))],
+        [(0, part(0, none)), (1, part(1, some)), (2, part(2, none).limit(0)), (3, part(3, all_))],
+        [(1, part(1, some))],
+    ]
+    for turn, files in enumerate(turns):
+        for at, rows in files:
+            _inbox(rows, f"{root}/inbox/{turn}/{SOURCE_FILE}=reg_2024030{at + 1}.txt")
+        land_deliveries(spark, f"{root}/inbox/{turn}", f"{root}/raw", "*.csv")
+    rows = read_raw(spark, f"{root}/raw").select(SOURCE_FILE, F.lit("raw").alias("side"))
+    lines = quarantined(spark, f"{root}/raw").select(SOURCE_FILE, F.lit("quarantine").alias("side"))
+    return rows.union(lines).groupBy(SOURCE_FILE, "side").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def lake_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of a table; rows per status by number, by time and at the end."""
     lake = VersionedTable(spark, scratch_path(spark, "lake"))
@@ -1034,6 +1063,7 @@ QUERIES: dict[str, Query] = {
         raw_landing,
         raw_lineage,
         raw_quarantine,
+        raw_replaced,
         lake_versions,
         schema_evolution,
         strategy_modes,

@@ -613,6 +613,11 @@ GROUP BY source_file""",
     "raw_quarantine": f"""
 SELECT source_file, count(*) AS lines FROM ({DELIVERED}) WHERE NOT sound
 GROUP BY source_file""",
+    "raw_replaced": """
+SELECT 'reg_2024030' || (o_orderkey % 4 + 1) || '.txt' AS source_file,
+       CASE WHEN o_orderkey % 4 = 3 OR (o_orderkey % 4 = 1 AND o_orderkey % 5 = 0)
+            THEN 'quarantine' ELSE 'raw' END AS side, count(*) AS rows
+FROM orders WHERE o_orderkey % 4 <> 2 GROUP BY ALL""",
     "lake_versions": f"""
 SELECT 'version 1' AS view, o_orderstatus, count(*) AS rows
 FROM ({FIRST_LANDING}) GROUP BY o_orderstatus

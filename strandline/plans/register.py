@@ -27,6 +27,7 @@ from strandline.sources.delimited import (
     header_layouts,
     land_deliveries,
     read_deliveries,
+    read_raw,
     stage,
     with_day_parts,
     write_deliveries,
@@ -82,7 +83,7 @@ class Layers:
         return f"{self.root}/{layer}"
 
     def raw(self) -> DataFrame:
-        return read_deliveries(self.spark, self.path("raw"), glob="*.csv")
+        return read_raw(self.spark, self.path("raw"))
 
     def bronze(self) -> DataFrame:
         return read_hive(self.spark, self.path("bronze")).select(*COLUMNS)

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import csv
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.functions.expressions import checked_date, file_date, file_date_text
+from strandline.session import scratch_path
 
 # The format of a delivery.
 DELIMITER = "\t"
@@ -22,6 +25,10 @@ MALFORMED = "_malformed"  # the whole line, where it does not fit its header
 LAYOUT = "_layout"  # the header line of the file
 FAIL, KEEP = "fail", "keep"  # what becomes of malformed lines
 QUARANTINE = "-quarantine"
+MANIFEST = "-manifest"
+LOAD = "load"  # the folder of a file that holds what one landing brought
+#: Headers of up to so many files are sent to all tasks; more meet the lines in a join.
+BROADCAST_FILES = 20_000
 
 
 def _csv_options(delimiter: str, encoding: str) -> dict[str, str]:
@@ -34,18 +41,29 @@ def _csv_options(delimiter: str, encoding: str) -> dict[str, str]:
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Path, name and size of the files below ``root``; none of them is opened."""
-    return (
+    """Path, name and size of the files below ``root``; none of them is opened.
+
+    A scan passes over files of no bytes; they are told from the list of files that
+    Spark's driver holds for any scan.
+    """
+    found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(root)
+    )
+    whole = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")
+    uri = F.url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
+    known = spark.createDataFrame([(u,) for u in found.inputFiles()], "uri string")
+    return (
+        known.select(uri.alias("path")).select(whole.alias("path"))
+        .join(found.select(whole.alias("path"), F.col("length")), "path", "left")
         .select(
             "path",
             F.element_at(F.split("path", "/"), -1).alias("name"),
-            F.col("length").alias("bytes"),
+            F.coalesce("length", F.lit(0).cast("bigint")).alias("bytes"),
         )
-    )
+    )
 
 
 @dataclass(frozen=True)
@@ -87,6 +105,16 @@ def header_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def _heads(lines: DataFrame, current: DataFrame | None) -> DataFrame:
+    """Headers of all files, or of those in the loads that ``current`` (``source_file``,
+    ``load``) names."""
+    heads = header_lines(lines)
+    if current is None:
+        return heads
+    named = heads.withColumns({SOURCE_FILE: _in_path(SOURCE_FILE), LOAD: _in_path(LOAD)})
+    return named.join(current, [SOURCE_FILE, LOAD], "left_semi").drop(SOURCE_FILE, LOAD)
+
+
 def _columns_of(header: str, delimiter: str) -> tuple[str, ...]:
     names = next(csv.reader([header], delimiter=delimiter))
     return tuple(name.strip() or f"_c{at}" for at, name in enumerate(names))
@@ -98,9 +126,10 @@ def header_layouts(
     glob: str = "*.txt",
     encoding: str = ENCODING,
     delimiter: str = DELIMITER,
+    current: DataFrame | None = None,
 ) -> list[Layout]:
     """The different header lines below ``root``; nothing else comes together here."""
-    headers = header_lines(_lines(spark, root, glob, encoding))
+    headers = _heads(_lines(spark, root, glob, encoding), current)
     dated = F.bool_and(F.col("path").rlike(_day_pattern("year")))
     found = headers.groupBy("header").agg(
         F.count(F.lit(1)).alias("files"), dated.alias("dated")
@@ -130,20 +159,28 @@ def read_deliveries(
     malformed: str = FAIL,
     layouts: list[Layout] | None = None,
     with_layout: bool = False,
+    current: DataFrame | None = None,
 ) -> DataFrame:
     """All deliveries below ``root`` as text columns, united by column name.
 
     Adds the partition columns of the path and ``source_file``.  Each line meets the
-    header of its own file in a join, and is read by it.  A line that has more or
+    header of its own file, and is read by it; the headers of a bounded number of
+    files (``BROADCAST_FILES``, counted before) go to the lines, more are joined.
+    ``current`` (see ``newest_loads``) leaves out what was replaced.  A line that has more or
     fewer fields than its header, or a quote that is not closed on it, is malformed:
     it stops the job, or with ``KEEP`` comes along in ``_malformed`` with all other
     columns unknown.  ``with_layout`` adds the header line as ``_layout``.
     """
-    known = header_layouts(spark, root, glob, encoding, delimiter) if layouts is None else layouts
+    known = layouts
+    if known is None:
+        known = header_layouts(spark, root, glob, encoding, delimiter, current)
     if not known:
         raise FileNotFoundError(f"no deliveries match {glob!r} below {root}")
     lines = _lines(spark, root, glob, encoding)
-    rows = lines.join(header_lines(lines), "path").filter(
+    heads = _heads(lines, current)
+    if sum(layout.files for layout in known) <= BROADCAST_FILES:
+        heads = F.broadcast(heads)
+    rows = lines.join(heads, "path").filter(
         (F.col("id") != F.col("header_id")) & (F.col("line") != "")
     )
     options = {"sep": delimiter, "escape": '"', "columnNameOfCorruptRecord": MALFORMED}
@@ -228,44 +265,104 @@ def land_deliveries(
     encoding: str = ENCODING,
     delimiter: str = DELIMITER,
 ) -> DataFrame:
-    """Write the inbox as ``year=/month=/day=/source_file=`` text, and say what became
-    of files.
-
-    Path values keep their zeros.  The raw area only grows: a file has a folder of its
-    own, so a file that comes again replaces itself, and one more file of a day is
-    added.  Malformed lines go to a table beside the raw area (``quarantined``).  A
-    file without a valid date is not written; it shows in the result with
-    ``accepted`` false.
+    """Write the inbox as ``year=/month=/day=/source_file=/load=`` text, and say what
+    became of files.
+
+    Path values keep their zeros.  The raw area only grows: each landing writes the
+    files that are new or changed into folders of its own, their malformed lines to a
+    table beside it, and at last a manifest with one row per file and landing.  Readers
+    (``read_raw``, ``quarantined``) see the newest load of each file in the manifest,
+    so a file that comes again replaces all it brought before, also when it is empty
+    or malformed by now; a landing that fails half-way is not seen at all.  A file that
+    comes again as it was is passed over.  Files without a valid date are not written;
+    they show in the result with ``accepted`` false.  Landings run one at a time.
     """
-    laid_out = with_layout(list_files(spark, inbox, glob))
+    listed = list_files(spark, inbox, glob)
+    laid_out = with_layout(listed)
+    known = manifest(spark, raw_root)
+    fresh = _changed(listed, _lines(spark, inbox, glob, encoding), newest(known))
+    path = scratch_path(spark, "fresh")
+    fresh.write.parquet(path)
+    fresh = spark.read.schema(fresh.schema).parquet(path)
+    number = (known.agg(F.max(F.split(LOAD, "-")[0].cast("bigint"))).first()[0] or 0) + 1
+    load = F.lit(f"{number:010d}-{uuid.uuid4().hex[:8]}")
     layouts = header_layouts(spark, inbox, glob, encoding, delimiter)
     if layouts:
         rows = read_deliveries(
             spark, inbox, glob, encoding, delimiter, KEEP, layouts
         ).drop(*DAY_PARTS)
         file = F.element_at(F.split(SOURCE_FILE, "/"), -1)
-        dated = rows.withColumn(SOURCE_FILE, file).withColumn(
-            "_digits", file_date_text(SOURCE_FILE)
-        )
-        taken = dated.filter(file_date("_digits").isNotNull())
-        laid = taken.withColumns(day_texts("_digits")).drop("_digits")
+        taken = rows.withColumn(SOURCE_FILE, file).join(fresh, SOURCE_FILE, "left_semi")
+        dated = taken.withColumn("_digits", file_date_text(SOURCE_FILE))
+        laid = dated.withColumns(day_texts("_digits")).drop("_digits").withColumn(LOAD, load)
         sound = laid.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
         write_deliveries(sound, raw_root, encoding, delimiter)
         bad = laid.filter(F.col(MALFORMED).isNotNull())
-        (
-            bad.select(F.col(MALFORMED).alias("line"), SOURCE_FILE)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SOURCE_FILE).parquet(raw_root.rstrip("/") + QUARANTINE)
-        )
+        bad.select(F.col(MALFORMED).alias("line"), SOURCE_FILE, LOAD).write.mode("append").parquet(
+            raw_root.rstrip("/") + QUARANTINE
+        )
+    fresh.withColumn(LOAD, load).write.mode("append").parquet(raw_root.rstrip("/") + MANIFEST)
     return laid_out
 
 
+def _changed(listed: DataFrame, lines: DataFrame, last: DataFrame) -> DataFrame:
+    """``source_file``, ``digest``, ``lines`` of the dated files whose lines are not those
+    that ``last`` has; the digest is a sum, partial before its shuffle."""
+    name = F.coalesce(_in_path(SOURCE_FILE), F.element_at(F.split("path", "/"), -1))
+    files = listed.select(name.alias(SOURCE_FILE)).distinct()
+    dated = files.filter(file_date(file_date_text(SOURCE_FILE)).isNotNull())
+    content = lines.groupBy(name.alias(SOURCE_FILE)).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.xxhash64("line").cast("decimal(38,0)")).cast("string").alias("digest"),
+    )
+    found = dated.join(content, SOURCE_FILE, "left").select(
+        SOURCE_FILE, F.coalesce("digest", F.lit("0")).alias("digest"),
+        F.coalesce("lines", F.lit(0).cast("bigint")).alias("lines"),
+    )
+    same = ["digest", "lines", SOURCE_FILE]
+    return found.join(last, same, "left_anti")
+
+
+def manifest(spark: SparkSession, raw_root: str) -> DataFrame:
+    """``source_file``, ``digest``, ``lines``, ``load`` of every file in every landing."""
+    schema = f"{SOURCE_FILE} string, digest string, lines bigint, {LOAD} string"
+    try:
+        return spark.read.schema(schema).parquet(raw_root.rstrip("/") + MANIFEST)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def newest(landed: DataFrame) -> DataFrame:
+    """The last row of each file of a manifest."""
+    row = F.max_by(F.struct("digest", "lines", LOAD), LOAD).alias("row")
+    return landed.groupBy(SOURCE_FILE).agg(row).select(SOURCE_FILE, "row.*")
+
+
+def newest_loads(spark: SparkSession, raw_root: str) -> DataFrame:
+    """``source_file`` and the ``load`` that readers of a raw area see of it."""
+    return newest(manifest(spark, raw_root)).select(SOURCE_FILE, LOAD)
+
+
+def read_raw(
+    spark: SparkSession,
+    raw_root: str,
+    encoding: str = ENCODING,
+    delimiter: str = DELIMITER,
+) -> DataFrame:
+    """The rows of a raw area as the manifest has them (see ``read_deliveries``)."""
+    current = newest_loads(spark, raw_root)
+    return read_deliveries(spark, raw_root, "*.csv", encoding, delimiter, current=current)
+
+
 def quarantined(spark: SparkSession, raw_root: str) -> DataFrame:
     """``source_file`` and ``line`` of the malformed lines beside a raw area."""
-    found = spark.read.schema(f"line string, {SOURCE_FILE} string").parquet(
+    found = spark.read.schema(f"line string, {SOURCE_FILE} string, {LOAD} string").parquet(
         raw_root.rstrip("/") + QUARANTINE
     )
-    return found.select(SOURCE_FILE, "line")
+    seen = found.join(newest_loads(spark, raw_root), [SOURCE_FILE, LOAD], "left_semi")
+    return seen.select(SOURCE_FILE, "line")
 
 
 def quarantine_counts(lines: DataFrame) -> DataFrame:
@@ -279,12 +376,12 @@ def write_deliveries(
     encoding: str = ENCODING,
     delimiter: str = DELIMITER,
 ) -> None:
-    """Delimited text by day (if there is one) and file; the files that come in
-    replace the same files, and no others.
+    """Delimited text by day, file and load (as far as there are such columns); the
+    folders that come in replace the same folders, and no others.
 
     What is written is evened out, however large one file is.
     """
-    folders = [c for c in (*DAY_PARTS, SOURCE_FILE) if c in rows.columns]
+    folders = [c for c in (*DAY_PARTS, SOURCE_FILE, LOAD) if c in rows.columns]
     (
         rows.hint("rebalance", *folders)
         .write.mode("overwrite")

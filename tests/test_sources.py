@@ -10,7 +10,7 @@ from strandline.sources.parquet import append_evolving, read_hive, write_hive
 from strandline.sources.runlog import RunLog
 from strandline.sources.tables import write_table
 from strandline.sources.versions import VersionedTable
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 
 def write_delivery(path, header: list[str], lines: list[list[str]]):
@@ -111,7 +111,7 @@ def test_landing_an_inbox(spark, tmp_path):
         files = delimited.land_deliveries(spark, str(inbox), raw_root)
         assert rows(delimited.layout_totals(files)) == [(2, 1)]
     assert (tmp_path / "raw/year=2024/month=03/day=01").is_dir()
-    df = delimited.read_deliveries(spark, raw_root, "*.csv")
+    df = delimited.read_raw(spark, raw_root)
     assert rows(df.select("PeOrgNr", "Namn", "source_file")) == [
         ("1", "Å", "reg_20240301T120000_1.txt"),
         ("2", "b", "reg_20240301T120000_1.txt"),
@@ -263,12 +263,53 @@ def test_raw_only_grows(spark, tmp_path):
         inbox = tmp_path / f"inbox{turn}"
         write_delivery(inbox / name, header, [[key, "x"]])
         delimited.land_deliveries(spark, str(inbox), raw_root)
-    df = delimited.read_deliveries(spark, raw_root, "*.csv")
+    df = delimited.read_raw(spark, raw_root)
     assert rows(df.select("PeOrgNr", "source_file")) == [
         ("1", "a_20240301_1.txt"), ("2", "b_20240301_2.txt"),
     ]
 
 
+def test_what_comes_again_replaces_all_it_brought(spark, tmp_path):
+    raw_root, header = str(tmp_path / "raw"), "PeOrgNr\tNamn\n"
+    bodies = [
+        {"a": "1\tx\n2\tbad\tmore\n", "b": "3\ty\n", "c": "4\tz\n"},
+        {"a": "1\tx\n2\tgood\n", "b": "", "c": "4\n5\n"},
+        {"c": "4\n5\n"},
+    ]
+    for turn, files in enumerate(bodies):
+        inbox = tmp_path / f"inbox{turn}"
+        inbox.mkdir()
+        for name, body in files.items():
+            (inbox / f"{name}_20240301.txt").write_text(header + body)
+        delimited.land_deliveries(spark, str(inbox), raw_root)
+    df = delimited.read_raw(spark, raw_root)
+    assert rows(df.select("PeOrgNr", "Namn")) == [("1", "x"), ("2", "good")]
+    assert rows(delimited.quarantined(spark, raw_root)) == [
+        ("c_20240301.txt", "4"), ("c_20240301.txt", "5"),
+    ]
+    # What came as it was before is in the manifest once; so is an empty file.
+    loads = delimited.manifest(spark, raw_root).groupBy("source_file").count()
+    assert rows(loads) == [(f"{n}_20240301.txt", 2) for n in "abc"]
+    empty = tmp_path / "inbox9"
+    empty.mkdir()
+    (empty / "a_20240301.txt").write_text("")
+    delimited.land_deliveries(spark, str(empty), raw_root)
+    assert delimited.newest_loads(spark, raw_root).count() == 3
+    assert delimited.quarantined(spark, raw_root).count() == 2
+    with pytest.raises(FileNotFoundError):
+        delimited.read_raw(spark, raw_root)
+
+
+def test_headers_meet_lines_without_a_shuffle_of_lines(spark, tmp_path, monkeypatch):
+    write_delivery(tmp_path / "a_20240301.txt", ["PeOrgNr"], [["1"], ["2"]])
+    write_delivery(tmp_path / "b_20240301.txt", ["Namn", "PeOrgNr"], [["x", "3"]])
+    few = delimited.read_deliveries(spark, str(tmp_path))
+    assert "BroadcastHashJoin" in plan_of(few) and "SortMergeJoin" not in plan_of(few)
+    monkeypatch.setattr(delimited, "BROADCAST_FILES", 1)
+    many = delimited.read_deliveries(spark, str(tmp_path))
+    assert rows(many) == rows(few) and few.count() == 3
+
+
 RAGGED = 'PeOrgNr\tNamn\n1\tok\n2\ttoo\tmany\n3\n4\t"over\ntwo lines"\n5\t"quoted\tfield"\n\n6\t\n'
 
 
@@ -278,7 +319,7 @@ def test_malformed_lines_go_to_quarantine(spark, tmp_path):
     (inbox / "r_20240301.txt").write_bytes(RAGGED.encode("latin-1"))
     write_delivery(inbox / "s_20240301.txt", ["PeOrgNr", "Namn"], [["7", "fine"]])
     delimited.land_deliveries(spark, str(inbox), raw_root)
-    df = delimited.read_deliveries(spark, raw_root, "*.csv")
+    df = delimited.read_raw(spark, raw_root)
     assert rows(df.select("PeOrgNr", "Namn")) == [
         ("1", "ok"), ("5", "quoted\tfield"), ("6", None), ("7", "fine"),
     ]
