@@ -810,6 +810,8 @@ def _inbox(rows: DataFrame, folder: str) -> None:
     line = F.concat_ws("\t", *rows.columns).alias("\t".join(rows.columns))
     # A separator that no line has, and no quotes: lines are written as they are.
     options = {"sep": "\u0001", "quote": "", "header": "true"}
+    # Fields at either end may be empty.
+    options |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     rows.select(line).write.options(**options).csv(folder)
 
 
@@ -970,6 +972,45 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_ingest(spark: SparkSession) -> ingest.DeliveryIngest:
+    root = scratch_path(spark, "ingest")
+    return ingest.DeliveryIngest(spark, root, ("user_id",), "effective_date", EVENT_CHECK, ("event_id",))
+
+
+def ingest_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited deliveries of two layouts that stream in by halves of the time end in
+    the same history."""
+    store = _event_ingest(spark)
+    rows = event_deliveries(spark, sf_dir)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in rows.columns]
+    # The day in the middle of all days, one row.
+    day = F.datediff("effective_date", F.lit("1970-01-01"))
+    middle = rows.agg(((F.min(day) + F.max(day)) / 2).cast("int").alias("middle"))
+    early = day <= middle.scalar()
+    columns = {f.name: f.dataType for f in rows.schema.fields}
+
+    def to_rows(found: DataFrame) -> DataFrame:
+        return found.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns.items()])
+
+    for turn, (part, order) in enumerate(((early, rows.columns), (~early, rows.columns[::-1]))):
+        name = f"{store.root}-inbox/{SOURCE_FILE}=events_{turn}.txt"
+        _inbox(rows.filter(part).select(*text).select(*order), name)
+        store.start_text(f"{store.root}-inbox", list(columns), to_rows, "*.csv").awaitTermination()
+    return store.history.history()
+
+
+def ingest_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that stream in out of order, some of them without a key: every row of
+    bronze is on time, late or in quarantine."""
+    store = _event_ingest(spark)
+    rows = event_deliveries(spark, sf_dir).withColumn(
+        "user_id", F.when(F.col("event_id") % 50 != 0, F.col("user_id"))
+    )
+    for turn in range(3):
+        store.apply_batch(rows.filter(F.col("event_id") % 3 == turn), turn)
+    return store.account()
+
+
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_windows.replay(
         table(spark, sf_dir, "events"),
@@ -1068,6 +1109,8 @@ QUERIES: dict[str, Query] = {
         schema_evolution,
         strategy_modes,
         incremental_ingest,
+        ingest_text,
+        ingest_account,
         stream_tumbling,
         stream_hopping,
         stream_sessions,

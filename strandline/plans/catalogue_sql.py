@@ -632,6 +632,23 @@ FROM orders""",
     "strategy_modes": """
 SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('O', 'P')""",
     "incremental_ingest": EVENT_HISTORY,
+    "ingest_text": EVENT_HISTORY,
+    "ingest_account": f"""
+WITH e AS (
+    SELECT event_id % 3 + 1 AS load_id, CASE WHEN event_id % 50 <> 0 THEN user_id END AS k,
+           {{'d': effective_date, 'e': event_id}} AS at
+    FROM ({EVENTS})
+), newest AS (SELECT k, load_id, max(at) AS at FROM e WHERE k IS NOT NULL GROUP BY ALL
+), seen AS (
+    SELECT e.load_id, e.k, e.at,
+           (SELECT max(n.at) FROM newest n WHERE n.k = e.k AND n.load_id < e.load_id) AS was
+    FROM e
+)
+SELECT load_id, count(*) AS bronze,
+       count(*) FILTER (k IS NOT NULL AND (was IS NULL OR at > was)) AS on_time,
+       count(*) FILTER (k IS NOT NULL AND at <= was) AS late,
+       count(*) FILTER (k IS NULL) AS quarantined
+FROM seen GROUP BY load_id""",
     "stream_tumbling": """
 SELECT date_trunc('hour', ts) AS window_start,
        date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,

@@ -76,27 +76,52 @@ class Layout:
     dated: bool
 
 
-def _lines(spark: SparkSession, root: str, glob: str, encoding: str) -> DataFrame:
-    """``path``, ``line`` and ``id`` (growing within a file) of all lines.
+def _text(reader, root: str, glob: str, encoding: str) -> DataFrame:
+    """``path``, ``line`` and whether it is in the first block (``early``) of all lines.
 
     Spark's text reader hands the bytes on as they are; they are decoded here.
     """
-    path = F.col("_metadata.file_path")
     return (
-        spark.read.option("pathGlobFilter", glob)
+        reader.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .schema("value string")
         .text(root)
         .select(
-            path.alias("path"),
+            F.col("_metadata.file_path").alias("path"),
             F.decode(F.col("value").cast("binary"), encoding).alias("line"),
-            F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
-            .alias("at_start"),
-            F.monotonically_increasing_id().alias("id"),
+            (F.col("_metadata.file_block_start") == 0).alias("early"),
         )
     )
 
 
+def numbered(text: DataFrame) -> DataFrame:
+    """``path``, ``line``, ``id`` (growing within a file), and ``at_start``, the same for
+    lines of the first block only."""
+    number = F.monotonically_increasing_id()
+    return text.select(
+        "path", "line", F.when(F.col("early"), number).alias("at_start"), number.alias("id")
+    )
+
+
+def _lines(spark: SparkSession, root: str, glob: str, encoding: str) -> DataFrame:
+    return numbered(_text(spark.read, root, glob, encoding))
+
+
+def stream_text(
+    spark: SparkSession,
+    root: str,
+    glob: str = "*.txt",
+    encoding: str = ENCODING,
+    files_at_once: int = 1000,
+) -> DataFrame:
+    """The lines of deliveries as a stream; ``numbered`` and ``parsed`` read its batches.
+
+    A batch takes whole files, so each line finds its header in its own batch.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_at_once)
+    return _text(reader, root, glob, encoding)
+
+
 def header_lines(lines: DataFrame) -> DataFrame:
     """``path``, ``header`` and ``header_id`` of every file that is not empty: the
     first line of its first block, found by a partial aggregate."""
@@ -129,7 +154,11 @@ def header_layouts(
     current: DataFrame | None = None,
 ) -> list[Layout]:
     """The different header lines below ``root``; nothing else comes together here."""
-    headers = _heads(_lines(spark, root, glob, encoding), current)
+    return layouts_of(_heads(_lines(spark, root, glob, encoding), current), delimiter)
+
+
+def layouts_of(headers: DataFrame, delimiter: str = DELIMITER) -> list[Layout]:
+    """The different headers among ``header_lines``."""
     dated = F.bool_and(F.col("path").rlike(_day_pattern("year")))
     found = headers.groupBy("header").agg(
         F.count(F.lit(1)).alias("files"), dated.alias("dated")
@@ -177,7 +206,18 @@ def read_deliveries(
     if not known:
         raise FileNotFoundError(f"no deliveries match {glob!r} below {root}")
     lines = _lines(spark, root, glob, encoding)
-    heads = _heads(lines, current)
+    return parsed(lines, _heads(lines, current), known, delimiter, malformed, with_layout)
+
+
+def parsed(
+    lines: DataFrame,
+    heads: DataFrame,
+    known: list[Layout],
+    delimiter: str = DELIMITER,
+    malformed: str = FAIL,
+    with_layout: bool = False,
+) -> DataFrame:
+    """The rows of ``lines``, read by their own ``heads`` (see ``read_deliveries``)."""
     if sum(layout.files for layout in known) <= BROADCAST_FILES:
         heads = F.broadcast(heads)
     rows = lines.join(heads, "path").filter(

@@ -1,18 +1,31 @@
 """Deliveries as a stream: bronze, landing and history are kept up batch by batch.
 
-This adds to the batch flow; the result is the one a full rebuild would give.
+This adds to the batch flow; the result is the one a full rebuild would give, but for
+rows that come too late to be a version after what their key already has.  Those are
+kept in bronze and in a table of their own, and are counted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.operators.dedup import latest_per_key
 from strandline.plans.history import HistoryStore
+from strandline.sources.delimited import (
+    KEEP,
+    MALFORMED,
+    SOURCE_FILE,
+    header_lines,
+    layouts_of,
+    numbered,
+    parsed,
+    stream_text,
+)
 from strandline.sources.versions import LOAD, VersionedTable
 
 
@@ -57,6 +70,16 @@ class DeliveryIngest:
         """Rows whose date or key is unknown, by batch."""
         return VersionedTable(self.spark, f"{self.root}/quarantine")
 
+    @property
+    def late(self) -> VersionedTable:
+        """Rows no newer than what their key had before their batch, by batch."""
+        return VersionedTable(self.spark, f"{self.root}/late")
+
+    @property
+    def malformed(self) -> VersionedTable:
+        """Lines that do not fit the header of their file, by batch."""
+        return VersionedTable(self.spark, f"{self.root}/malformed")
+
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Take in one batch: all its deliveries in one pass, in the order of their
         dates.  Rows without a date or key can be no version; they are kept apart.
@@ -64,16 +87,96 @@ class DeliveryIngest:
         load, token, never = batch_id + 1, f"batch-{batch_id}", datetime(1970, 1, 1)
         self.bronze.write_load(batch, load, token, never)
         stored = self.bronze.read_version(load)
+        unknown = self._unknown()
+        self.quarantine.write_load(stored.filter(unknown), load, token, never)
+        self._apply_rows(stored.filter(~unknown), load, token)
+
+    def apply_text(
+        self,
+        text: DataFrame,
+        batch_id: int,
+        columns: Sequence[str],
+        to_rows: Callable[[DataFrame], DataFrame],
+    ) -> None:
+        """Take in one batch of delimited lines (``stream_text``).
+
+        Each line is read by the header of its own file, which is in the same batch;
+        ``columns`` that no header of the batch has are unknown.  ``to_rows`` makes
+        delivery rows of these text columns and ``source_file``.  Malformed lines are
+        kept apart.
+        """
+        lines = numbered(text)
+        heads = header_lines(lines)
+        known = layouts_of(heads)
+        if not known:
+            return
+        rows = parsed(lines, heads, known, malformed=KEEP)
+        bad = rows.filter(F.col(MALFORMED).isNotNull())
+        self.malformed.write_load(
+            bad.select(SOURCE_FILE, F.col(MALFORMED).alias("line")),
+            batch_id + 1, f"batch-{batch_id}", datetime(1970, 1, 1),
+        )
+        have = {c.lower() for c in rows.columns}
+        sound = rows.filter(F.col(MALFORMED).isNull()).select(
+            *[
+                F.col(c) if c.lower() in have else F.lit(None).cast("string").alias(c)
+                for c in columns
+            ],
+            SOURCE_FILE,
+        )
+        self.apply_batch(to_rows(sound), batch_id)
+
+    def _unknown(self):
         unknown = F.col(self.date).isNull()
         for key in self.keys:
             unknown = unknown | F.col(key).isNull()
-        self.quarantine.write_load(stored.filter(unknown), load, token, never)
-        self._apply_rows(stored.filter(~unknown), token)
+        return unknown
 
     def quarantined(self) -> DataFrame:
         """Number of rows kept apart, per batch."""
         return self.quarantine.all_loads().groupBy(LOAD).agg(F.count(F.lit(1)).alias("rows"))
 
+    def late_counts(self) -> DataFrame:
+        """Number of rows that came too late, by batch, key and delivery."""
+        keys = [LOAD, *self.keys, self.date]
+        return self.late.all_loads().groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+
+    def account(self) -> DataFrame:
+        """For each batch: rows of ``bronze``, ``on_time``, ``late`` and ``quarantined``.
+
+        On time is what bronze itself tells: newer than all rows of the key in batches
+        before.  Late and quarantined are counted where they were put, so the three
+        add up only if nothing got lost on the way.
+        """
+        stored = self.bronze.all_loads()
+        at = F.struct(self.date, *self.ties)
+        known = stored.filter(~self._unknown())
+        # One row per key and batch, so the window is as long as there are batches.
+        newest = known.groupBy(*self.keys, LOAD).agg(F.max(at).alias("_newest"))
+        before = Window.partitionBy(*self.keys).orderBy(LOAD).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        seen = newest.withColumn("_seen", F.max("_newest").over(before)).drop("_newest")
+        timely = known.join(seen, [*self.keys, LOAD]).filter(
+            F.col("_seen").isNull() | (at > F.col("_seen"))
+        )
+        sides = {
+            "bronze": stored, "on_time": timely,
+            "late": self.late.all_loads(), "quarantined": self.quarantine.all_loads(),
+        }
+        counted = None
+        for side, frame in sides.items():
+            one = frame.groupBy(LOAD).agg(F.count(F.lit(1)).alias("rows"))
+            one = one.withColumn("side", F.lit(side))
+            counted = one if counted is None else counted.unionByName(one)
+        return counted.groupBy(LOAD).agg(
+            *[
+                F.coalesce(F.sum(F.when(F.col("side") == side, F.col("rows"))), F.lit(0).cast("bigint"))
+                .alias(side)
+                for side in sides
+            ]
+        )
+
     def _newest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, self.keys, [self.date, *self.ties])
 
@@ -89,7 +192,7 @@ class DeliveryIngest:
             raise LookupError(f"{self.root} has no landing yet")
         return self._newest(self._landing_rows(last))
 
-    def _apply_rows(self, rows: DataFrame, token: str) -> None:
+    def _apply_rows(self, rows: DataFrame, batch_load: int, token: str) -> None:
         log = self.landing_log
         moment = datetime(1970, 1, 1)
         load = log.load_of(token)
@@ -107,7 +210,12 @@ class DeliveryIngest:
                 *self.keys, F.struct(self.date, *self.ties).alias("_seen")
             )
             newer = F.col("_seen").isNull() | (F.struct(self.date, *self.ties) > F.col("_seen"))
-            rows = rows.join(seen, list(self.keys), "left").filter(newer).drop("_seen")
+            met = rows.join(seen, list(self.keys), "left").select(*rows.columns, newer.alias("_newer"))
+            rows = met.filter("_newer").drop("_newer")
+            late = met.filter("NOT _newer").drop("_newer")
+        else:
+            late = rows.filter(F.lit(False))
+        self.late.write_load(late, batch_load, token, moment)
         self.history.apply_deliveries(rows, self.date, self.ties, token, moment)
 
     def start(self, deliveries: DataFrame):
@@ -120,6 +228,24 @@ class DeliveryIngest:
         )
 
 
+    def start_text(
+        self,
+        root: str,
+        columns: Sequence[str],
+        to_rows: Callable[[DataFrame], DataFrame],
+        glob: str = "*.txt",
+        files_at_once: int = 1000,
+    ):
+        """Process all delimited deliveries below ``root`` that are new, then stop."""
+        text = stream_text(self.spark, root, glob, files_at_once=files_at_once)
+        return (
+            text.writeStream.foreachBatch(lambda t, i: self.apply_text(t, i, columns, to_rows))
+            .option("checkpointLocation", f"{self.root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+
 def replay_as_stream(
     deliveries: DataFrame,
     root: str,

@@ -270,12 +270,31 @@ def test_late_and_repeated_batches(spark, tmp_path):
     store.apply_batch(batch(("x", date(2024, 1, 2), "late", 2)), 1)
     assert rows(store.history.history()) == before
     assert rows(store.landing()) == [("x", date(2024, 1, 3), "new", 1)]
+    late = store.late_counts()
+    assert rows(late) == [(2, "x", date(2024, 1, 2), 1)]
+    assert rows(store.account()) == [(1, 1, 1, 0, 0), (2, 1, 0, 1, 0)]
     store.apply_batch(batch(("x", date(2024, 1, 4), "newer", 3)), 2)
     after = rows(store.history.history())
     store.apply_batch(batch(("x", date(2024, 1, 4), "newer", 3)), 2)
     assert rows(store.history.history()) == after and len(after) == 2
 
 
+def test_text_deliveries_as_a_stream(spark, tmp_path):
+    store, inbox = make_ingest(spark, tmp_path / "store"), tmp_path / "inbox"
+    inbox.mkdir()
+
+    def to_rows(found):
+        return found.select("k", F.col("d").cast("date").alias("d"), "v", F.col("n").cast("int").alias("n"))
+
+    bodies = ["k\td\tv\tn\nx\t2024-01-01\ta\t1\n", "n\tk\td\n2\tx\t2024-01-02\nbad\n", ""]
+    for turn, body in enumerate(bodies):
+        (inbox / f"f{turn}.txt").write_text(body)
+        store.start_text(str(inbox), ["k", "d", "v", "n"], to_rows).awaitTermination()
+    assert rows(store.landing()) == [("x", date(2024, 1, 2), None, 2)]
+    assert store.history.history().count() == 2
+    assert rows(store.malformed.all_loads().select("source_file", "line"))[0][1] == "bad"
+
+
 def test_a_failure_between_landing_and_history_is_made_good(spark, tmp_path):
     store = make_ingest(spark, tmp_path)
     data = spark.createDataFrame([("x", date(2024, 1, 3), "v", 1)], DELIVERY)
