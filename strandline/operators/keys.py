@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions.expressions import surrogate_key
-from strandline.operators.ordering import deciding_columns, global_positions
+from strandline.operators.ordering import (
+    can_be_dealt,
+    deciding_columns,
+    global_positions,
+    positions,
+)
 
 
 def with_surrogate_key(df: DataFrame, parts: Sequence[str], name: str) -> DataFrame:
@@ -24,8 +29,13 @@ def with_sequence_key(
     partitions: int | None = None,
 ) -> DataFrame:
     """Gapless numbers from ``start`` in the given order, without a single task."""
-    ascending = [F.col(c).asc_nulls_last() for c in deciding_columns(df, (), order)]
-    placed = global_positions(df, ascending, "_at", partitions)
+    deciding = deciding_columns(df, (), order)
+    if can_be_dealt(df):
+        nulls_last = [c for name in deciding for c in (F.col(name).isNull(), F.col(name))]
+        placed = positions(df, nulls_last, "_at", partitions)
+    else:
+        ascending = [F.col(c).asc_nulls_last() for c in deciding]
+        placed = global_positions(df, ascending, "_at", partitions)
     return placed.withColumn(name, F.col("_at") + F.lit(start)).drop("_at")
 
 

@@ -2,17 +2,19 @@
 
 A ``row_number`` over a key sends all rows of that key to one task.  Keeping
 only rank 1 is harmless (Spark drops the losers before the shuffle), but a full
-ranking is not.  Rows are therefore ranked by their position in a
-range-partitioned sort, which splits inside a key, and even inside a run of
-identical rows; it is one way for all keys, whatever their size.
+ranking is not.  Rows are therefore dealt to buckets, which follow each other in the
+order and split inside a key, and even inside a run of identical rows: what a row
+has before it is what earlier buckets have, from one count, and what its own bucket
+has, from a window over it.  All of this is one query, and one way for all keys.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +24,11 @@ from strandline.session import cut_lineage
 # Copies of one row that one task writes out.
 EXPAND_CHUNK = 100_000
 
+# Copies of one row that stay together when rows are dealt to buckets.
+PIECE = 10_000
+# Rows looked at for each bound between buckets.
+SAMPLED = 20
+
 _POSITION_BITS = 33  # monotonically_increasing_id: task number above, row below
 
 
@@ -92,15 +99,119 @@ def global_positions(
     )
 
 
+def can_be_dealt(df: DataFrame) -> bool:
+    """Whether rows can be told apart by all their columns."""
+    unlike = (T.MapType, T.VariantType)
+    return not any(isinstance(f.dataType, unlike) for f in df.schema.fields)
+
+
+def dealt(df: DataFrame, order: Sequence[Column], buckets: int | None = None) -> DataFrame:
+    """The different rows of ``df`` with ``_copies``, ``_piece`` and ``_bucket``.
+
+    Many copies of one row become pieces of bounded size.  Rows, and pieces of one
+    row, of a bucket come before those of the next in ``order`` (rising, nulls
+    first).  The bounds are quantiles of the rows with the smallest hashes; a row finds
+    its bucket in two steps, each over the square root of their number.
+    """
+    wanted = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = math.isqrt(max(1, wanted) - 1) + 1
+    n = F.col("_n")
+    pieces = (
+        df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), whole_div(n - 1, PIECE))))
+        .withColumn("_copies", F.least(n - F.col("_piece") * PIECE, F.lit(PIECE).cast("bigint")))
+        .drop("_n")
+    )
+    key = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)], F.col("_piece"))
+    few = pieces.select(key.alias("key")).orderBy(F.xxhash64("key"), "key").limit(SAMPLED * width**2)
+    drawn = few.agg(F.array_sort(F.collect_list("key")).alias("all"))
+    bound = lambda i: F.get("all", whole_div(i * F.size("all"), width**2).cast("int"))
+    upper = F.transform(F.sequence(F.lit(1), F.lit(width - 1)), lambda g: bound(g * width))
+    inner = lambda g: F.transform(
+        F.sequence(F.lit(1), F.lit(width - 1)), lambda i: bound(g * width + i)
+    )
+    lists = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), inner)
+    if width == 1:
+        return pieces.withColumn("_bucket", F.lit(0))
+    bounds = drawn.select(F.struct(upper.alias("upper"), lists.alias("lists"))).scalar()
+
+    def passed(held: Column) -> Column:
+        """How many of the bounds are not above the key; written out, so it is compiled."""
+        each = [(F.get(held, F.lit(i)) <= F.col("_key")).cast("int") for i in range(width - 1)]
+        return sum((F.coalesce(e, F.lit(0)) for e in each), F.lit(0))
+
+    return (
+        pieces.withColumns({"_key": key, "_bounds": bounds})
+        .withColumn("_group", passed(F.col("_bounds.upper")))
+        .withColumn("_lower", F.get("_bounds.lists", F.col("_group")))
+        .withColumn("_bucket", F.col("_group") * width + passed(F.col("_lower")))
+        .drop("_key", "_bounds", "_group", "_lower")
+    )
+
+
+def positions(
+    df: DataFrame, order: Sequence[Column], name: str, buckets: int | None = None
+) -> DataFrame:
+    """Dense 0-based position of every row in ``order`` (rising, nulls first)."""
+    rows = dealt(df, order, buckets)
+    sizes = rows.groupBy("_bucket").agg(F.sum("_copies").alias("_size"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per bucket.
+    starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_bucket").orderBy(*order, "_piece").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    at = F.col("_start") + F.coalesce(F.sum("_copies").over(inside), F.lit(0))
+    return (
+        rows.join(F.broadcast(starts), "_bucket")
+        .withColumn("_at", at)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)))
+        .select(*df.columns, (F.col("_at") + F.col("_copy")).alias(name))
+    )
+
+
 def rank_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
 ) -> DataFrame:
-    """1-based rank of every row within its key, largest ``order`` columns first.
+    """1-based rank of every row within its key, largest ``order`` columns first."""
+    deciding = deciding_columns(df, keys, order)
+    if not can_be_dealt(df):
+        return _rank_by_position(df, keys, deciding, name)
+    rows = dealt(df, [F.col(c) for c in (*keys, *deciding)])
+    counts = rows.groupBy(*keys, "_bucket").agg(F.sum("_copies").alias("_size"))
+    later = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    # A bucket shares at most one key with buckets after it: fewer rows than buckets.
+    shared = counts.withColumn("_later", F.sum("_size").over(later)).filter("_later IS NOT NULL")
+    shared = shared.select(
+        F.col("_bucket").alias("_b"), "_later", *[F.col(k).alias(f"_k_{k}") for k in keys]
+    )
+    match = F.col("_bucket") == F.col("_b")
+    for key in keys:
+        match = match & rows[key].eqNullSafe(shared[f"_k_{key}"])
+    own = Window.partitionBy("_bucket", *keys).orderBy(
+        *[F.col(c).desc() for c in deciding], F.col("_piece").desc()
+    ).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    first = 1 + F.coalesce("_later", zero) + F.coalesce(F.sum("_copies").over(own), zero)
+    return (
+        rows.join(F.broadcast(shared), match, "left")
+        .withColumn("_first", first)
+        .withColumn("_copy", F.explode(F.sequence(zero, F.col("_copies") - 1)))
+        .select(*df.columns, (F.col("_first") + F.col("_copy")).alias(name))
+    )
+
+
+def _rank_by_position(
+    df: DataFrame, keys: Sequence[str], deciding: Sequence[str], name: str
+) -> DataFrame:
+    """The same for rows with columns that cannot be grouped.
 
     A rank is the distance to the first position of the key.  These meet in an
     ordinary join, of which Spark splits busy keys.
     """
-    full = [F.col(c).desc() for c in deciding_columns(df, keys, order)]
+    full = [F.col(c).desc() for c in deciding]
     placed = global_positions(df, [*[F.col(k).asc() for k in keys], *full], "_at")
     firsts = placed.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.min("_at").alias("_first")
