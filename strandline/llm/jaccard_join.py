@@ -328,11 +328,21 @@ def links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return found.union(written(verified(written(rest, "join-pairs"), sets, similar), "join-links"))
 
 
+def nearby(found: DataFrame) -> DataFrame:
+    """``node``, ``root``: the least node within one link of the least node within one link.
+    Nodes of one root are connected; not all that are connected have one root."""
+    both = found.union(found.select("b", "a")).union(found.select("b", "b"))
+    low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+    further = low.select(F.col("a").alias("low"), F.col("low").alias("root"))
+    return low.join(further, "low", "left").select(
+        F.col("a").alias("node"), F.coalesce("root", "low").alias("root")
+    )
+
+
 def apart(members: DataFrame, found: DataFrame) -> DataFrame:
-    """``members`` with their ``root``, of the buckets that the links ``found`` leave in
-    more than one component."""
-    roots = components(found)
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    """``members`` with their ``root`` (see ``nearby``), of the buckets that the links
+    ``found`` leave with more than one."""
+    placed = members.join(nearby(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     return written(
         placed.join(split.filter("x <> y").select("signature"), "signature"), "join-apart"
