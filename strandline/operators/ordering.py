@@ -113,8 +113,6 @@ def dealt(df: DataFrame, order: Sequence[Column], buckets: int | None = None) ->
     first).  The bounds are quantiles of the rows with the smallest hashes; a row finds
     its bucket in two steps, each over the square root of their number.
     """
-    wanted = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    width = math.isqrt(max(1, wanted) - 1) + 1
     n = F.col("_n")
     pieces = (
         df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
@@ -123,29 +121,57 @@ def dealt(df: DataFrame, order: Sequence[Column], buckets: int | None = None) ->
         .drop("_n")
     )
     key = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)], F.col("_piece"))
-    few = pieces.select(key.alias("key")).orderBy(F.xxhash64("key"), "key").limit(SAMPLED * width**2)
-    drawn = few.agg(F.array_sort(F.collect_list("key")).alias("all"))
+    return in_buckets(pieces, key, pieces.select(key.alias("key"), F.col("_copies").alias("weight")), buckets)
+
+
+def bucket_width(df: DataFrame, buckets: int | None = None) -> int:
+    """Square root of the number of buckets."""
+    wanted = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return math.isqrt(max(1, wanted) - 1) + 1
+
+
+def in_buckets(
+    rows: DataFrame, key: Column, keys: DataFrame, buckets: int | None = None
+) -> DataFrame:
+    """``rows`` with ``_bucket``: those of one bucket come before those of the next by
+    ``key``, a struct.  Bounds are quantiles of a sample of ``keys`` (different ``key``,
+    and ``weight``, the rows it stands for): those whose hash by weight is smallest, so
+    they depend on the rows alone, and no job or task that is repeated moves them."""
+    width = bucket_width(rows, buckets)
+    if width == 1:
+        return rows.withColumn("_bucket", F.lit(0))
+    chance = F.expr("shiftrightunsigned(xxhash64(key), 1) div weight")
+    wanted = SAMPLED * width**2
+    few = keys.select("key", "weight", chance.alias("chance")).orderBy("chance", "key").limit(wanted)
+    # A key of the sample stands for its own rows, or for those of a key of the chance
+    # that the last one had, if these are more.
+    unit = F.when(F.count(F.lit(1)) < wanted, F.sum("weight") / wanted).otherwise(
+        F.lit(2.0**63) / (F.max("chance") + 1)
+    )
+    items = few.agg(F.array_sort(F.collect_list(F.struct("key", "weight"))).alias("items"), unit.alias("unit"))
+    times = lambda x: F.greatest(F.lit(1), F.round(x["weight"] / F.col("unit")).cast("int"))
+    drawn = items.select(
+        F.flatten(F.transform("items", lambda x: F.array_repeat(x["key"], times(x)))).alias("all")
+    )
     bound = lambda i: F.get("all", whole_div(i * F.size("all"), width**2).cast("int"))
     upper = F.transform(F.sequence(F.lit(1), F.lit(width - 1)), lambda g: bound(g * width))
     inner = lambda g: F.transform(
         F.sequence(F.lit(1), F.lit(width - 1)), lambda i: bound(g * width + i)
     )
     lists = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), inner)
-    if width == 1:
-        return pieces.withColumn("_bucket", F.lit(0))
     bounds = drawn.select(F.struct(upper.alias("upper"), lists.alias("lists"))).scalar()
 
     def passed(held: Column) -> Column:
         """How many of the bounds are not above the key; written out, so it is compiled."""
-        each = [(F.get(held, F.lit(i)) <= F.col("_key")).cast("int") for i in range(width - 1)]
+        each = [(F.get(held, F.lit(i)) <= F.col("_sought")).cast("int") for i in range(width - 1)]
         return sum((F.coalesce(e, F.lit(0)) for e in each), F.lit(0))
 
     return (
-        pieces.withColumns({"_key": key, "_bounds": bounds})
+        rows.withColumns({"_sought": key, "_bounds": bounds})
         .withColumn("_group", passed(F.col("_bounds.upper")))
         .withColumn("_lower", F.get("_bounds.lists", F.col("_group")))
         .withColumn("_bucket", F.col("_group") * width + passed(F.col("_lower")))
-        .drop("_key", "_bounds", "_group", "_lower")
+        .drop("_sought", "_bounds", "_group", "_lower")
     )
 
 

@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.functions.expressions import MICROS, epoch_us, version_id, whole_div
+from strandline.functions.expressions import version_id
+from strandline.operators import ordering
 from strandline.operators.dedup import latest_per_key
 
 FROM, TO = "dbt_valid_from", "dbt_valid_to"
@@ -18,6 +19,9 @@ META = (VERSION, UPDATED, FROM, TO)
 KEEP, CLOSE, INSERT = "keep", "close", "insert"
 CHANGE = "_change"
 
+# Parts into which the facts of one key and moment can be split.
+SALTS = 256
+
 
 def _moment(value: datetime | Column) -> Column:
     if isinstance(value, datetime):
@@ -202,47 +206,74 @@ def point_in_time(
     key: str,
     moment: str,
     columns: Sequence[str],
-    slot_days: int = 365,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Each fact with the version that was valid at its own moment.
 
-    A key has one version per moment, so facts are not multiplied.  Versions are
-    laid over slots of time and met by key and slot: a fact is compared with the
-    versions of its own slot only, and a busy key is spread over its slots.
+    Facts and versions stand in one line by key and time, cut into buckets of even
+    size; inside a bucket the last version is carried on to the facts behind it, and
+    the last one before a bucket goes to all of it.  A busy key, and facts of one
+    moment, are split over buckets.  Facts without a key, a moment or a version get
+    nulls.  A key has one version per moment, so facts are not multiplied.
     """
-    at = F.col(moment).cast("timestamp_ntz")
-    # The span of the facts is one row, found while the query runs.
-    first = facts.agg(F.min(at)).scalar()
-    last = facts.agg(F.max(at)).scalar()
-    starts = F.greatest(F.col(FROM), first)
-    ends = F.least(F.coalesce(F.col(TO), last), last)
-
-    def slot(ts: Column) -> Column:
-        return whole_div(epoch_us(ts), slot_days * 86_400 * MICROS)
-
-    wanted = (
-        history.filter(starts <= ends)
-        .select(
-            F.col(key).alias("_pit_key"),
-            F.col(FROM).alias("_pit_from"),
-            F.col(TO).alias("_pit_to"),
-            *columns,
-            F.explode(F.sequence(slot(starts), slot(ends))).alias("_pit_slot"),
-        )
+    start, end = F.col(FROM).cast("timestamp_ntz"), F.col(TO).cast("timestamp_ntz")
+    # Empty intervals are valid at no moment.
+    versions = history.filter(F.col(key).isNotNull() & (end.isNull() | (end > start))).select(
+        F.col(key).alias("_key"), start.alias("_at"), F.lit(0).alias("_kind"),
+        F.lit(0).alias("_salt"), end.alias("_end"),
+        F.struct(*[F.col(c) for c in columns]).alias("_held"),
+    )
+    # The number of the input task splits facts of one moment.
+    asked = facts.select(
+        F.col(fact_key).alias("_key"), F.col(moment).cast("timestamp_ntz").alias("_at"),
+        F.lit(1).alias("_kind"), F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("_salt"),
+        F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("_fact"),
+    )
+    spot = ["_key", "_at", "_kind"]
+    crowds = (
+        asked.select(*spot).union(versions.select(*spot))
+        .groupBy(*spot).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_parts", F.least("_n", F.lit(SALTS)).cast("int"))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        .withColumn("_salt", F.expr(f"int(_part * {SALTS} div _parts)"))
+    )
+    place = F.struct(*spot, "_salt")
+    keys = crowds.select(place.alias("key"), F.expr("_n div _parts").alias("weight"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        spots = rows.withColumn("_place", place)
+        return ordering.in_buckets(spots, F.col("_place"), keys, buckets).drop("_place")
+
+    version = F.struct("_key", "_end", "_held")
+    inside = Window.partitionBy("_bucket").orderBy(*spot).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    inside = (F.col("_pit_from") <= at) & (
-        F.col("_pit_to").isNull() | (F.col("_pit_to") > at)
+    line = placed(asked.unionByName(versions, allowMissingColumns=True)).withColumn(
+        "_own", F.last(F.when(F.col("_kind") == 0, version), ignorenulls=True).over(inside)
     )
+    ends = placed(versions).groupBy("_bucket").agg(
+        F.max_by(version, F.struct("_key", "_at")).alias("_end_of")
+    )
+    # One row per bucket, with the last version of those before it.
+    number = ordering.bucket_width(facts, buckets) ** 2
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        facts.sparkSession.range(number).select(F.col("id").cast("int").alias("_bucket"))
+        .join(ends, "_bucket", "left")
+        .select("_bucket", F.last("_end_of", ignorenulls=True).over(before).alias("_carried"))
+    )
+    found = F.coalesce(
+        *[F.when(F.col(c)["_key"] == F.col("_key"), F.col(c)) for c in ("_own", "_carried")]
+    )
+    known = F.col("_found._end").isNull() | (F.col("_found._end") > F.col("_at"))
     return (
-        facts.withColumn("_slot", slot(at))
-        .join(
-            wanted,
-            (F.col(fact_key) == F.col("_pit_key"))
-            & (F.col("_slot") == F.col("_pit_slot"))
-            & inside,
-            "left",
+        line.filter("_kind = 1")
+        .join(F.broadcast(carried), "_bucket", "left")
+        .withColumn("_found", F.when(F.col("_at").isNotNull(), found))
+        .select(
+            *[F.col("_fact")[c].alias(c) for c in facts.columns],
+            *[F.when(known, F.col("_found._held")[c]).alias(c) for c in columns],
         )
-        .drop("_slot", "_pit_key", "_pit_from", "_pit_to", "_pit_slot")
     )
 
 

@@ -27,7 +27,7 @@ from strandline.operators import (
     summaries,
     windows,
 )
-from strandline.plans import verify
+from strandline.plans import register, verify
 from strandline.plans.history import HistoryStore
 from strandline.session import scratch_path
 from strandline.sources.delimited import (
@@ -47,7 +47,7 @@ from strandline.sources.delimited import (
 )
 from strandline.sources.parquet import append_evolving, read_hive, write_hive
 from strandline.sources.runlog import RunLog
-from strandline.sources.tables import APPEND, TRUNCATE, write_table
+from strandline.sources.tables import APPEND, REPLACE, TRUNCATE, write_table
 from strandline.sources.versions import VersionedTable
 from strandline.streaming import ingest
 from strandline.streaming import windows as stream_windows
@@ -58,6 +58,7 @@ YEAR = 2024
 YEAR_START, YEAR_END = datetime(2024, 1, 1), datetime(2025, 1, 1)
 SESSION_DAY = "2024-01-15"
 AS_OF = datetime(2024, 1, 15, 12)
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 FIRST_CUT, SECOND_CUT = datetime(1999, 1, 1), datetime(2002, 1, 1)
 
 ORDER_CHECK = ("o_orderstatus", "o_orderpriority")
@@ -414,29 +415,17 @@ def not_null_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The outcome of checks of which one keeps its failures."""
-    events = event_deliveries(spark, sf_dir)
+    """The outcome of three checks in one scan, of which one keeps its failures."""
+    rules = [
+        quality.Rule("not_null_user", quality.NOT_NULL, "user_id"),
+        quality.Rule("unique_user", quality.UNIQUE, "user_id", quality.WARN, store=True),
+        quality.Rule("not_null_band", quality.NOT_NULL, "band"),
+    ]
     root = scratch_path(spark, "audit")
-    outcomes = quality.run_checks(
-        spark,
-        [
-            quality.Check(
-                "not_null_user", lambda: quality.not_null_failures(events, "user_id")
-            ),
-            quality.Check(
-                "unique_user",
-                lambda: quality.unique_failures(events, "user_id"),
-                quality.WARN,
-                store=True,
-            ),
-            quality.Check(
-                "not_null_band", lambda: quality.not_null_failures(events, "band")
-            ),
-        ],
-        root,
-    )
+    events = event_deliveries(spark, sf_dir)
+    outcomes = quality.run_rules(events, rules, root)
     rows = [(o.name, o.status, o.failures) for o in outcomes]
-    kept = spark.read.parquet(f"{root}/unique_user")
+    kept = quality.stored(events, rules, root, "unique_user")
     stored = kept.groupBy(F.lit("unique_user").alias("name")).agg(
         F.count(F.lit(1)).alias("stored")
     )
@@ -956,6 +945,55 @@ def strategy_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("o_orderkey bigint, o_orderstatus string").parquet(path)
 
 
+def strategy_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is replaced by one with other columns, then appended to."""
+    path = scratch_path(spark, "replaced-table")
+    name = "strandline_" + path.rsplit("-", 1)[1]
+    orders = table(spark, sf_dir, "orders")
+    priority = F.substring("o_orderpriority", 1, 1).cast("int").alias("priority")
+    write_table(orders.select("o_orderkey", "o_orderstatus"), name, REPLACE)
+    write_table(orders.filter("o_orderstatus = 'F'").select("o_orderkey", priority), name, REPLACE)
+    write_table(orders.filter("o_orderstatus = 'P'").select("o_orderkey", priority), name, APPEND)
+    spark.table(name).write.parquet(path)
+    # The table was made here, under a name that nobody else has.
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path)
+
+
+def _customer_files(spark: SparkSession, sf_dir: str) -> str:
+    """A file of customers for each segment: some are done, one has no name columns
+    but the first, the others are open."""
+    root = scratch_path(spark, "names")
+    people = _half_done(spark, sf_dir)
+    lines = people.select(
+        F.col("peorgnr").alias("PeOrgNr"), F.col("foretagsnamn").alias("Foretagsnamn"),
+        F.col("namn").alias("Namn"), F.col("coadress").alias("CoAdress"),
+        F.col("postort").alias("PostOrt"), SOURCE_FILE,
+    ).na.fill("")
+    for segment in SEGMENTS:
+        mine = lines.filter(F.col(SOURCE_FILE) == segment).drop(SOURCE_FILE)
+        if segment == "MACHINERY":
+            mine = mine.drop("Namn", "CoAdress")
+        _inbox(mine, f"{root}/{SOURCE_FILE}={segment}.txt")
+    return root
+
+
+def anonymise_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was rewritten of files that are open, done, or lack columns."""
+    source = _customer_files(spark, sf_dir)
+    return register.pseudonymise_deliveries(
+        spark, source, scratch_path(spark, "masked"), "*.csv"
+    )
+
+
+def anonymise_files_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of these files after that."""
+    target = scratch_path(spark, "masked")
+    register.pseudonymise_deliveries(spark, _customer_files(spark, sf_dir), target, "*.csv")
+    masked = read_deliveries(spark, target, "*.csv")
+    return masked.select("PeOrgNr", "Foretagsnamn", "Namn", "CoAdress", "PostOrt", SOURCE_FILE)
+
+
 # --- streams ---------------------------------------------------------------
 
 
@@ -1108,6 +1146,9 @@ QUERIES: dict[str, Query] = {
         lake_versions,
         schema_evolution,
         strategy_modes,
+        strategy_replace,
+        anonymise_files,
+        anonymise_files_rows,
         incremental_ingest,
         ingest_text,
         ingest_account,

@@ -631,6 +631,25 @@ SELECT o_orderkey, o_orderstatus,
 FROM orders""",
     "strategy_modes": """
 SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('O', 'P')""",
+    "strategy_replace": """
+SELECT o_orderkey, CAST(o_orderpriority[1] AS INTEGER) AS priority
+FROM orders WHERE o_orderstatus IN ('F', 'P')""",
+    "anonymise_files": f"""
+SELECT source_file || '.txt' AS source_file, count(*) AS rows_seen,
+       CASE WHEN source_file IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY') THEN 0
+            ELSE count(*) END AS rows_rewritten,
+       source_file IN ('BUILDING', 'HOUSEHOLD') AS already_anonymised,
+       CASE WHEN source_file = 'MACHINERY' THEN 'namn, coadress' ELSE '' END
+           AS missing_columns
+FROM ({CUSTOMERS}) GROUP BY source_file""",
+    "anonymise_files_rows": f"""
+SELECT peorgnr AS "PeOrgNr", nullif(foretagsnamn, '') AS "Foretagsnamn",
+       nullif(trim(namn), '') AS "Namn", nullif(coadress, '') AS "CoAdress",
+       postort AS "PostOrt", source_file || '.txt' AS source_file
+FROM ({PSEUDONYMS}) WHERE source_file <> 'MACHINERY'
+UNION ALL
+SELECT peorgnr, nullif(foretagsnamn, ''), NULL, NULL, postort, source_file || '.txt'
+FROM ({CUSTOMERS}) WHERE source_file = 'MACHINERY'""",
     "incremental_ingest": EVENT_HISTORY,
     "ingest_text": EVENT_HISTORY,
     "ingest_account": f"""

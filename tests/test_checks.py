@@ -108,6 +108,40 @@ def test_checks_have_severities_and_keep_failures(spark, tmp_path):
         quality.run_checks(spark, [quality.Check("x", lambda: df, store=True)])
 
 
+def test_rules_in_one_scan(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("a", 1.0, None), ("a", 2.0, None), (None, 2.0, None), (None, None, "x")],
+        "k string, x double, z string",
+    )
+    rules = [
+        quality.Rule("known", quality.NOT_NULL, "k"),
+        quality.Rule("once", quality.UNIQUE, "k", quality.WARN, store=True),
+        quality.Rule("x_once", quality.UNIQUE, "x"),
+        quality.Rule("z_known", quality.NOT_NULL, "z", quality.WARN),
+        quality.Rule("z_once", quality.UNIQUE, "z", store=True),
+    ]
+    root = str(tmp_path)
+    assert [(o.name, o.status, o.failures) for o in quality.run_rules(df, rules, root)] == [
+        ("known", "fail", 2), ("once", "warn", 1), ("x_once", "fail", 1),
+        ("z_known", "warn", 3), ("z_once", "pass", 0),
+    ]
+    assert rows(quality.stored(df, rules, root, "once")) == [("a", 2)]
+    # A run without failures leaves nothing of the one before.
+    assert all(o.status == quality.PASSED for o in quality.run_rules(df.limit(0), rules, root))
+    assert quality.stored(df, rules, root, "once").count() == 0
+    with pytest.raises(ValueError, match="kind"):
+        quality.run_rules(df, [quality.Rule("x", "positive", "k")], root)
+    with pytest.raises(ValueError, match="severity"):
+        quality.run_rules(df, [quality.Rule("x", quality.UNIQUE, "k", "fatal")], root)
+
+
+def test_one_rule_alone(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    for kind in (quality.NOT_NULL, quality.UNIQUE):
+        found = quality.run_rules(df, [quality.Rule("r", kind, "k")], str(tmp_path))
+        assert found == [quality.Outcome("r", quality.FAILED, 1)]
+
+
 # --- reports ---------------------------------------------------------------
 
 

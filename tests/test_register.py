@@ -151,7 +151,7 @@ def test_runs_are_logged_and_failures_kept(spark, flow):
         ("unique_peorgnr", "warn", 3),
         ("dedup_reconciliation", "pass", 0),
     }
-    kept = spark.read.parquet(layers.path("audit/unique_peorgnr"))
+    kept = quality.stored(layers.bronze(), register.BRONZE_RULES, layers.path("audit"), "unique_peorgnr")
     assert rows(kept) == [("1", 2), ("2", 3), ("3", 2)]
 
 

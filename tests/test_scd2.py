@@ -1,13 +1,13 @@
 from __future__ import annotations
 
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from strandline.operators import dedup, scd2
+from strandline.operators import dedup, ordering, scd2
 from strandline.plans.history import HistoryStore
 from tests.conftest import plan_of, rows
 
@@ -166,8 +166,8 @@ def test_as_of_and_point_in_time(spark):
         [(n, "x", at(n)) for n in (1, 4, 5, 9)] + [(0, "y", at(3)), (-1, "x", None)],
         "n int, who string, seen timestamp_ntz",
     )
-    for slot_days in (1, 2, 30):
-        found = scd2.point_in_time(facts, history, "who", "k", "seen", ["a"], slot_days)
+    for buckets in (1, 2, 30, None):
+        found = scd2.point_in_time(facts, history, "who", "k", "seen", ["a"], buckets)
         assert rows(found.select("n", "a")) == rows(
             spark.createDataFrame(
                 [(-1, None), (0, None), (1, "a"), (4, "a"), (5, "b"), (9, "b")],
@@ -310,3 +310,56 @@ def test_point_in_time_runs_no_job_while_it_is_built(spark):
     spark.sparkContext.setJobGroup("run", "run")
     assert found.first()["v"] == "x"
     assert scd2.point_in_time(facts.limit(0), history.drop("d"), "c", "k", "d", ["v"]).isEmpty()
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 16, 60])
+def test_point_in_time_equals_a_lookup_one_by_one(spark, buckets):
+    """A busy key, many facts of one moment, repeated facts, gaps and empty intervals."""
+    rng = random.Random(buckets)
+    versions, known = [], {}
+    for k in "abc":
+        t = 0
+        while t < 40:
+            length = rng.choice([0, 1, 3, 9])
+            end = None if t + length > 38 else t + length
+            if rng.random() < 0.8:
+                versions.append((k, at(1) + timedelta(hours=t), end if end is None else at(1) + timedelta(hours=end), f"{k}{t}"))
+                known.setdefault(k, []).append((t, end, f"{k}{t}"))
+            if end is None:
+                break
+            t += max(1, length)
+    data = [(i, rng.choice("aaaaaabcz"), rng.randrange(-3, 45)) for i in range(600)]
+    data += [(1000, "a", 7)] * 500 + [(2000, None, 5), (2001, "a", None)]
+    facts = spark.createDataFrame(
+        [(i, k, None if t is None else at(1) + timedelta(hours=t)) for i, k, t in data],
+        "n int, who string, seen timestamp_ntz",
+    ).repartition(7)
+    history = spark.createDataFrame(
+        versions, f"k string, {scd2.FROM} timestamp_ntz, {scd2.TO} timestamp_ntz, a string"
+    )
+    found = scd2.point_in_time(facts, history, "who", "k", "seen", ["a"], buckets)
+    valid = lambda k, t: next(
+        (v for b, e, v in known.get(k, []) if t is not None and b <= t and (e is None or t < e)), None
+    )
+    expected = [(i, valid(k, t)) for i, k, t in data]
+    assert sorted(map(str, map(tuple, found.select("n", "a").collect()))) == sorted(map(str, expected))
+
+
+def test_point_in_time_splits_a_busy_moment(spark):
+    facts = spark.range(0, 30_000, 1, 12).selectExpr(
+        "id", "if(id % 3 > 0, 'hot', concat('k', id % 100)) AS who",
+        "if(id % 3 > 0, timestamp_ntz '2024-01-05', timestamp_ntz '2024-01-01' + make_dt_interval(id % 9)) AS seen",
+    )
+    history = scd2.history_from_deliveries(
+        facts.selectExpr("who", "date '2024-01-02' AS d", "'v' AS v").distinct(), ["who"], "d", ["v"]
+    )
+    rows_of = facts.selectExpr("who AS _key", "seen AS _at", "1 AS _kind", "spark_partition_id() AS _salt")
+    place = F.struct("_key", "_at", "_kind", "_salt")
+    keys = rows_of.groupBy("_key", "_at", "_kind", "_salt").count()
+    dealt = ordering.in_buckets(
+        rows_of, place, keys.select(place.alias("key"), F.col("count").alias("weight")), 16
+    )
+    assert dealt.groupBy("_bucket").count().agg(F.max("count")).first()[0] < 6000
+    found = scd2.point_in_time(facts, history.drop("d"), "who", "who", "seen", ["v"], 16)
+    assert found.count() == 30_000
+    assert found.filter("v IS NOT NULL").count() == facts.filter("seen >= '2024-01-02'").count()
