@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +22,9 @@ from strandline.llm.common import slices
 
 #: A column is padded to its widest cell, but not beyond this.
 WIDEST = 80
+#: A table is not padded if that made it longer than its content by this factor.
+BLOWN_UP = 100
+ENDLESS = 1 << 62
 
 # Element names by their role in the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -273,44 +278,104 @@ class Block:
         self.gap = max(self.gap, gap)
 
 
+class Grid:
+    """Columns that no cell from above covers, as gaps in order; what a cell covers
+    comes free again after its last row."""
+
+    def __init__(self) -> None:
+        self.begins, self.ends = [0], [ENDLESS]
+        self.freed: dict[int, list[tuple[int, int]]] = {}
+
+    def free(self, row: int) -> None:
+        """Columns of cells that ended above this row are gaps again."""
+        for begin, end in self.freed.pop(row, ()):
+            at = bisect_left(self.begins, begin)
+            after = at < len(self.begins) and self.begins[at] == end
+            before = at > 0 and self.ends[at - 1] == begin
+            first, past = at - before, at + after
+            begin = self.begins[first] if before else begin
+            end = self.ends[at] if after else end
+            self.begins[first:past], self.ends[first:past] = [begin], [end]
+
+    def place(self, row: int, cells: list[tuple[int, int]]) -> list[int]:
+        """First columns of cells (columns wide, rows high) of one row.  A cell ends at
+        the latest where one from above begins."""
+        starts, left = [], []
+        gap, at = 0, self.begins[0]
+        for wide, high in cells:
+            if at == self.ends[gap]:
+                gap += 1
+                at = self.begins[gap]
+            end = min(at + wide, self.ends[gap])
+            starts.append(at)
+            if high > 1:
+                self.freed.setdefault(row + high, []).append((at, end))
+            elif left and left[-1][1] == at:
+                left[-1] = (left[-1][0], end)
+            else:
+                left.append((at, end))
+            at = end
+        if at < self.ends[gap]:
+            if left and left[-1][1] == at:
+                left[-1] = (left[-1][0], self.ends[gap])
+            else:
+                left.append((at, self.ends[gap]))
+        self.begins[: gap + 1] = [x for x, _ in left]
+        self.ends[: gap + 1] = [x for _, x in left]
+        return starts
+
+
 def columns(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     """Lines of a table: cells (lines, columns wide, rows high) side by side, each
-    column padded to its widest cell."""
-    placed: list[list[tuple[int, int, list[str]]]] = []
-    taken: dict[int, int] = {}
-    width: dict[int, int] = {}
-    for row in rows:
-        at, here = 0, []
-        fresh: dict[int, int] = {}
-        for lines, wide, high in row:
-            while taken.get(at, 0) > 0:
-                at += 1
-            here.append((at, wide, lines))
-            if wide == 1:
-                longest = max(map(len, lines), default=0)
-                if longest <= WIDEST:
-                    width[at] = max(width.get(at, 0), longest)
-            for c in range(at, at + wide):
-                fresh[c] = high
-            at += wide
-        taken = {c: n - 1 for c, n in taken.items() if n > 1}
-        taken |= {c: n - 1 for c, n in fresh.items() if n > 1}
-        placed.append(here)
+    column padded to its widest cell.
+
+    Columns in which no cell begins take no room.  A table that padding would blow up
+    (many lines far to the right) has its cells two blanks apart instead, so time and
+    length stay in proportion to the page.
+    """
+    grid, placed, width = Grid(), [], {}
+    content = 0
+    for number, row in enumerate(rows):
+        grid.free(number)
+        below = len(rows) - number
+        starts = grid.place(number, [(wide, min(high, below)) for _, wide, high in row])
+        placed.append(starts)
+        for at, (lines, wide, _) in zip(starts, row):
+            width.setdefault(at, 0)
+            content += 2 + sum(map(len, lines))
+            longest = max(map(len, lines), default=0)
+            if wide == 1 and longest <= WIDEST:
+                width[at] = max(width[at], longest)
+    used = sorted(width)
+    offset = dict(zip(used, accumulate((width[c] + 2 for c in used), initial=0)))
+    tall = [max((len(lines) for lines, _, _ in row), default=0) for row in rows]
+    padded = sum(n * (offset[starts[-1]] + len(starts)) for n, starts in zip(tall, placed) if starts)
     out = []
-    for row in placed:
-        high = max((len(lines) for _, _, lines in row), default=0)
+    for row, starts, high in zip(rows, placed, tall):
+        if padded > BLOWN_UP * content:
+            out += _unpadded([lines for lines, _, _ in row])
+            continue
         for i in range(high):
-            line, at = "", 0
-            for column, _, lines in row:
-                start = sum(width.get(c, 0) + 2 for c in range(at, column))
-                line += " " * start
+            parts, begin = [], 0
+            for at, (lines, _, _) in zip(starts, row):
                 text = lines[i] if i < len(lines) else ""
-                at = column + 1
-                line += text + " " * (width.get(column, 0) - len(text)) + "  "
-            out.append(line.rstrip())
+                parts.append(" " * (offset[at] - begin) + text.ljust(width[at]) + "  ")
+                begin = offset[at] + width[at] + 2
+            out.append("".join(parts).rstrip())
     return out
 
 
+def _unpadded(cells: list[list[str]]) -> list[str]:
+    """Cells of one row behind each other; a cell goes on where the one before ends."""
+    out, line = [], []
+    for lines in cells:
+        line += lines[:1]
+        for more in lines[1:]:
+            out.append("  ".join(line).rstrip())
+            line = [more]
+    return [*out, "  ".join(line).rstrip()] if line else out
+
+
 def _whole(text: str | None, least: int, most: int) -> int:
     try:
         return min(most, max(least, int(text or "")))

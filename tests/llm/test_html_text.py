@@ -63,6 +63,62 @@ def test_hard_pages_take_linear_time():
     assert time.perf_counter() - begin < 20
 
 
+def naive_columns(rows):
+    """Cell by cell on a dictionary of taken places."""
+    taken, starts = set(), []
+    for r, row in enumerate(rows):
+        at, own = 0, []
+        for _, wide, high in row:
+            while (r, at) in taken:
+                at += 1
+            own.append(at)
+            n = 1
+            while n < wide and (r, at + n) not in taken:
+                n += 1
+            taken |= {(r + i, at + c) for i in range(high) for c in range(n)}
+            at += n
+        starts.append(own)
+    used = sorted({c for own in starts for c in own})
+    width = {c: 0 for c in used}
+    for row, own in zip(rows, starts):
+        for (lines, wide, _), c in zip(row, own):
+            fits = max(map(len, lines), default=0)
+            if wide == 1 and fits <= html_text.WIDEST:
+                width[c] = max(width[c], fits)
+    out = []
+    for row, own in zip(rows, starts):
+        for i in range(max((len(c[0]) for c in row), default=0)):
+            line, reached = "", 0
+            for c, (lines, _, _) in zip(own, row):
+                left = sum(width[x] + 2 for x in used if x < c)
+                line += " " * (left - reached)
+                line += (lines[i] if i < len(lines) else "").ljust(width[c]) + "  "
+                reached = left + width[c] + 2
+            out.append(line.rstrip())
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.tuples(
+    st.lists(st.sampled_from(["a", "bb", "long cell", ""]), max_size=2), st.integers(1, 4), st.integers(1, 5)
+), max_size=5), max_size=7))
+def test_spans_equal_a_naive_grid(rows):
+    assert html_text.columns(rows) == naive_columns(rows)
+
+
+def test_hostile_spans_take_linear_time():
+    begin = time.perf_counter()
+    wide = "<td colspan=1000 rowspan=65534>"
+    stairs = "".join(f"<tr><td rowspan={i % 977 + 2}>a<td>b" for i in range(8000))
+    for page in (wide * 4000, f"<tr>{wide}" * 4000, (wide * 3 + "<tr>") * 2000, stairs,
+                 "<tr>" + "<td>" * 4000 + "<td>" + "x<br>" * 4000,
+                 "<tr>" + "<td>" * 3000 + "<tr><td colspan=1000><td colspan=1000>a<td>b" * 3000):
+        found = html_text.visible_text(f"<table>{page}end</table>")
+        assert found.replace("\n", " ").split()[-1].endswith("end")
+        assert len(found) < 300 * len(page)
+    assert time.perf_counter() - begin < 20
+
+
 def test_pages(spark):
     data = [(i, None, page) for i, page in enumerate(CASES)] + [(None, "u", None), (0, None, ""), (7, "", "x " * 50000)]
     pages = spark.createDataFrame(data, "page_id bigint, text string, html string").repartition(3)
