@@ -61,15 +61,17 @@ class Phrases:
     lengths: np.ndarray
 
     @staticmethod
-    def of(rows: list[tuple[str, bytes]], window: int = WINDOW) -> Phrases:
+    def of(rows: list[tuple[str | None, bytes]], window: int = WINDOW) -> Phrases:
         vocabulary: dict[bytes, int] = {}
         seen: dict[tuple[int, ...], set[int]] = {}
-        names = sorted({item for item, _ in rows})
+        names = sorted({item for item, _ in rows if item is not None})
         number = {item: i for i, item in enumerate(names)}
         for item, text in rows:
             codes = [vocabulary.setdefault(w, FIRST + len(vocabulary)) for w in words(text)]
             for at in range(max(1, len(codes) - window + 1) if codes else 0):
-                seen.setdefault(tuple(codes[at : at + window]), set()).add(number[item])
+                owners = seen.setdefault(tuple(codes[at : at + window]), set())
+                if item is not None:
+                    owners.add(number[item])
         phrases = sorted(seen, key=lambda p: (len(p), p))
         by_length, at = [], 0
         for length in sorted({len(p) for p in phrases}):
@@ -315,13 +317,14 @@ def finder(phrases: Phrases):
 def blocks(benchmark: DataFrame, item_id: str, text: str) -> list[Phrases]:
     """The benchmark's phrases, in blocks of at most about ``BLOCK_BYTES`` of text, so
     that what is sent to the tasks is bounded.  Items without words and null texts
-    have no phrases; items without an id are left out; repeated ids are united."""
+    have no phrases; repeated ids are united.  Passages of items without an id are found
+    like any other, but there is no id to name them by."""
     items = benchmark.select(
         F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")
-    ).dropna()
+    ).filter("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("item"), F.lit(n))
+    block = F.pmod(F.xxhash64(F.coalesce("item", "text")), F.lit(n))
     return [
         Phrases.of([(r[0], r[1].encode()) for r in items.filter(block == i).collect()])
         for i in range(n)

@@ -52,8 +52,17 @@ def test_contamination_equals_brute_force(spark, monkeypatch, block):
         (r["doc_id"], r["n_words"], sum(s["past"] - s["first"] for s in r["spans"]), r["items"])
         for r in decontaminate.contamination(documents(spark), benchmark).collect()
     ]
-    usable = [i for i in items if i[0] is not None]
-    same(found, brute([r[:2] for r in data], usable))
+    # Items without an id hit words, but are not named.
+    named = [(doc, n, hit, [i for i in ids if i != "None"]) for doc, n, hit, ids in brute([r[:2] for r in data], items)]
+    same(found, named)
+
+
+def test_items_without_an_id_are_found(spark):
+    docs = documents(spark, [(1, "one two three four", "en", "s", 0), (2, "five", "en", "s", 0)])
+    benchmark = spark.createDataFrame([(None, "two three")], "item_id bigint, text string")
+    found = {r["doc_id"]: r for r in decontaminate.contamination(docs, benchmark).collect()}
+    assert [(s["first"], s["past"]) for s in found[1]["spans"]] == [(1, 3)]
+    assert found[1]["items"] == [] and found[2]["spans"] == []
 
 
 def test_spans_are_apart_and_in_order(spark):
