@@ -41,6 +41,8 @@ BLOCK = 512
 TOGETHER = 4 << 20
 #: A file of the archive is followed by another one beyond this size.
 FILE_BYTES = 1 << 30
+#: A task reads about this much of an archive back.
+RANGE_BYTES = 64 << 20
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -93,11 +95,13 @@ def parsed(member: bytes) -> tuple[dict[str, str], bytes]:
 
 @dataclass
 class Archive:
-    """Where an archive and its index are; ``page_type`` is the type of its page ids."""
+    """Where an archive and its index are; ``page_type`` is the type of its page ids,
+    ``ranges`` how many tasks read all of it."""
 
     folder: str
     directory: str
     page_type: str
+    ranges: int = 1
 
 
 def _opened(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -217,7 +221,8 @@ def archived(
         .mapInArrow(pack, "first string, last string, file string, offset bigint, length bigint")
         .write.parquet(directory)
     )
-    return Archive(folder, directory, kind)
+    size = entries.agg(F.sum("length")).first()[0] or 0
+    return Archive(folder, directory, kind, -(-size // RANGE_BYTES) or 1)
 
 
 def _blocks(archive: Archive, keys: list[bytes]) -> tuple[list[tuple], list[bytes], list[bytes]]:
@@ -327,9 +332,12 @@ def read_back(archive: Archive, entries: DataFrame) -> DataFrame:
         if f is not None:
             f.close()
 
+    # A number that is given is kept: entries are small, what they stand for is not.
+    deal = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         entries.select("file", "offset", "length")
-        .repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+        .repartitionByRange(max(deal, archive.ranges), "file", "offset")
+        .sortWithinPartitions("file", "offset")
     )
     rows = ranged.mapInArrow(
         read,
