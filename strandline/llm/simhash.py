@@ -154,11 +154,12 @@ def first_rows(docs: DataFrame, firsts: DataFrame, doc_id: str, text: str) -> Da
     firsts = keyed(firsts, first["doc_id"], first["text_hash"]).distinct()
     hashed = F.when(F.col(text).isNotNull(), F.xxhash64(text))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    # Joined and grouped by the same columns: the texts are shuffled once.
+    # Grouped first: a task sends one of equal rows, however often they are repeated.
+    # The join has the same keys, so the texts are shuffled once.
     return (
         keyed(docs, F.col(doc_id), hashed, row)
-        .join(firsts, keys)
         .groupBy(keys)
         .agg(F.first("row").alias("row"))
+        .join(firsts, keys)
         .select("row.*")
     )
