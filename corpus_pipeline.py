@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import decontaminate, language, near_copies, sentencepieces, toxicity
+from strandline.llm import decontaminate, language, sentencepieces, simhash, toxicity
 from strandline.llm.common import table, written
 from strandline.llm.queries import tokenizer_file
 
@@ -34,9 +34,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard similarity of five-word
-    shingles of at least 0.8) stays, that with the smallest id, all columns as they are."""
-    return near_copies.one_of_each(docs)
+    """One document of each group of near copies (SimHash of three-word shingles, links
+    of at most two bits) stays, that with the smallest id, all columns as they are."""
+    return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
