@@ -2,13 +2,16 @@
 
 A text is a sequence of symbols: runs of up to twelve letters and digits, and single
 other characters.  Its k-mers are numbered by occurrence, so repeats count.  Hashes
-deal the numbered k-mers into bins; in each bin the smallest few are selected, put
+deal the numbered k-mers into bins; from each bin on the smallest few are selected, put
 back into text order, and hashed together.  Two texts share a bin's hash if they
 share its k-mers in the same order, so the share of equal bins falls with the edits
 between them.
 
 Everything happens within a row, in arrays of long numbers that hold a hash above a
 position; sorting such an array groups equal hashes and keeps the order of the text.
+A bin of too few k-mers goes on with those of the bins that follow it, the first after
+the last: the bins are starts on one circle of hashes, and every tuple has an order if
+the text has two k-mers.
 """
 
 from __future__ import annotations
@@ -53,8 +56,8 @@ def _indices(n: Column) -> Column:
 
 
 def signatures(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with the column ``out``: one number for each bin, null where a text has
-    no k-mer in it.
+    """``df`` with the column ``out``: one number for each bin, all null if a text has
+    no k-mer.
 
     A text of fewer symbols than a k-mer is one k-mer; a null or empty text has none.
     Every step is a projection of its own, so that it is computed once for a row.
@@ -117,28 +120,30 @@ def signatures(df: DataFrame, text: str, out: str) -> DataFrame:
         ),
     )
 
-    def tuple_hash(x: Column, i: Column) -> Column:
-        mine = [x] + [
-            F.when(bin_of(F.get(at(chosen), i + j)) == bin_of(x), F.get(at(chosen), i + j))
-            for j in range(1, SELECTED)
-        ]
-        places = F.sort_array(F.filter(F.transform(F.array(*mine), _place), lambda p: p.isNotNull()))
-        kept = F.transform(places, lambda p: F.get(at(kmers), p))
-        return F.when(
-            (i == 0) | (bin_of(F.get(at(chosen), i - 1)) != bin_of(x)),
-            F.struct(
-                bin_of(x).cast("int").alias("bin"),
-                F.xxhash64(kept).bitwiseAND(_lit(0xFFFFFFFF)).alias("hash"),
-            ),
-        )
-
-    df = df.withColumn(first, F.filter(F.transform(chosen, tuple_hash), lambda s: s.isNotNull()))
-    hashes = F.transform(first, lambda s: s["hash"])
-    spread = F.transform(
-        F.sequence(F.lit(0), F.lit(BINS - 1)),
-        lambda b: F.element_at(F.map_from_entries(at(first)), b),
+    # Where each bin's tuple begins among the chosen: at its own first k-mer or, if the
+    # bin is empty, at that of the next one that is not, round the circle.
+    held = F.size(chosen)
+
+    def bins_up_to(x: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(-1)).otherwise(bin_of(F.get(at(chosen), i - 1)))
+        return F.array_repeat(i, (bin_of(x) - before).cast("int"))
+
+    last = bin_of(F.get(at(chosen), held - 1)).cast("int")
+    begins = F.concat(
+        F.flatten(F.transform(chosen, bins_up_to)),
+        F.array_repeat(F.lit(0), F.lit(BINS - 1) - last),
     )
-    df = df.withColumn(out, F.when(F.size(first) == BINS, hashes).otherwise(spread))
+    df = df.withColumn(first, begins)
+
+    def tuple_hash(start: Column) -> Column:
+        mine = [_place(F.get(at(chosen), F.pmod(start + j, held))) for j in range(SELECTED)]
+        # Round the circle a text of fewer k-mers meets the same ones again.
+        places = F.sort_array(F.slice(F.array(*mine), F.lit(1), F.least(held, F.lit(SELECTED))))
+        kept = F.transform(places, lambda p: F.get(at(kmers), p))
+        return F.xxhash64(kept).bitwiseAND(_lit(0xFFFFFFFF))
+
+    none = F.array_repeat(F.lit(None).cast("long"), BINS)
+    df = df.withColumn(out, F.when(held == 0, none).otherwise(F.transform(first, tuple_hash)))
     return df.drop(*names)
 
 
