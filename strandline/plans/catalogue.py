@@ -48,7 +48,7 @@ from strandline.sources.delimited import (
 from strandline.sources.parquet import append_evolving, read_hive, write_hive
 from strandline.sources.runlog import RunLog
 from strandline.sources.tables import APPEND, REPLACE, TRUNCATE, write_table
-from strandline.sources.versions import VersionedTable
+from strandline.sources.versions import FILE, FILE_STATE, LOAD, FileTable, VersionedTable
 from strandline.streaming import ingest
 from strandline.streaming import windows as stream_windows
 
@@ -904,6 +904,41 @@ def lake_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted[0].union(counted[1]).union(counted[2])
 
 
+def lake_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year of orders is a file.  Two loads, the second with years that are new, one
+    that is corrected and one that is empty: rows by file of both states, and of what
+    the second load wrote."""
+    lake = FileTable(spark, scratch_path(spark, "lake-files"))
+    year = F.year("o_orderdate")
+    orders = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("orders-"), year).alias(FILE), year.alias("year"), "o_orderkey"
+    )
+    first = orders.filter("year <= 1995")
+    second = orders.filter("year > 1992 AND (year <> 1995 OR o_orderkey % 2 = 0)")
+    for turn, (shown, rows) in enumerate([(first, first), (orders, second)], 1):
+        content = rows.groupBy(FILE).agg(
+            F.sum(F.xxhash64("o_orderkey").cast("decimal(38,0)")).cast("string").alias("digest")
+        )
+        state = F.coalesce("digest", F.lit("empty")).alias(FILE_STATE)
+        listed = shown.select(FILE).distinct().join(content, FILE, "left").select(FILE, state)
+        lake.take(
+            listed,
+            lambda fresh: rows.join(fresh, FILE, "left_semi").select(FILE, "o_orderkey"),
+            f"turn-{turn}",
+            (FIRST_CUT, SECOND_CUT)[turn - 1],
+        )
+    views = {
+        "as of 2000": lake.read_as_of(datetime(2000, 1, 1)),
+        "latest": lake.read_latest(),
+        "added": lake.rows.all_loads().filter(F.col(LOAD) == 2),
+    }
+    counted = [
+        df.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("view"), FILE, "rows")
+        for name, df in views.items()
+    ]
+    return counted[0].union(counted[1]).union(counted[2])
+
+
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A column that only later loads have."""
     root = scratch_path(spark, "evolving")
@@ -1144,6 +1179,7 @@ QUERIES: dict[str, Query] = {
         raw_quarantine,
         raw_replaced,
         lake_versions,
+        lake_increments,
         schema_evolution,
         strategy_modes,
         strategy_replace,

@@ -625,6 +625,18 @@ UNION ALL SELECT 'as of 2000', o_orderstatus, count(*)
 FROM ({FIRST_LANDING}) GROUP BY o_orderstatus
 UNION ALL SELECT 'latest', o_orderstatus, count(*)
 FROM ({SECOND_LANDING}) GROUP BY o_orderstatus""",
+    "lake_increments": """
+WITH files AS (
+    SELECT 'orders-' || year(o_orderdate) AS source_file, year(o_orderdate) AS y, o_orderkey
+    FROM orders
+), second AS (
+    SELECT * FROM files WHERE y > 1992 AND (y <> 1995 OR o_orderkey % 2 = 0)
+)
+SELECT 'as of 2000' AS view, source_file, count(*) AS rows
+FROM files WHERE y <= 1995 GROUP BY source_file
+UNION ALL SELECT 'latest', source_file, count(*) FROM second GROUP BY source_file
+UNION ALL SELECT 'added', source_file, count(*)
+FROM second WHERE y >= 1995 GROUP BY source_file""",
     "schema_evolution": """
 SELECT o_orderkey, o_orderstatus,
        CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority

@@ -2,9 +2,12 @@
 
 raw text -> staging -> bronze -> landing + rejects -> history
 
-Bronze is kept twice, as hive-partitioned Parquet and as a table with versions.
-Both copies feed a landing and a history of their own, and the two paths are
-compared with each other.
+Bronze is kept twice, as hive-partitioned Parquet and as a table with versions, to
+which a run adds the files that are new or changed.  Both copies feed a landing and a
+history of their own, and the two paths are compared with each other.
+
+Landings and rejects are loads.  They are published together, once bronze is found to
+be their sum; until then, and after a run that fails, readers see those before.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from strandline.sources.delimited import (
     SOURCE_FILE,
     header_layouts,
     land_deliveries,
+    newest_loads,
     read_deliveries,
     read_raw,
     stage,
@@ -34,7 +38,7 @@ from strandline.sources.delimited import (
 )
 from strandline.sources.parquet import read_hive, write_hive
 from strandline.sources.runlog import RunLog
-from strandline.sources.versions import VersionedTable
+from strandline.sources.versions import FILE_STATE, FileTable, VersionedTable
 
 # The columns of the register.
 KEY = "peorgnr"
@@ -67,9 +71,14 @@ NAMES = {
 }
 
 PARQUET, LAKE = "parquet", "lake"  # the two ways from bronze to history
+REJECTS, PUBLISHED = "rejects", "published"
+LOADED = (f"landing-{PARQUET}", f"landing-{LAKE}", REJECTS, PUBLISHED)
 # The latest delivery wins; ties go by the file, and then by all columns.
 LATEST = ("effective_date", "source_file")
 RUN_COLUMNS = ("last_updated_dt", "invocation_id", "source_file")
+#: Publications of landings and rejects that are kept: the last, and the one before for
+#: those who still read it.
+KEPT = 2
 
 
 @dataclass(frozen=True)
@@ -89,14 +98,24 @@ class Layers:
         return read_hive(self.spark, self.path("bronze")).select(*COLUMNS)
 
     @property
-    def bronze_lake(self) -> VersionedTable:
-        return VersionedTable(self.spark, self.path("bronze-lake"))
+    def bronze_lake(self) -> FileTable:
+        return FileTable(self.spark, self.path("bronze-lake"))
+
+    def loads(self, layer: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(layer))
 
-    def landing(self, path: str = PARQUET) -> DataFrame:
-        return self.spark.read.parquet(self.path(f"landing-{path}"))
+    def published(self) -> int:
+        """The number of the landings and rejects that readers see."""
+        last = self.loads(PUBLISHED).latest_load()
+        if last is None:
+            raise LookupError(f"{self.root} has no landing yet")
+        return last
 
-    def rejects(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("rejects"))
+    def landing(self, path: str = PARQUET, load: int | None = None) -> DataFrame:
+        return self.loads(f"landing-{path}").read_version(load or self.published())
+
+    def rejects(self, load: int | None = None) -> DataFrame:
+        return self.loads(REJECTS).read_version(load or self.published())
 
     def history(self, path: str = PARQUET) -> HistoryStore:
         root = self.path(f"history-{path}")
@@ -134,23 +153,28 @@ def run(
     if any(o.status == quality.FAILED for o in outcomes):
         return outcomes
 
-    for path, rows in ((PARQUET, bronze), (LAKE, layers.bronze_lake.read_latest())):
-        _overwrite(
-            log,
-            f"landing-{path}",
-            dedup.latest_per_key(rows, [KEY], LATEST),
-            layers.path(f"landing-{path}"),
+    # Beyond every number in use, also by a run that was cut short.
+    load = 1 + max(layers.loads(name).latest_load() or 0 for name in LOADED)
+
+    def write(name: str, rows: DataFrame) -> None:
+        log.write(
+            name, rows, lambda df: layers.loads(name).write_load(df, load, run_id, snapshot_ts)
         )
-    lost = dedup.rejects(bronze, [KEY], LATEST)
-    _overwrite(log, "rejects", lost, layers.path("rejects"))
+
+    write(f"landing-{PARQUET}", dedup.latest_per_key(bronze, [KEY], LATEST))
+    lake = layers.bronze_lake.read_latest()
+    write(f"landing-{LAKE}", dedup.latest_per_key(lake, [KEY], LATEST))
+    write(REJECTS, dedup.rejects(bronze, [KEY], LATEST))
 
     begin = time.monotonic()
-    wrong = dedup.reconciliation_failures(reconciliation(layers)).count()
+    wrong = dedup.reconciliation_failures(reconciliation(layers, load)).count()
     status = quality.FAILED if wrong else quality.PASSED
     outcomes.append(quality.Outcome("dedup_reconciliation", status, wrong))
     log.add("dedup_reconciliation", status, wrong, time.monotonic() - begin)
     if wrong:
         return outcomes
+    counted = layers.spark.range(1, numPartitions=1).select(F.lit(run_id).alias("run_id"))
+    layers.loads(PUBLISHED).write_load(counted, load, run_id, snapshot_ts)
 
     for path in (PARQUET, LAKE):
         begin = time.monotonic()
@@ -158,6 +182,8 @@ def run(
         load = history.apply(layers.landing(path), snapshot_ts, run_id)
         written = history.table.rows_of(load)
         log.add(f"history-{path}", "success", written, time.monotonic() - begin)
+    for name in LOADED:
+        layers.loads(name).expire(KEPT)
     return outcomes
 
 
@@ -173,27 +199,40 @@ def _write_bronze(
         with_day_parts(staged),
         lambda df: write_hive(df, layers.path("bronze"), DAY_PARTS),
     )
+    raw = layers.path("raw")
+    current = newest_loads(layers.spark, raw)
+    everything = layers.raw()
+
+    def rows_of(fresh: DataFrame) -> DataFrame:
+        some = fresh.select(SOURCE_FILE, F.col(FILE_STATE).alias(current.columns[-1]))
+        if header_layouts(layers.spark, raw, "*.csv", current=some):
+            rows = read_raw(layers.spark, raw, current=some)
+        else:
+            rows = everything.limit(0)
+        # New files may lack columns that others have.
+        rows = everything.limit(0).unionByName(rows, allowMissingColumns=True)
+        return stage(rows, BUSINESS, run_id, stamp)
+
+    begin = time.monotonic()
     lake = layers.bronze_lake
     if lake.load_of(run_id) is None:
-        load = (lake.latest_load() or 0) + 1
-        log.write(
-            "bronze-lake",
-            staged,
-            lambda df: lake.write_load(df, load, run_id, snapshot_ts),
-        )
-
-
-def _overwrite(log: RunLog, step: str, rows: DataFrame, path: str) -> None:
-    log.write(step, rows, lambda df: df.write.mode("overwrite").parquet(path))
+        try:
+            load = lake.take(current.toDF(SOURCE_FILE, FILE_STATE), rows_of, run_id, snapshot_ts)
+        except Exception:
+            log.add("bronze-lake", "error", None, time.monotonic() - begin)
+            raise
+        added = lake.rows.rows_of(load)
+        log.add("bronze-lake", "success", added, time.monotonic() - begin)
 
 
 # --- reports ---------------------------------------------------------------
 
 
-def reconciliation(layers: Layers) -> DataFrame:
-    """Bronze as it is stored against the landing and the rejects as they are."""
+def reconciliation(layers: Layers, load: int | None = None) -> DataFrame:
+    """Bronze as it is stored against the landing and the rejects as they are (those
+    that are published if no load is named)."""
     return dedup.reconcile_counts(
-        layers.bronze(), layers.landing(), layers.rejects()
+        layers.bronze(), layers.landing(load=load), layers.rejects(load)
     )
 
 

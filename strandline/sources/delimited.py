@@ -390,9 +390,12 @@ def read_raw(
     raw_root: str,
     encoding: str = ENCODING,
     delimiter: str = DELIMITER,
+    current: DataFrame | None = None,
 ) -> DataFrame:
-    """The rows of a raw area as the manifest has them (see ``read_deliveries``)."""
-    current = newest_loads(spark, raw_root)
+    """The rows of a raw area as the manifest has them (see ``read_deliveries``), or of
+    some of its files, given as rows of ``newest_loads``."""
+    if current is None:
+        current = newest_loads(spark, raw_root)
     return read_deliveries(spark, raw_root, "*.csv", encoding, delimiter, current=current)
 
 

@@ -8,6 +8,7 @@ cut short is simply written again.  One writer at a time.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOAD = "load_id"
+FILE, FILE_STATE = "source_file", "file_state"
 _ENTRY = "token string, loaded_at timestamp_ntz, columns string, whole boolean"
 
 
@@ -162,9 +164,107 @@ class VersionedTable:
             raise LookupError(f"{self.root} has no load yet")
         return self._read(done[-1])
 
-    def read_as_of(self, moment: datetime) -> DataFrame:
-        """The table as it stood at a time."""
+    def load_as_of(self, moment: datetime) -> Load:
         known = [load for load in self.finished() if load.loaded_at <= moment]
         if not known:
             raise LookupError(f"{self.root} has no load before {moment}")
-        return self._read(max(known, key=lambda load: (load.loaded_at, load.number)))
+        return max(known, key=lambda load: (load.loaded_at, load.number))
+
+    def read_as_of(self, moment: datetime) -> DataFrame:
+        """The table as it stood at a time."""
+        return self._read(self.load_as_of(moment))
+
+    def expire(self, keep: int) -> list[int]:
+        """Drop the loads that none of the last ``keep`` states needs; their numbers.
+
+        The lines of the loads go first, so nobody begins to read one that is half
+        gone.  A reader that began before fails: keep as many as readers may be behind.
+        """
+        if keep < 1:
+            raise ValueError("at least one load must be kept")
+        done = self.finished()
+        if len(done) <= keep:
+            return []
+        first = self.base_of(done[-keep].number)
+        gone = [load.number for load in done if load.number < first]
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in (self.loads_path, self.data_path):
+            for number in gone:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{LOAD}={number}")
+                path.getFileSystem(hadoop).delete(path, True)
+        return gone
+
+
+@dataclass(frozen=True)
+class FileTable:
+    """A table that takes in files, and in each load only those that are new or changed.
+
+    A load adds rows to ``rows`` and then writes ``files``, a list with one row per file
+    that names the load which holds its rows; a state is the rows that its list names.
+    So a file that comes again, empty too, takes the place of what it brought before,
+    one that is no longer listed goes, and earlier states stay as they were.  Rows of a
+    load without a list are never seen.
+    """
+
+    spark: SparkSession
+    root: str
+
+    @property
+    def rows(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/rows")
+
+    @property
+    def files(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/files")
+
+    def latest_load(self) -> int | None:
+        return self.files.latest_load()
+
+    def load_of(self, token: str) -> int | None:
+        return self.files.load_of(token)
+
+    def take(
+        self,
+        listed: DataFrame,
+        rows_of: Callable[[DataFrame], DataFrame],
+        token: str,
+        loaded_at: datetime,
+    ) -> int:
+        """Take in what is ``listed`` (``source_file``, ``file_state``: any text that
+        changes with the file; each file once); a known ``token`` changes nothing.
+
+        ``rows_of`` gets the files that are new or changed, with both columns, and
+        returns their rows with ``source_file``.
+        """
+        known = self.load_of(token)
+        if known is not None:
+            return known
+        load = max(self.rows.latest_load() or 0, self.files.latest_load() or 0) + 1
+        listed = listed.select(FILE, FILE_STATE)
+        if self.files.latest_load() is None:
+            merged = listed.withColumn("held_by", F.lit(load).cast("bigint"))
+        else:
+            before = self.files.read_latest()
+            merged = listed.join(before, [FILE, FILE_STATE], "left").select(
+                FILE, FILE_STATE, F.coalesce("held_by", F.lit(load).cast("bigint")).alias("held_by")
+            )
+        fresh = merged.filter(F.col("held_by") == load).select(FILE, FILE_STATE)
+        self.rows.write_load(rows_of(fresh), load, token, loaded_at, whole=False)
+        self.files.write_load(merged, load, token, loaded_at)
+        return load
+
+    def _state(self, files: DataFrame, load: int) -> DataFrame:
+        rows = self.rows.all_loads().filter(F.col(LOAD) <= load)
+        held = files.select(FILE, F.col("held_by").alias(LOAD))
+        columns = [c for c in rows.columns if c != LOAD]
+        return rows.join(held, [FILE, LOAD], "left_semi").select(*columns)
+
+    def read_version(self, load_id: int) -> DataFrame:
+        return self._state(self.files.read_version(load_id), load_id)
+
+    def read_latest(self) -> DataFrame:
+        return self._state(self.files.read_latest(), self.files.latest_load())
+
+    def read_as_of(self, moment: datetime) -> DataFrame:
+        load = self.files.load_as_of(moment).number
+        return self.read_version(load)

@@ -115,6 +115,35 @@ def test_bronze_can_be_read_as_of_a_time(flow):
     assert layers.bronze_lake.read_latest().count() == 9
 
 
+def test_a_run_that_stops_publishes_nothing(flow, spark, tmp_path, monkeypatch):
+    """Rejects that get lost are found before readers see the landing."""
+    copy = str(tmp_path / "stopped")
+    shutil.copytree(flow[0].root, copy)
+    layers = Layers(spark, copy)
+    before = rows(layers.landing()), rows(layers.rejects())
+    inbox = tmp_path / "in"
+    write_delivery(inbox / "reg_20240315T120000_1.txt", HEADER, [line("6"), line("6")])
+    lost = dedup.rejects
+    monkeypatch.setattr(dedup, "rejects", lambda *a: lost(*a).limit(2))
+    outcomes = register.run(layers, str(inbox), "run-3", datetime(2024, 3, 15))
+    assert outcomes[-1].status == quality.FAILED
+    assert (rows(layers.landing()), rows(layers.rejects())) == before
+
+    def fails(*a):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(dedup, "rejects", fails)
+    with pytest.raises(RuntimeError):
+        register.run(layers, str(inbox), "run-4", datetime(2024, 3, 16))
+    assert rows(layers.landing()) == before[0]
+    monkeypatch.setattr(dedup, "rejects", lost)
+    register.run(layers, str(inbox), "run-5", datetime(2024, 3, 17))
+    assert layers.landing().count() == 6 and layers.rejects().count() == 5
+    assert register.integrity(layers).isEmpty()
+    kept = [load.number for load in layers.loads("rejects").finished()]
+    assert kept[-1] == layers.published() and len(kept) == register.KEPT
+
+
 def test_reports(flow):
     layers, _, _ = flow
     assert rows(register.summary(layers)) == [
@@ -144,7 +173,7 @@ def test_runs_are_logged_and_failures_kept(spark, flow):
     counted = lines.filter("run_id = 'run-2'").select("step", "status", "rows")
     assert set(rows(counted)) >= {
         ("bronze-parquet", "success", 9),
-        ("bronze-lake", "success", 9),
+        ("bronze-lake", "success", 3),
         ("landing-parquet", "success", 5),
         ("landing-lake", "success", 5),
         ("rejects", "success", 4),
@@ -218,7 +247,8 @@ def test_command_line(flow, spark, tmp_path, capsys, monkeypatch):
     broken = layers.landing().limit(3)
     copy = str(tmp_path / "broken")
     shutil.copytree(layers.root, copy)
-    broken.write.mode("overwrite").parquet(f"{copy}/landing-parquet")
+    number = layers.published()
+    broken.write.mode("overwrite").parquet(f"{copy}/landing-parquet/data/load_id={number}")
     assert command_line.main(["verify", "--root", copy, "--integrity"]) == 1
     assert "of 9 bronze rows, 3 won and 4 were rejected" in capsys.readouterr().out
 

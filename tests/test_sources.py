@@ -9,7 +9,7 @@ from strandline.sources import delimited, jdbc
 from strandline.sources.parquet import append_evolving, read_hive, write_hive
 from strandline.sources.runlog import RunLog
 from strandline.sources.tables import write_table
-from strandline.sources.versions import VersionedTable
+from strandline.sources.versions import FileTable, VersionedTable
 from tests.conftest import plan_of, rows
 
 
@@ -349,3 +349,47 @@ def test_headers_of_any_length_and_several_blocks(spark, tmp_path):
         assert layout.files == 3 and layout.columns[:-1] == tuple(names)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_file_table_adds_what_changed(spark, tmp_path):
+    table = FileTable(spark, str(tmp_path / "files"))
+    contents = {}
+
+    def take(token, day, **files):
+        contents.update(files)
+        states = [(name, str(hash(tuple(lines)))) for name, lines in contents.items()]
+        listed = spark.createDataFrame(states, "source_file string, file_state string")
+
+        def rows_of(fresh):
+            names = {r[0] for r in fresh.collect()}
+            data = [(n, v) for n, lines in contents.items() if n in names for v in lines]
+            return spark.createDataFrame(data, "source_file string, v int")
+
+        return table.take(listed, rows_of, token, datetime(2024, 1, day))
+
+    assert table.latest_load() is None
+    assert take("one", 1, a=[1, 1], b=[2]) == 1
+    assert take("two", 2, a=[3], c=[]) == 2
+    assert take("three", 3, b=[]) == 3
+    assert take("three", 4, b=[9]) == 3
+    assert rows(table.read_version(1)) == [("a", 1), ("a", 1), ("b", 2)]
+    assert rows(table.read_as_of(datetime(2024, 1, 2))) == [("a", 3), ("b", 2)]
+    assert rows(table.read_latest()) == [("a", 3)]
+    assert [table.rows.rows_of(n) for n in (1, 2, 3)] == [3, 1, 0]
+    # Rows without a list, as after a failure, are not seen, nor taken for later ones.
+    orphan = spark.createDataFrame([("b", 7)], "source_file string, v int")
+    table.rows.write_load(orphan, 4, "cut short", datetime(2024, 1, 4), whole=False)
+    assert take("five", 5, b=[7]) == 5
+    assert rows(table.read_latest()) == [("a", 3), ("b", 7)]
+
+
+def test_expired_loads(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    for n in range(1, 6):
+        table.write_load(spark.range(n), n, str(n), datetime(2024, 1, n), whole=n != 5)
+    assert table.expire(9) == []
+    assert table.expire(1) == [1, 2, 3]
+    assert table.read_version(4).count() == 4
+    assert table.all_loads().count() == 9
+    with pytest.raises(LookupError):
+        table.read_version(3)
