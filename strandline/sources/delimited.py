@@ -96,11 +96,12 @@ def _text(reader, root: str, glob: str, encoding: str) -> DataFrame:
 
 def numbered(text: DataFrame) -> DataFrame:
     """``path``, ``line``, ``id`` (growing within a file), and ``at_start``, the same for
-    lines of the first block only."""
-    number = F.monotonically_increasing_id()
-    return text.select(
-        "path", "line", F.when(F.col("early"), number).alias("at_start"), number.alias("id")
-    )
+    lines of the first block only.
+
+    A number inside a condition would count only the lines that meet it.
+    """
+    every = text.select("path", "line", "early", F.monotonically_increasing_id().alias("id"))
+    return every.select("path", "line", F.when(F.col("early"), F.col("id")).alias("at_start"), "id")
 
 
 def _lines(spark: SparkSession, root: str, glob: str, encoding: str) -> DataFrame:

@@ -51,6 +51,32 @@ def test_deliveries_are_united_by_name(spark, raw):
     assert files == {"reg_20240301T120000_1.txt", "reg_20240302T120000_1.txt"}
 
 
+@pytest.fixture
+def small_blocks(spark):
+    """Files are cut at 1000 bytes, and the end of one is read before the start of another."""
+    sizes = {
+        "spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.minPartitionNum": "1",
+    }
+    before = {name: spark.conf.get(name, None) for name in sizes}
+    for name, value in sizes.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_headers_behind_the_end_of_another_file_are_no_rows(spark, tmp_path, small_blocks):
+    long = [[str(1000 + i), "n" * 20] for i in range(50)]
+    short = [["s" * 20, str(i)] for i in range(10)]
+    write_delivery(tmp_path / "raw/a_20240301.txt", ["PeOrgNr", "Namn"], long)
+    write_delivery(tmp_path / "raw/b_20240301.txt", ["Namn", "PeOrgNr"], short)
+    df = delimited.read_deliveries(spark, str(tmp_path / "raw"))
+    assert df.rdd.getNumPartitions() > 1
+    expected = [tuple(r) for r in long] + [tuple(r[::-1]) for r in short]
+    assert rows(df.select("PeOrgNr", "Namn")) == sorted(expected)
+
+
 def test_listing_does_not_read_the_files(spark, raw):
     files = delimited.list_files(spark, str(raw), "*.txt")
     assert rows(files.select("name")) == [
