@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 from strandline.llm.common import slices, utf8, written
 
 #: Words that tasks know by their letters and counts, at most: the most frequent ones of
-#: up to 64 bytes.  Others are known by a 64-bit hash; their counts are joined.
+#: up to 64 bytes.  Others are known by a 64-bit hash; their counts are joined.  What a
+#: word is known by makes no difference to the model.
 HEAD = 60_000
 HEAD_BYTES = 64
-#: A word has a class if it occurs so often, and makes up at least one in ``FREQUENT``
-#: tokens; so no more than ``FREQUENT`` words (10 bytes each in a task) can have one.
+#: A word has a class if it occurs so often, however many words there are (16 bytes for
+#: each one in a task).
 LEAST = 3
-FREQUENT = 1 << 24
 #: Classes and words exchanged one by one, at least; both follow the number of words.
 CLASSES = 32
 CLUSTERED = 1000
@@ -324,7 +324,8 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     plain = F.col("word") != F.lit(END)
     short = F.octet_length("word") <= HEAD_BYTES
-    top = counts.filter(short & plain).orderBy(F.desc("n"), "word").limit(HEAD).collect()
+    often = F.col("n") >= LEAST
+    top = counts.filter(short & plain & often).orderBy(F.desc("n"), "word").limit(HEAD).collect()
     ends = counts.filter(~plain).first()
     head = [END] + [bytes(r["word"]) for r in top]
     n = np.array([ends["n"] if ends else 0] + [r["n"] for r in top], np.int64)
@@ -333,7 +334,6 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         last = top[-1]
         after_last = (F.col("n") == last["n"]) & (F.col("word") > F.lit(bytes(last["word"])))
         beyond = beyond | (F.col("n") < last["n"]) | after_last
-    often = F.col("n") >= max(LEAST, -(-total // FREQUENT))
     more = counts.filter(plain & beyond & often).select(F.xxhash64("word").alias("h"), "n").toArrow()
     # Words of one hash are one word here.
     hashes, same = np.unique(more.column("h").to_numpy(), return_inverse=True)

@@ -35,6 +35,19 @@ def test_counts_and_base_score(spark, monkeypatch, head):
     assert all(r["score"] < 0 for r in found)
 
 
+@pytest.mark.parametrize(("head", "share"), [(60_000, 1 << 24), (5, 1 << 24), (60_000, 10), (5, 10)])
+def test_words_with_a_class_do_not_depend_on_the_size_of_the_input(spark, monkeypatch, head, share):
+    monkeypatch.setattr(brown, "HEAD", head)
+    # Was the size (in tokens) beyond which more words became rare.
+    monkeypatch.setattr(brown, "FREQUENT", share, raising=False)
+    counts = [("", 9), *((f"w{i}", 1 + i % 4) for i in range(40)), ("l" * 70, 3), ("m" * 70, 2)]
+    known = brown.vocabulary(spark.createDataFrame([(w.encode(), n) for w, n in counts], "word binary, n bigint"))
+    classed = [n for w, n in counts if w and n >= brown.LEAST]
+    assert sorted(known.mass) == sorted([10.0, *(n + 1.0 for n in classed)])
+    rare = [n for w, n in counts if w and n < brown.LEAST]
+    assert known.rare == (sum(rare), len(rare))
+
+
 def test_probabilities_sum_to_one_and_scores_add_up(spark, monkeypatch):
     monkeypatch.setattr(brown, "HEAD", 30)
     monkeypatch.setattr(brown, "CLUSTERED", 10)
