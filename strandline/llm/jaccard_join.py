@@ -16,6 +16,7 @@ there follows in order of the hash.  Only these tokens are counted.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +39,9 @@ SHARE = 0.24
 CLASS_OF = 16
 #: Tokens of the index keep their highest bits only; they stay in the same order.
 KEPT = 48
-#: Rounds of further hubs before the remaining pairs are listed.
-ROUNDS = 2
+#: Rounds of further hubs before the remaining pairs are listed, and hubs of a bucket in each.
+ROUNDS = 1
+HUBS = 8
 #: Words of 64 bits in a sketch; least signatures that tell where a pair meets first.
 WORDS = 6
 LEAST = 4
@@ -255,6 +257,32 @@ def hub_pairs(members: DataFrame, similar: int) -> DataFrame:
     )
 
 
+def further_pairs(pool: DataFrame, similar: int, turn: int) -> DataFrame:
+    """``a``, ``b``: each member of ``pool`` (``signature``, ``node``, ``n``, ``met``, ``word``,
+    ``root``) with the hubs of its bucket that have another root: up to ``HUBS`` for
+    members of about one size.
+
+    Roots are dealt to the hubs by a hash that changes with the ``turn``, and each hub
+    meets the members of all other roots, so parts of one group find each other.  Pairs
+    that one word of their sketches makes unlikely are left to ``other_pairs``.
+    """
+    size = F.floor(F.log(F.col("n")) / math.log(100 / similar)) if similar < 100 else F.col("n")
+    slot = F.pmod(F.xxhash64("root", F.lit(turn)), F.lit(HUBS))
+    best = F.min(F.struct(-F.col("met"), "node", "n", "word", "root"))
+    hubs = pool.groupBy("signature", slot.alias("slot"), size.alias("size")).agg(best.alias("hub")).select(
+        "signature", F.col("hub.node").alias("hub"), F.col("hub.n").alias("m"),
+        F.col("hub.word").alias("hub_word"), F.col("hub.root").alias("hub_root"),
+    )
+    differ = F.bit_count(F.col("word").bitwiseXOR(F.col("hub_word"))) * (WORDS // 2)
+    both = F.col("n") + F.col("m")
+    close = (100 + similar) * (both - differ) >= 2 * similar * both
+    met = (pool["signature"] == hubs["signature"]) & (F.col("root") != F.col("hub_root"))
+    return (
+        pool.join(hubs, met & _fit(similar, "n", "m") & close)
+        .select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+    )
+
+
 def sketch(tokens: np.ndarray) -> np.ndarray:
     """Parities of ``64 * WORDS`` classes of tokens, as signed numbers: two sketches differ
     in no more bits than their sets have tokens of their own."""
@@ -305,27 +333,30 @@ def other_pairs(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 def links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """``a``, ``b``: verified pairs, enough of them to connect all that are linked.
 
-    Every member is verified against one hub of its bucket, then ``ROUNDS`` times those
-    that stayed apart from it against another.  What these connect needs no further
-    look; of all other pairs of a bucket, which lie in different components, each one is
-    verified that its sketches do not rule out.
+    Every member is verified against one hub of its bucket, then ``ROUNDS`` times against
+    some hubs of other roots.  What these connect needs no further look; of all other
+    pairs of a bucket, which lie in different components, each one is verified that its
+    sketches do not rule out.
     """
     met = members.groupBy("node").agg(F.sum("sets").alias("met"))
-    members = members.join(met, "node").select("signature", "node", "n", "met")
+    word = sets.select("node", F.get("sketch", F.lit(0)).alias("word"))
+    members = members.join(met, "node").join(word, "node").select(
+        "signature", "node", "n", "met", "word"
+    )
     tried = written(hub_pairs(members, similar), "join-pairs")
     found = written(verified(tried, sets, similar), "join-links")
-    pool = apart(members, found)
-    for _ in range(ROUNDS):
-        hub = F.min_by("root", F.struct(-F.col("met"), "node"))
-        hubs = pool.groupBy("signature").agg(hub.alias("hub_root"))
-        pool = pool.join(hubs, "signature").filter("root <> hub_root").drop("root", "hub_root")
-        more = written(hub_pairs(pool, similar).join(tried, ["a", "b"], "left_anti"), "join-pairs")
+    for turn in range(ROUNDS):
+        pool = apart(members, nearby(found))
+        more = further_pairs(pool, similar, turn).join(tried, ["a", "b"], "left_anti")
+        more = written(more, "join-pairs")
         found = found.union(written(verified(more, sets, similar), "join-links"))
         tried = tried.union(more)
-        pool = apart(pool, found)
-    members = apart(members, found)
-    rest = other_pairs(members.drop("met"), sets, similar).join(tried, ["a", "b"], "left_anti")
-    return found.union(written(verified(written(rest, "join-pairs"), sets, similar), "join-links"))
+    roots = components(found)
+    members = apart(members.drop("met", "word"), roots)
+    rest = other_pairs(members, sets, similar).join(tried, ["a", "b"], "left_anti")
+    more = written(verified(written(rest, "join-pairs"), sets, similar), "join-links")
+    # The roots connect the same nodes as the links that they come from.
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
 
 
 def nearby(found: DataFrame) -> DataFrame:
@@ -339,10 +370,10 @@ def nearby(found: DataFrame) -> DataFrame:
     )
 
 
-def apart(members: DataFrame, found: DataFrame) -> DataFrame:
-    """``members`` with their ``root`` (see ``nearby``), of the buckets that the links
-    ``found`` leave with more than one."""
-    placed = members.join(nearby(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+def apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with their ``root``, of the buckets that ``roots`` (``node``, ``root``)
+    leave with more than one."""
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     return written(
         placed.join(split.filter("x <> y").select("signature"), "signature"), "join-apart"

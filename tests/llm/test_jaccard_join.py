@@ -116,6 +116,26 @@ def test_linked_sets_share_a_signature(seed, common, left, right, share):
     assert signs(a, b) & signs(b, a)
 
 
+def test_parts_of_a_group_are_not_joined_pair_by_pair(spark, monkeypatch):
+    """Texts of one passage that are linked with about half of each other: few of them with
+    one hub, but all with some other one."""
+    rng = random.Random(5)
+    base = [f"g{i}" for i in range(160)]
+    data = [(i, edited(rng, base, rng.choice([2, 3, 3, 4]))) for i in range(300)]
+    seen = []
+    verified = jj.verified
+
+    def counted(pairs, sets, similar):
+        found = verified(pairs, sets, similar)
+        seen.append((pairs.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(jj, "verified", counted)
+    full = [(i, t, None, None, None) for i, t in data]
+    same(bag(jj.jaccard_components(documents(spark, full))), brute(data))
+    assert sum(pairs for pairs, _ in seen) < 20 * len(data)
+
+
 def test_sketches_never_say_too_much():
     rng = np.random.default_rng(1)
     for n in (1, 30, 2000):
