@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A Spark option for what runs inside; after it the option is as it was."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def require_utc(df: DataFrame) -> None:
     """Time arithmetic goes through epoch microseconds, so the session is UTC."""
     zone = df.sparkSession.conf.get("spark.sql.session.timeZone")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.functions.expressions import checked_date, file_date, file_date_text
-from strandline.session import scratch_path
+from strandline.session import scratch_path, setting
 
 # The format of a delivery.
 DELIMITER = "\t"
@@ -29,6 +29,8 @@ MANIFEST = "-manifest"
 LOAD = "load"  # the folder of a file that holds what one landing brought
 #: Headers of up to so many files are sent to all tasks; more meet the lines in a join.
 BROADCAST_FILES = 20_000
+#: Files that a task writes side by side; only rows of further ones are sorted by folder.
+OPEN_FILES = 32
 
 
 def _csv_options(delimiter: str, encoding: str) -> dict[str, str]:
@@ -423,17 +425,20 @@ def write_deliveries(
     """Delimited text by day, file and load (as far as there are such columns); the
     folders that come in replace the same folders, and no others.
 
-    What is written is evened out, however large one file is.
+    What is written is evened out, however large one file is.  A task that writes few
+    files passes its rows on as they come and holds none of them.
     """
     folders = [c for c in (*DAY_PARTS, SOURCE_FILE, LOAD) if c in rows.columns]
-    (
-        rows.hint("rebalance", *folders)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**_csv_options(delimiter, encoding))
-        .partitionBy(*folders)
-        .csv(root)
-    )
+    at_once = "spark.sql.maxConcurrentOutputFileWriters"
+    with setting(rows.sparkSession, at_once, str(OPEN_FILES)):
+        (
+            rows.hint("rebalance", *folders)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .options(**_csv_options(delimiter, encoding))
+            .partitionBy(*folders)
+            .csv(root)
+        )
 
 
 # --- staging ---------------------------------------------------------------

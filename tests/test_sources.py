@@ -336,6 +336,24 @@ def test_headers_meet_lines_without_a_shuffle_of_lines(spark, tmp_path, monkeypa
     assert rows(many) == rows(few) and few.count() == 3
 
 
+def test_rows_of_a_file_are_not_sorted_before_they_are_written(spark, tmp_path):
+    """A sort by folder holds all rows of a task, more the larger a file is."""
+    keys = spark.range(1000).select(
+        F.lit("2024").alias("year"), F.concat(F.lit("f"), F.col("id") % 2).alias("source_file"),
+        F.col("id").cast("string").alias("PeOrgNr"),
+    )
+    at_once = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(at_once)
+    delimited.write_deliveries(keys, str(tmp_path / "raw"))
+    assert spark.conf.get(at_once) == before
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    done = spark._jsparkSession.sharedState().statusStore().executionsList().last()
+    plan = done.physicalPlanDescription()
+    assert "WriteFiles" in plan and "Sort" not in plan
+    found = delimited.read_deliveries(spark, str(tmp_path / "raw"), "*.csv")
+    assert rows(found.select("source_file", "PeOrgNr")) == rows(keys.select("source_file", "PeOrgNr"))
+
+
 RAGGED = 'PeOrgNr\tNamn\n1\tok\n2\ttoo\tmany\n3\n4\t"over\ntwo lines"\n5\t"quoted\tfield"\n\n6\t\n'
 
 
