@@ -9,7 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.session import scratch_path
+from strandline.session import scratch_path, setting
+
+#: Shuffle files go when the job that wrote them is done.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +26,11 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, and safe
-    from the loss of executors."""
+    from the loss of executors.  What it shuffled does not stay on disk."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with setting(spark, TIDY, "true"):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

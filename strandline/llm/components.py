@@ -30,25 +30,28 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    seen = None
-    while True:
-        state = forest.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if state == seen or state[0] == 0:
-            return forest.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                forest.select(F.col("b"), F.col("b")).distinct()
-            )
-        seen = state
+    while not stars(forest):
         both = forest.union(forest.select("b", "a"))
-        large = (
+        # A table of its own: Spark would join it again for every use.
+        large = written(
             _hang(both)
             .filter("b > a")
             .select(F.col("b").alias("a"), F.least("low", "a").alias("b"))
-            .distinct()
-        )
-        hung = _hang(large)
-        small = hung.select("a", F.col("low").alias("b")).union(
-            hung.filter("b <> low").select("b", "low")
+            .distinct(),
+            "edges",
         )
+        ends = F.explode(F.array("a", "b")).alias("a")
+        small = _hang(large).select(ends, F.col("low").alias("b")).filter("a <> b")
         forest = written(small.distinct(), "edges")
+    return forest.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        forest.select(F.col("b"), F.col("b")).distinct()
+    )
+
+
+def stars(forest: DataFrame) -> bool:
+    """Whether each node of the different pairs (a, b), a > b, hangs on one that hangs on none."""
+    ends = forest.select(F.col("a").alias("node"), F.lit(1).alias("up")).union(
+        forest.select("b", F.lit(0))
+    )
+    times = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return times.filter("up > 1 OR up = 1 AND least = 0").isEmpty()

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
+import glob
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from strandline.llm import components
 from strandline.llm import jaccard_join as jj
+from strandline.llm.common import TIDY, written
 from tests.llm.helpers import bag, documents, rows, same
 
 UPPER = {c: c + 32 for c in range(65, 91)}
@@ -143,3 +147,28 @@ def test_sketches_never_say_too_much():
         x, y = np.unique(x), np.unique(y)
         bits = sum(int(v).bit_count() for v in (jj.sketch(x) ^ jj.sketch(y)).view(np.uint64))
         assert bits <= len(np.setxor1d(x, y))
+
+
+def test_stars_are_components_without_a_join(spark, monkeypatch):
+    """Rounds that change nothing joined all links of a large group again."""
+    monkeypatch.setattr(components, "_hang", None)
+    data = [(i, 0) for i in range(1, 50)] + [(60, 70), (70, 60), (80, 80)]
+    found = components.components(spark.createDataFrame(data, "a bigint, b bigint"))
+    assert bag(found) == bag(spark.createDataFrame([*((i, 0) for i in range(50)), (60, 60), (70, 60)], "node bigint, root bigint"))
+    for broken in ([(2, 1), (1, 0)], [(2, 1), (2, 0)]):
+        assert not components.stars(spark.createDataFrame(broken, "a bigint, b bigint"))
+
+
+def test_what_a_table_in_between_shuffled_does_not_stay(spark):
+    def left() -> set[str]:
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for d in manager.localDirs() for f in glob.glob(f"{d.getPath()}/**/shuffle_*.data", recursive=True)}
+
+    before = left()
+    made = written(spark.range(1000).groupBy("id").count(), "tidy")
+    for _ in range(50):
+        if not left() - before:
+            break
+        time.sleep(0.2)
+    assert not left() - before
+    assert spark.conf.get(TIDY) == "false" and made.count() == 1000
