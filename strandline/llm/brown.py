@@ -15,18 +15,18 @@ is a factor of its own, and only the counts of rare words have to be joined.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import slices, utf8, written
+from strandline.llm.common import slices, written
 
 #: Words that tasks know by their letters and counts, at most: the most frequent ones of
 #: up to 64 bytes.  Others are known by a 64-bit hash; their counts are joined.  What a
@@ -51,9 +51,23 @@ PAIRS_AT_ONCE = 1 << 21
 END = b""
 
 
-def words(text: bytes) -> list[bytes]:
-    """Words between white space, A-Z lower-cased."""
-    return text.lower().split()
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words (between white space, A-Z lower-cased) of the texts in line, and where
+    those of each text begin and end.  Null reads as empty."""
+    # A copy: Arrow cuts a slice of a larger array wrongly.
+    own = texts.take(pa.array(np.arange(len(texts))))
+    whole = own.cast(pa.large_string()).fill_null("")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(whole))
+    flat = lists.flatten()
+    # White space at the ends of a text leaves empty words there.
+    real = pc.greater(pc.binary_length(flat), 0)
+    before = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))
+    cuts = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+    return flat.filter(real), before[cuts]
+
+
+def as_bytes(found: pa.Array) -> pa.Array:
+    return found.cast(pa.large_binary()).cast(pa.binary())
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -71,9 +85,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         for whole in batches:
             for batch in slices(whole, 1000):
-                for text in utf8(batch.column(0)):
-                    seen.update(words(text))
-                    seen[END] += 1
+                each = words(batch.column(0))[0].value_counts()
+                for word, n in zip(as_bytes(each.field(0)).to_pylist(), each.field(1).to_pylist()):
+                    seen[word] += n
+                seen[END] += batch.num_rows
                 if len(seen) > AT_ONCE:
                     yield passed()
                     seen.clear()
@@ -82,26 +97,28 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Coder(dict):
-    """Numbers of words: those of the head first, then those of sorted hashes, else -1.
+@dataclass
+class Coder:
+    """Numbers of words: those of the ``head`` first, then those of sorted ``hashes``,
+    else -1."""
 
-    What is looked up by hash is remembered until there are too many.
-    """
+    head: dict[bytes, int]
+    hashes: np.ndarray
 
-    def __init__(self, head: dict[bytes, int], hashes: np.ndarray):
-        super().__init__(head)
-        self.head, self.hashes = head, hashes
+    def numbers(self, found: list[bytes]) -> np.ndarray:
+        get = self.head.get
+        out = np.fromiter((get(word, -1) for word in found), np.int32, len(found))
+        rest = np.flatnonzero(out < 0)
+        if len(rest) and len(self.hashes):
+            digest = xxhash.xxh64_intdigest
+            hashed = (digest(found[i], 42) for i in rest)
+            hashed = np.fromiter(hashed, np.uint64, len(rest)).view(np.int64)
+            at = np.minimum(np.searchsorted(self.hashes, hashed), len(self.hashes) - 1)
+            out[rest] = np.where(self.hashes[at] == hashed, len(self.head) + at, -1)
+        return out
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > AT_ONCE + len(self.head):
-            self.clear()
-            self.update(self.head)
-        hashed = xxhash.xxh64_intdigest(word, 42)
-        hashed -= (hashed >> 63) << 64
-        at = bisect_left(self.hashes, hashed)
-        found = at < len(self.hashes) and self.hashes[at] == hashed
-        self[word] = number = len(self.head) + at if found else -1
-        return number
+    def __getitem__(self, word: bytes) -> int:
+        return int(self.numbers([word])[0])
 
 
 def coded(docs: DataFrame, head: dict[bytes, int], hashes: np.ndarray) -> DataFrame:
@@ -110,27 +127,26 @@ def coded(docs: DataFrame, head: dict[bytes, int], hashes: np.ndarray) -> DataFr
     ``others``.  Texts are cut into words here once; all that follows reads numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = Coder(head, hashes).__getitem__
+        coder = Coder(head, hashes)
         for whole in batches:
             for batch in slices(whole, 1000):
-                flat: list[int] = []
-                others: list[bytes] = []
-                times: list[int] = []
-                cuts, ends = [0], [0]
-                for text in utf8(batch.column(3)):
-                    found = words(text)
-                    numbers = list(map(code, found))
-                    flat += numbers
-                    rest = Counter([w for w, i in zip(found, numbers) if not 0 <= i < len(head)])
-                    others += rest.keys()
-                    times += rest.values()
-                    cuts.append(len(flat))
-                    ends.append(len(others))
+                found, cuts = words(batch.column(3))
+                # Each different word of the batch is looked up once.
+                found = found.dictionary_encode()
+                which, different = found.indices.to_numpy(), as_bytes(found.dictionary)
+                numbers = coder.numbers(different.to_pylist())[which]
+                text = np.repeat(np.arange(batch.num_rows), np.diff(cuts))
+                beyond = (numbers < 0) | (numbers >= len(head))
+                others, times = np.unique(
+                    text[beyond] << 32 | which[beyond].astype(np.int64), return_counts=True
+                )
+                ends = np.searchsorted(others >> 32, np.arange(batch.num_rows + 1))
                 pairs = pa.StructArray.from_arrays(
-                    [pa.array(others, pa.binary()), pa.array(times, pa.int64())], ["word", "times"]
+                    [different.take(pa.array(others & 0xFFFFFFFF)), pa.array(times, pa.int64())],
+                    ["word", "times"],
                 )
                 lists = (
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(numbers, pa.int32())),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs),
                 )
                 yield pa.RecordBatch.from_arrays(
@@ -190,7 +206,7 @@ def pair_counts(learned: DataFrame, keys) -> DataFrame:
 
 def rows_of(counts: DataFrame) -> np.ndarray:
     """Rows (a, b, n) of pairs whose numbers are bounded by classes or a few words."""
-    found = counts.toArrow()
+    found = written(counts, "lm-pairs").toArrow()
     return np.column_stack([found.column(c).to_numpy() for c in ("a", "b", "n")]).astype(np.int64)
 
 
@@ -245,7 +261,7 @@ def exchanged(counts: DataFrame, table: np.ndarray, of: np.ndarray) -> np.ndarra
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(best)], ["a", "b"])
 
     grouped = counts.groupBy("a").agg(F.collect_list(F.struct("b", "n")).alias("near"))
-    found = grouped.mapInArrow(run, "a bigint, b bigint").toArrow()
+    found = written(grouped.mapInArrow(run, "a bigint, b bigint"), "lm-moves").toArrow()
     of = of.copy()
     of[found.column("a").to_numpy()] = found.column("b").to_numpy()
     return of

@@ -4,7 +4,9 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from strandline.llm import brown
@@ -86,6 +88,22 @@ def test_probabilities_sum_to_one_and_scores_add_up(spark, monkeypatch):
     assert sorted(map(str, got)) == sorted(map(str, expected))
 
 
+def test_words_are_cut_and_numbered_in_whole_batches():
+    odd = [" a\tB\x0bc\x0c\r\nÄ ", "", None, "\u00a0x\u2003y\x1cz \x85 İ", "  ", "B b a", "q" * 70]
+    full = [t or "no null" for t in odd]
+    cases = [pa.array(x, kind).slice(i) for x in (odd, full) for kind in (pa.string(), pa.large_string()) for i in (0, 1, 4)]
+    for texts in cases:
+        found, cuts = brown.words(texts)
+        got = brown.as_bytes(found).to_pylist()
+        expected = [tokens(t)[:-1] for t in texts.to_pylist()]
+        assert [got[a:b] for a, b in zip(cuts, cuts[1:])] == expected
+    hashes = np.sort(np.array([xxhash.xxh64_intdigest(w, 42) for w in (b"x", b"y")], np.uint64).view(np.int64))
+    coder = brown.Coder({b"": 0, b"a": 1}, hashes)
+    numbers = coder.numbers([b"y", b"a", b"z", b"x", b""]).tolist()
+    assert numbers[1:3] == [1, -1] and numbers[4] == 0 and {numbers[0], numbers[3]} == {2, 3}
+    assert brown.Coder({b"": 0}, hashes[:0]).numbers([b"x", b""]).tolist() == [-1, 0]
+
+
 def test_exchange_finds_planted_classes():
     rng = np.random.default_rng(3)
     n = 30  # three kinds of words that follow each other in turn
